@@ -1,0 +1,218 @@
+"""Registered queries and their DuckDB oracles.
+
+Every query reads the driver's tables (or data Spark derives from them)
+whole; nothing is sampled or capped. Job ids are fixed per query (md5 of the
+name) so results can be compared with SQL.
+"""
+
+from __future__ import annotations
+
+import hashlib
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from packetflow.operators import messages as M
+from packetflow.operators.decode import decode_packets
+from packetflow.operators.filters import keep_node_info, keep_packets, keep_text_messages
+from packetflow.operators.nodes import node_info
+from packetflow.operators.traffic import node_context, packet_traffic, payload_kind
+from packetflow.plans import oracle as O
+from packetflow.sources import fixtures as X
+from packetflow.sources.descriptors import ENVELOPE, fixture_descriptor_set
+from packetflow.sources.files import replay_range
+
+# Fixed values of the registered queries.
+REPLAY_FROM = "2024-01-05T00:00:00+02:00"
+REPLAY_TO = "2024-01-12T12:30:00+01:00"
+REPLAY_WINDOW_MINUTES = 60
+
+
+def job_id(name: str) -> str:
+    return hashlib.md5(name.encode()).hexdigest()
+
+
+def _traffic_sql(window_minutes: int, jid: str, source: str = "ctx") -> str:
+    return f"""
+SELECT from_node, to_node, CAST(count(*) AS INTEGER) AS packet_count,
+       time_bucket(INTERVAL {window_minutes} MINUTE, timestamp) AS window_start,
+       time_bucket(INTERVAL {window_minutes} MINUTE, timestamp)
+         + INTERVAL {window_minutes} MINUTE AS window_end,
+       kind, '{jid}' AS job_id
+FROM {source}
+GROUP BY ALL"""
+
+
+_EVENTS_CTX = f"""WITH {O.EVENTS},
+ctx AS (
+  SELECT timestamp, {O.unsigned('p_from')} AS from_node, {O.unsigned('p_to')} AS to_node,
+         {O.KIND} AS kind
+  FROM ev WHERE variant = 'packet')"""
+
+
+# ---------------------------------------------------------------- J1 traffic
+
+def q_traffic_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packet_traffic(X.events_packets(spark, sf_dir), 10, job_id("traffic_window"))
+
+
+def q_traffic_window_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packet_traffic(X.events_packets(spark, sf_dir), 24 * 60, job_id("traffic_window_1d"))
+
+
+def q_node_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return node_context(X.events_packets(spark, sf_dir))
+
+
+def q_payload_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packets = keep_packets(X.mesh_packets(spark, sf_dir))
+    return packets.select("timestamp", F.col("packet.from").alias("packet_from"),
+                          payload_kind().alias("kind"))
+
+
+def q_replay_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packets = replay_range(X.events_packets(spark, sf_dir), REPLAY_FROM, REPLAY_TO)
+    return packet_traffic(packets, REPLAY_WINDOW_MINUTES, job_id("replay_range"))
+
+
+# ----------------------------------------------------------------- filters
+
+def q_variant_packet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = F.col("packet")
+    return keep_packets(X.mesh_packets(spark, sf_dir)).select(
+        "timestamp", "variant", p["from"].alias("packet_from"), p["to"].alias("packet_to"),
+        p["channel"].alias("channel"), p["encrypted"].alias("encrypted"),
+        p["decoded"].alias("decoded"), p["portnum"].alias("portnum"))
+
+
+def q_variant_node_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("node_info")
+    return keep_node_info(X.mesh_packets(spark, sf_dir)).select(
+        "timestamp", "variant", n["num"].alias("num"), n["user_id"].alias("user_id"),
+        n["role"].alias("role"), n["last_heard"].alias("last_heard"))
+
+
+def q_variant_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = F.col("packet")
+    return keep_text_messages(X.mesh_packets(spark, sf_dir)).select(
+        "timestamp", p["from"].alias("packet_from"), p["channel"].alias("channel"),
+        p["rx_time"].alias("rx_time"))
+
+
+# -------------------------------------------------------------- J2 node info
+
+def q_node_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return node_info(X.customer_packets(spark, sf_dir), zone="UTC")
+
+
+# ------------------------------------------------------------ J3 text messages
+
+def _texts(spark, sf_dir, name):
+    return M.text_messages(X.conversation_packets(spark, sf_dir), zone="UTC", job_id=job_id(name))
+
+
+def q_text_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _texts(spark, sf_dir, "text_messages")
+
+
+def q_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.notifications(_texts(spark, sf_dir, "notifications"))
+
+
+def q_audit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.audit_lines(_texts(spark, sf_dir, "audit_lines"))
+
+
+# ------------------------------------------------------------------ D1 decode
+
+def decoded_flat(packets: DataFrame) -> DataFrame:
+    p, n = F.col("packet"), F.col("node_info")
+    return packets.select(
+        "timestamp", "variant",
+        p["from"].alias("p_from"), p["to"].alias("p_to"), p["channel"].alias("p_channel"),
+        p["rx_time"].alias("p_rx_time"), p["encrypted"].alias("encrypted"),
+        p["decoded"].alias("decoded"), p["portnum"].alias("portnum"),
+        p["payload"].cast("string").alias("payload_text"),
+        n["num"].alias("n_num"), n["user_id"].alias("n_user_id"),
+        n["short_name"].alias("n_short_name"), n["long_name"].alias("n_long_name"),
+        n["role"].alias("n_role"), n["last_heard"].alias("n_last_heard"),
+        n["hops_away"].alias("n_hops_away"), n["snr"].alias("n_snr"))
+
+
+def q_decoded_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = X.raw_packets(spark, sf_dir)
+    return decoded_flat(decode_packets(raw, fixture_descriptor_set(), ENVELOPE))
+
+
+# ------------------------------------------------------------------- registry
+
+def _sql_registry() -> dict[str, str]:
+    texts = f"""WITH {O.CONVERSATIONS},
+tm AS (
+  SELECT {O.unsigned('p_from')} AS from_node, {O.unsigned('p_to')} AS to_node,
+         {O.epoch_to_ntz('p_rx_time')} AS time, p_channel AS channel,
+         payload_text AS text, '{{jid}}' AS job_id
+  FROM cv WHERE decoded AND portnum = 'TEXT_MESSAGE_APP')"""
+    replay_lo = "TIMESTAMP '2024-01-04 22:00:00'"   # REPLAY_FROM in UTC
+    replay_hi = "TIMESTAMP '2024-01-12 11:30:00'"   # REPLAY_TO in UTC
+    return {
+        "traffic_window": _EVENTS_CTX + _traffic_sql(10, job_id("traffic_window")),
+        "traffic_window_1d": _EVENTS_CTX + _traffic_sql(1440, job_id("traffic_window_1d")),
+        "node_context": _EVENTS_CTX + "\nSELECT timestamp, from_node, to_node, kind FROM ctx",
+        "payload_kind": f"WITH {O.MESH}\nSELECT timestamp, p_from AS packet_from, "
+                        f"{O.KIND} AS kind FROM mesh WHERE variant = 'packet'",
+        "replay_range": _EVENTS_CTX.replace(
+            "WHERE variant = 'packet'",
+            f"WHERE variant = 'packet' AND timestamp >= {replay_lo} AND timestamp < {replay_hi}")
+        + _traffic_sql(REPLAY_WINDOW_MINUTES, job_id("replay_range")),
+        "variant_packet": f"WITH {O.MESH}\nSELECT timestamp, variant, p_from AS packet_from, "
+                          "p_to AS packet_to, p_channel AS channel, encrypted, decoded, portnum "
+                          "FROM mesh WHERE variant = 'packet'",
+        "variant_node_info": f"WITH {O.MESH}\nSELECT timestamp, variant, n_num AS num, "
+                             "n_user_id AS user_id, n_role AS role, n_last_heard AS last_heard "
+                             "FROM mesh WHERE variant = 'node_info'",
+        "variant_text": f"WITH {O.MESH}\nSELECT timestamp, p_from AS packet_from, "
+                        "p_channel AS channel, p_rx_time AS rx_time FROM mesh "
+                        "WHERE variant = 'packet' AND decoded AND portnum = 'TEXT_MESSAGE_APP'",
+        "node_info": f"WITH {O.CUSTOMERS}\nSELECT {O.unsigned('n_num')} AS node_id, "
+                     "n_user_id AS user_id, n_short_name AS user_name, "
+                     "n_long_name AS user_long_name, n_role AS user_role, "
+                     f"CASE WHEN n_last_heard <> 0 THEN {O.epoch_to_ntz('n_last_heard')} END "
+                     "AS last_heard, n_hops_away AS hops_away, n_snr AS snr FROM cu",
+        "text_messages": texts.format(jid=job_id("text_messages"))
+        + "\nSELECT * FROM tm",
+        "notifications": texts.format(jid=job_id("notifications"))
+        + "\nSELECT format('Message from node: ({}) on channel: ({})', from_node, channel) AS title, "
+          f"'Time: ' || {O.iso_local_text('time')} || chr(10) || 'Text: ' || text AS message, "
+          "CAST(2 AS INTEGER) AS priority FROM tm",
+        "audit_lines": texts.format(jid=job_id("audit_lines"))
+        + f"\nSELECT {O.iso_local_text('time')} || ' form: ' || from_node || ', chan: ' "
+          "|| channel || ', text: ' || text AS line FROM tm",
+        "decoded_packets": f"WITH {O.MESH}\nSELECT * FROM mesh",
+    }
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "traffic_window": q_traffic_window,
+    "traffic_window_1d": q_traffic_window_1d,
+    "node_context": q_node_context,
+    "payload_kind": q_payload_kind,
+    "replay_range": q_replay_range,
+    "variant_packet": q_variant_packet,
+    "variant_node_info": q_variant_node_info,
+    "variant_text": q_variant_text,
+    "node_info": q_node_info,
+    "text_messages": q_text_messages,
+    "notifications": q_notifications,
+    "audit_lines": q_audit_lines,
+    "decoded_packets": q_decoded_packets,
+}
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return _sql_registry()
