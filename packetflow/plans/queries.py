@@ -145,6 +145,28 @@ def q_decoded_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded_flat(decode_packets(raw, fixture_descriptor_set(), ENVELOPE))
 
 
+# ---------------------------------------------------------------- streaming
+
+def q_stream_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from packetflow.plans.streams import stream_traffic
+    return stream_traffic(spark, sf_dir, job_id("stream_traffic"))
+
+
+def q_traffic_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from packetflow.plans.streams import traffic_sink
+    return traffic_sink(spark, sf_dir, job_id("traffic_sink"))
+
+
+def q_node_info_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from packetflow.plans.streams import node_info_sink
+    return node_info_sink(spark, sf_dir)
+
+
+def q_text_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from packetflow.plans.streams import text_sink
+    return text_sink(spark, sf_dir, job_id("text_sink"))
+
+
 # ------------------------------------------------------------------- registry
 
 def _sql_registry() -> dict[str, str]:
@@ -154,6 +176,12 @@ tm AS (
          {O.epoch_to_ntz('p_rx_time')} AS time, p_channel AS channel,
          payload_text AS text, '{{jid}}' AS job_id
   FROM cv WHERE decoded AND portnum = 'TEXT_MESSAGE_APP')"""
+    closed = "\nSELECT * FROM t WHERE window_end <= (SELECT max(timestamp) FROM ev) - INTERVAL 5 SECOND"
+    node_sql = (f"WITH {O.CUSTOMERS}\nSELECT {O.unsigned('n_num')} AS node_id, "
+                "n_user_id AS user_id, n_short_name AS user_name, "
+                "n_long_name AS user_long_name, n_role AS user_role, "
+                f"CASE WHEN n_last_heard <> 0 THEN {O.epoch_to_ntz('n_last_heard')} END "
+                "AS last_heard, n_hops_away AS hops_away, n_snr AS snr FROM cu")
     replay_lo = "TIMESTAMP '2024-01-04 22:00:00'"   # REPLAY_FROM in UTC
     replay_hi = "TIMESTAMP '2024-01-12 11:30:00'"   # REPLAY_TO in UTC
     return {
@@ -175,11 +203,7 @@ tm AS (
         "variant_text": f"WITH {O.MESH}\nSELECT timestamp, p_from AS packet_from, "
                         "p_channel AS channel, p_rx_time AS rx_time FROM mesh "
                         "WHERE variant = 'packet' AND decoded AND portnum = 'TEXT_MESSAGE_APP'",
-        "node_info": f"WITH {O.CUSTOMERS}\nSELECT {O.unsigned('n_num')} AS node_id, "
-                     "n_user_id AS user_id, n_short_name AS user_name, "
-                     "n_long_name AS user_long_name, n_role AS user_role, "
-                     f"CASE WHEN n_last_heard <> 0 THEN {O.epoch_to_ntz('n_last_heard')} END "
-                     "AS last_heard, n_hops_away AS hops_away, n_snr AS snr FROM cu",
+        "node_info": node_sql,
         "text_messages": texts.format(jid=job_id("text_messages"))
         + "\nSELECT * FROM tm",
         "notifications": texts.format(jid=job_id("notifications"))
@@ -190,6 +214,13 @@ tm AS (
         + f"\nSELECT {O.iso_local_text('time')} || ' form: ' || from_node || ', chan: ' "
           "|| channel || ', text: ' || text AS line FROM tm",
         "decoded_packets": f"WITH {O.MESH}\nSELECT * FROM mesh",
+        "stream_traffic": _EVENTS_CTX + ", t AS (" + _traffic_sql(10, job_id("stream_traffic"))
+        + ")" + closed,
+        "traffic_sink": _EVENTS_CTX + ", t AS (" + _traffic_sql(10, job_id("traffic_sink"))
+        + ")" + closed,
+        "node_info_sink": node_sql,
+        "text_sink": texts.format(jid=job_id("text_sink"))
+        + "\nSELECT from_node, to_node, channel, time, text, job_id FROM tm",
     }
 
 
@@ -207,6 +238,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "notifications": q_notifications,
     "audit_lines": q_audit_lines,
     "decoded_packets": q_decoded_packets,
+    "stream_traffic": q_stream_traffic,
+    "traffic_sink": q_traffic_sink,
+    "node_info_sink": q_node_info_sink,
+    "text_sink": q_text_sink,
 }
 
 
