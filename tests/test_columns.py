@@ -1,0 +1,82 @@
+"""Scalar functions X1-X11 on hand-made edge rows (FIXTURES.md §4)."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from packetflow.functions import columns as C
+
+
+def one(spark, expr, schema, row):
+    return spark.createDataFrame([row], schema).select(expr.alias("x")).first()["x"]
+
+
+def test_unsigned32_edges(spark):
+    df = spark.createDataFrame([(-1,), (-2147483648,), (0,), (2147483647,)], "v int")
+    got = [r[0] for r in df.select(C.unsigned32("v")).collect()]
+    assert got == [4294967295, 2147483648, 0, 2147483647]
+
+
+def test_epoch_seconds_to_local_zones(spark):
+    s = 1704067200 + 61
+    assert one(spark, C.epoch_seconds_to_local("s", "UTC"), "s int", (s,)) == \
+        dt.datetime(2024, 1, 1, 0, 1, 1)
+    assert one(spark, C.epoch_seconds_to_local("s", "Europe/Warsaw"), "s int", (s,)) == \
+        dt.datetime(2024, 1, 1, 1, 1, 1)
+    # None: the session zone (UTC in tests).
+    assert one(spark, C.epoch_seconds_to_local("s"), "s int", (s,)) == \
+        dt.datetime(2024, 1, 1, 0, 1, 1)
+
+
+def test_rx_time_zero_is_1970_but_last_heard_zero_is_null(spark):
+    assert one(spark, C.epoch_seconds_to_local("s", "UTC"), "s int", (0,)) == \
+        dt.datetime(1970, 1, 1)
+    expr = C.zero_to_null("s", C.epoch_seconds_to_local("s", "UTC"))
+    assert one(spark, expr, "s int", (0,)) is None
+
+
+def test_utf8_replaces_malformed_bytes(spark):
+    assert one(spark, C.bytes_to_text("b"), "b binary", (bytearray(b"\xffA"),)) == "�A"
+
+
+def test_windows_1250(spark):
+    assert one(spark, C.bytes_to_text("b", "windows-1250"), "b binary",
+               (bytearray(b"\xff"),)) == "˙"
+
+
+def test_latin1_stays_in_jvm(spark):
+    assert one(spark, C.bytes_to_text("b", "ISO-8859-1"), "b binary",
+               (bytearray(b"caf\xe9"),)) == "café"
+
+
+def test_unknown_charset():
+    assert not C.is_known_charset("no-such-charset")
+    with pytest.raises(LookupError):
+        C.bytes_to_text(F.col("b"), "no-such-charset")
+
+
+def test_local_as_utc_instant(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 12, 0),)], "t timestamp_ntz")
+    got = df.select(F.unix_seconds(C.local_as_utc_instant("t"))).first()[0]
+    assert got == 1704110400
+
+
+def test_iso_local_text_drops_zero_seconds(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 1, 0),),
+                                (dt.datetime(2024, 1, 1, 0, 1, 5),)], "t timestamp_ntz")
+    assert [r[0] for r in df.select(C.iso_local_text("t")).collect()] == \
+        ["2024-01-01T00:01", "2024-01-01T00:01:05"]
+
+
+def test_iso_offset_to_epoch_millis():
+    assert C.iso_offset_to_epoch_millis("2024-01-01T02:00:00+02:00") == 1704067200000
+    assert C.iso_offset_to_epoch_millis("2024-01-01T00:00:00Z") == 1704067200000
+    with pytest.raises(ValueError):
+        C.iso_offset_to_epoch_millis("2024-01-01T00:00:00")
+
+
+def test_count_narrowing_raises_on_overflow(spark):
+    df = spark.createDataFrame([(2 ** 40,)], "n long")
+    with pytest.raises(Exception):
+        df.select(C.count_as_int(F.col("n"))).collect()

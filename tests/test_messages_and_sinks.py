@@ -1,0 +1,164 @@
+"""J3 rows, notifications, webhook, SQL sink, JDBC/Kafka option mapping."""
+
+import datetime as dt
+import json
+
+import pytest
+
+from packetflow import schema as S
+from packetflow.operators import messages as M
+from packetflow.operators.nodes import node_info
+from packetflow.plans.jobs import text_batch_writer
+from packetflow.sinks.batch import CommitLog, JdbcTarget, TableTarget
+from packetflow.sinks.sql import create_sink, insert_via_view, jdbc_catalog_conf
+from packetflow.sinks.webhook import deliver_batch, send_notifications
+from packetflow.sources.kafka import client_properties, kafka_options, parse_properties
+from tests.test_decode import node, packet
+
+T0 = dt.datetime(2024, 1, 1)
+TEXT = dict(decoded=True, portnum="TEXT_MESSAGE_APP")
+
+
+def texts(spark, rows, **kw):
+    return M.text_messages(spark.createDataFrame(rows, S.PACKETS), zone="UTC", job_id="j", **kw)
+
+
+ROWS = [
+    (T0, "packet", packet(-1, -1, payload="héllo".encode(), channel=2,
+                          rx_time=1704067200 + 60, **TEXT), None),
+    (T0, "packet", packet(7, -1, payload=b"\xffA", channel=0, rx_time=1704067205, **TEXT), None),
+    (T0, "packet", packet(8, -1, encrypted=True, portnum="TEXT_MESSAGE_APP"), None),
+    (T0, "packet", packet(9, -1, decoded=True, portnum="PORT_A", payload=b"x"), None),
+]
+
+
+def test_text_rows(spark):
+    got = [r.asDict() for r in texts(spark, ROWS).collect()]
+    assert got == [
+        dict(from_node=4294967295, to_node=4294967295, time=dt.datetime(2024, 1, 1, 0, 1),
+             channel=2, text="héllo", job_id="j"),
+        dict(from_node=7, to_node=4294967295, time=dt.datetime(2024, 1, 1, 0, 0, 5),
+             channel=0, text="�A", job_id="j"),
+    ]
+
+
+def test_unknown_charset_drops_rows_not_the_job(spark):
+    assert texts(spark, ROWS, charset="no-such-charset").count() == 0
+
+
+def test_notifications_and_audit(spark):
+    t = texts(spark, ROWS)
+    notes = [r.asDict() for r in M.notifications(t).collect()]
+    assert notes[0] == {"title": "Message from node: (4294967295) on channel: (2)",
+                        "message": "Time: 2024-01-01T00:01\nText: héllo", "priority": 2}
+    assert notes[1]["message"] == "Time: 2024-01-01T00:00:05\nText: �A"
+    lines = [r.line for r in M.audit_lines(t).collect()]
+    assert lines[0] == "2024-01-01T00:01 form: 4294967295, chan: 2, text: héllo"
+
+
+def test_notification_json_is_pretty_and_complete(spark):
+    body = M.notification_json(M.notifications(texts(spark, ROWS))).first().body
+    assert "\n" in body
+    assert json.loads(body) == {"title": "Message from node: (4294967295) on channel: (2)",
+                                "message": "Time: 2024-01-01T00:01\nText: héllo",
+                                "priority": 2}
+
+
+class FakeSender:
+    """Records bodies in a file (workers are separate processes); may raise."""
+
+    def __init__(self, path, fail_on=None):
+        self.path, self.fail_on = path, fail_on
+
+    def __call__(self, body):
+        if self.fail_on and self.fail_on in body:
+            raise OSError("connection refused")
+        with open(self.path, "a") as f:
+            f.write(json.dumps(body) + "\n")
+        return 200
+
+
+def test_webhook_error_is_logged_and_delivery_goes_on(spark, tmp_path):
+    notes = M.notifications(texts(spark, ROWS))
+    sender = FakeSender(str(tmp_path / "sent.jsonl"), fail_on="héllo")
+    statuses = sorted(r.status for r in send_notifications(notes, sender).collect())
+    assert statuses == [0, 200]
+    assert deliver_batch(notes, sender) == (2, 1)
+
+
+def test_fan_out_writes_table_and_audit_and_sends_once_per_batch(spark, folder, tmp_path):
+    sent = tmp_path / "sent.jsonl"
+    target, audit = TableTarget(f"{folder}/text"), TableTarget(f"{folder}/audit")
+    each = text_batch_writer(target, f"{folder}/ck", FakeSender(str(sent)), audit)
+    batch = texts(spark, ROWS)
+    each(batch, 0)
+    each(batch, 0)  # replayed batch id
+    assert target.read(spark).count() == 2 and audit.read(spark).count() == 2
+    assert len(sent.read_text().splitlines()) == 2
+    row = target.read(spark).where("from_node = 7").first()
+    assert row.time == dt.datetime(2024, 1, 1, 0, 0, 5)  # stored as if UTC
+
+
+def test_sql_sink_insert_select_star(spark, folder):
+    rows = [(T0, "node_info", None, node(-1, "!a", "ab", "Alpha", "BUILDING", 0, 2, 1.5)),
+            (T0, "node_info", None, node(3))]
+    info = node_info(spark.createDataFrame(rows, S.PACKETS), zone="UTC")
+    spark.sql("DROP TABLE IF EXISTS node_info_sink")
+    assert not create_sink(spark, None)
+    assert create_sink(spark, "CREATE TABLE node_info_sink (node_id BIGINT, user_id STRING, "
+                       "user_name STRING, user_long_name STRING, user_role STRING, "
+                       "last_heard TIMESTAMP_NTZ, hops_away INT, snr FLOAT) USING parquet "
+                       f"LOCATION '{folder}/node_info'")
+    insert_via_view(info)
+    got = sorted((r.node_id, r.user_id, r.user_role, r.last_heard)
+                 for r in spark.table("node_info_sink").collect())
+    assert got == [(3, "", "CLIENT", None), (4294967295, "!a", "BUILDING", None)]
+    spark.sql("DROP TABLE node_info_sink")
+
+
+def test_commit_log(spark, folder):
+    log = CommitLog(f"{folder}/commits")
+    assert not log.done(spark, 3)
+    log.mark(spark, 3)
+    assert log.done(spark, 3) and not log.done(spark, 4)
+
+
+def test_jdbc_options_carry_the_write_policy():
+    t = JdbcTarget(url="jdbc:postgresql://db/x", table="traffic", driver="org.postgresql.Driver",
+                   user="u", password="p")
+    assert t.options() == {"url": "jdbc:postgresql://db/x", "dbtable": "traffic",
+                           "batchsize": "100", "numPartitions": "8",
+                           "driver": "org.postgresql.Driver", "user": "u", "password": "p"}
+    assert t.retries == 5
+
+
+def test_jdbc_write_retries_then_raises(spark, folder):
+    t = JdbcTarget(url="jdbc:nosuchdb://nowhere", table="t", retries=1, retry_pause_s=0.01,
+                   commit_log=f"{folder}/jc")
+    with pytest.raises(Exception):
+        t.write(spark.range(1), 0)
+    assert not CommitLog(f"{folder}/jc").done(spark, 0)
+
+
+def test_jdbc_catalog_conf():
+    conf = jdbc_catalog_conf("mesh", "jdbc:postgresql://h:5432/", "u", "pw")
+    assert conf["spark.sql.catalog.mesh"].endswith("JDBCTableCatalog")
+    assert conf["spark.sql.catalog.mesh.url"] == "jdbc:postgresql://h:5432/"
+    assert conf["spark.sql.catalog.mesh.user"] == "u"
+
+
+def test_kafka_properties_and_options():
+    text = "bootstrap.servers=kafka123\nclient.id=1231\n# comment\ngroup.id = g\n"
+    assert parse_properties(text) == {"bootstrap.servers": "kafka123", "client.id": "1231",
+                                      "group.id": "g"}
+    assert client_properties(text, "text-app")["group.id"] == "g-text-app"
+    assert "group.id" not in client_properties("a=b", "x")
+    opts = kafka_options("meshtastic-from-radio", text, "default",
+                         start="2024-01-01T02:00:00+02:00", end="2024-01-02T00:00:00Z")
+    assert opts["subscribe"] == "meshtastic-from-radio"
+    assert opts["kafka.bootstrap.servers"] == "kafka123"
+    assert opts["kafka.group.id"] == "g-default"
+    assert opts["startingTimestamp"] == "1704067200000"
+    assert opts["startingOffsetsByTimestampStrategy"] == "latest"
+    assert opts["endingTimestamp"] == "1704153600000"
+    assert kafka_options("t", "a=b")["startingOffsets"] == "earliest"
