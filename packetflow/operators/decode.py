@@ -61,6 +61,7 @@ class _Layout:
         self.want_node = "node_info" in parts and "node_info" in d.fields_by_name
         if self.want_packet:
             pd_ = d.fields_by_name["packet"].message_type
+            self.packet_oneof = oneof_of(pd_, "decoded")
             self.ports = enum_names(pd_.fields_by_name["decoded"].message_type, "portnum")
         if self.want_node:
             nd = d.fields_by_name["node_info"].message_type
@@ -76,6 +77,7 @@ def _decode_batch(batch: pa.RecordBatch, parse, lay: _Layout) -> pa.RecordBatch:
     n_num, n_id, n_short, n_long, n_role, n_heard, n_hops, n_snr, n_null = ([] for _ in range(9))
     ports = getattr(lay, "ports", {})
     roles = getattr(lay, "roles", {})
+    body_oneof = getattr(lay, "packet_oneof", None)
     for raw in values:
         if raw is None:
             raise ValueError("radio packet with a null value")
@@ -90,8 +92,9 @@ def _decode_batch(batch: pa.RecordBatch, parse, lay: _Layout) -> pa.RecordBatch:
                 p_to.append(p.to)
                 p_chan.append(p.channel)
                 p_rx.append(p.rx_time)
-                p_enc.append(p.HasField("encrypted"))
-                p_dec.append(p.HasField("decoded"))
+                body = p.WhichOneof(body_oneof)
+                p_enc.append(body == "encrypted")
+                p_dec.append(body == "decoded")
                 p_port.append(ports.get(dec.portnum, UNRECOGNIZED))
                 p_pay.append(dec.payload)
                 p_null.append(False)

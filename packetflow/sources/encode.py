@@ -14,57 +14,70 @@ from packetflow.operators.protobuf import enum_numbers, message_class
 MASK = 0xFFFFFFFF
 
 
-def _encoder(cls):
-    d = cls.DESCRIPTOR
-    pkt_d = d.fields_by_name["packet"].message_type
-    node_d = d.fields_by_name["node_info"].message_type
-    ports = enum_numbers(pkt_d.fields_by_name["decoded"].message_type, "portnum")
-    roles = enum_numbers(node_d.fields_by_name["user"].message_type, "role")
+def _children(batch: pa.RecordBatch, name: str, fields) -> dict[str, list]:
+    col = batch.column(batch.schema.get_field_index(name))
+    return {f.name: col.field(i).to_pylist() for i, f in enumerate(fields)}
 
-    def encode(variant, packet, node) -> bytes:
+
+def _encode_batch(batch: pa.RecordBatch, cls, ports: dict, roles: dict) -> list[bytes]:
+    variants = batch.column(batch.schema.get_field_index("variant")).to_pylist()
+    p = _children(batch, "packet", S.PACKET.fields)
+    n = _children(batch, "node_info", S.NODE_INFO_MSG.fields)
+    p_valid = batch.column(batch.schema.get_field_index("packet")).is_valid().to_pylist()
+    n_valid = batch.column(batch.schema.get_field_index("node_info")).is_valid().to_pylist()
+    out = []
+    for i, variant in enumerate(variants):
         m = cls()
-        if variant == "packet" and packet is not None:
-            p = m.packet
-            p.SetInParent()
-            setattr(p, "from", packet["from"] & MASK)
-            p.to = packet["to"] & MASK
-            p.channel = packet["channel"] & MASK
-            p.rx_time = packet["rx_time"] & MASK
-            if packet["encrypted"]:
-                p.encrypted = b""
-            elif packet["decoded"]:
-                p.decoded.SetInParent()
-                p.decoded.portnum = ports[packet["portnum"]]
-                p.decoded.payload = packet["payload"] or b""
-        elif variant == "node_info" and node is not None:
+        if variant == "packet" and p_valid[i]:
+            pk = m.packet
+            pk.SetInParent()
+            setattr(pk, "from", p["from"][i] & MASK)
+            pk.to = p["to"][i] & MASK
+            pk.channel = p["channel"][i] & MASK
+            pk.rx_time = p["rx_time"][i] & MASK
+            if p["encrypted"][i]:
+                pk.encrypted = b""
+            elif p["decoded"][i]:
+                dec = pk.decoded
+                dec.SetInParent()
+                dec.portnum = ports[p["portnum"][i]]
+                dec.payload = p["payload"][i] or b""
+        elif variant == "node_info" and n_valid[i]:
             ni = m.node_info
             ni.SetInParent()
-            ni.num = node["num"] & MASK
-            if node["user_id"] or node["short_name"] or node["long_name"] or roles[node["role"]]:
+            ni.num = n["num"][i] & MASK
+            role = roles[n["role"][i]]
+            if n["user_id"][i] or n["short_name"][i] or n["long_name"][i] or role:
                 u = ni.user
-                u.id = node["user_id"]
-                u.short_name = node["short_name"]
-                u.long_name = node["long_name"]
-                u.role = roles[node["role"]]
-            ni.last_heard = node["last_heard"] & MASK
-            ni.hops_away = node["hops_away"] & MASK
-            ni.snr = node["snr"]
-        return m.SerializeToString()
-
-    return encode
+                u.id = n["user_id"][i]
+                u.short_name = n["short_name"][i]
+                u.long_name = n["long_name"][i]
+                u.role = role
+            ni.last_heard = n["last_heard"][i] & MASK
+            ni.hops_away = n["hops_away"][i] & MASK
+            ni.snr = n["snr"][i]
+        out.append(m.SerializeToString())
+    return out
 
 
 def encode_packets(packets: DataFrame, descriptor_set: bytes, message: str) -> DataFrame:
     """schema.PACKETS -> schema.PACKETS_RAW."""
 
     def run(batches):
-        encode = _encoder(message_class(descriptor_set, message))
+        cls = message_class(descriptor_set, message)
+        d = cls.DESCRIPTOR
+        ports = enum_numbers(
+            d.fields_by_name["packet"].message_type.fields_by_name["decoded"].message_type,
+            "portnum")
+        roles = enum_numbers(
+            d.fields_by_name["node_info"].message_type.fields_by_name["user"].message_type,
+            "role")
         for batch in batches:
-            cols = batch.to_pydict()
-            values = [encode(v, p, n) for v, p, n in
-                      zip(cols["variant"], cols["packet"], cols["node_info"])]
+            values = _encode_batch(batch, cls, ports, roles)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(values, pa.binary()), batch.column(batch.schema.get_field_index("timestamp"))],
+                [pa.array(values, pa.binary()),
+                 batch.column(batch.schema.get_field_index("timestamp"))],
                 names=["value", "timestamp"])
 
-    return packets.select("timestamp", "variant", "packet", "node_info").mapInArrow(run, S.PACKETS_RAW)
+    return (packets.select("timestamp", "variant", "packet", "node_info")
+            .mapInArrow(run, S.PACKETS_RAW))
