@@ -35,10 +35,14 @@ def insert_via_view(df: DataFrame, view: str = VIEW, insert: str = INSERT) -> No
     df.sparkSession.sql(insert)
 
 
-def console_changelog(stream: DataFrame, query_name: str = "node_info_changelog"):
+def console_changelog(stream: DataFrame, checkpoint: str,
+                      query_name: str = "node_info_changelog", trigger=None):
     """Q5: print the (append-only) stream; an opt-in debug sink."""
+    from packetflow.streaming.runner import trigger_options
+
     return (stream.writeStream.format("console").outputMode("append")
-            .queryName(query_name).start())
+            .option("checkpointLocation", checkpoint)
+            .trigger(**trigger_options(trigger)).queryName(query_name).start())
 
 
 def print_schema(df: DataFrame) -> None:

@@ -63,5 +63,5 @@ def observed(query: StreamingQuery, name: str) -> list[dict]:
     for progress in query.recentProgress:
         metrics = (progress.get("observedMetrics") or {}).get(name)
         if metrics:
-            out.append(dict(metrics))
+            out.append(metrics.asDict() if hasattr(metrics, "asDict") else dict(metrics))
     return out
