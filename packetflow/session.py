@@ -11,6 +11,20 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Settings for a cluster run of the pipelines (pass to the session builder).
+CLUSTER_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Streaming window state in RocksDB, with incremental changelog checkpoints.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Arrow batches for the protobuf decode.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+}
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "packetflow", extra: dict | None = None) -> SparkSession:

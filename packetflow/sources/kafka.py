@@ -46,11 +46,15 @@ def client_properties(properties: str | dict, job_kind: str | None = None) -> di
 
 
 def kafka_options(topic: str, properties: str | dict, job_kind: str | None = None,
-                  start: str | None = None, end: str | None = None) -> dict[str, str]:
+                  start: str | None = None, end: str | None = None,
+                  max_offsets_per_trigger: int | None = None,
+                  min_partitions: int | None = None) -> dict[str, str]:
     """Options of Spark's Kafka source for the reference's source settings.
 
     `start` / `end` are ISO-8601 date-times with offset (S3/S4). Without a
     start the whole topic is read (Spark streams default to the latest).
+    `max_offsets_per_trigger` bounds a micro-batch; `min_partitions` splits
+    large topic partitions over more tasks (decode parallelism).
     """
     opts = {"subscribe": topic}
     for key, value in client_properties(properties, job_kind).items():
@@ -63,14 +67,18 @@ def kafka_options(topic: str, properties: str | dict, job_kind: str | None = Non
         opts["startingOffsets"] = "earliest"
     if end is not None:
         opts["endingTimestamp"] = str(iso_offset_to_epoch_millis(end))
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))
+    if min_partitions:
+        opts["minPartitions"] = str(int(min_partitions))
     return opts
 
 
 def kafka_packets(spark: SparkSession, topic: str, properties: str | dict,
                   job_kind: str | None = None, start: str | None = None,
-                  end: str | None = None) -> DataFrame:
+                  end: str | None = None, **scale) -> DataFrame:
     """`value BINARY, timestamp TIMESTAMP` from one topic."""
-    opts = kafka_options(topic, properties, job_kind, start, end)
+    opts = kafka_options(topic, properties, job_kind, start, end, **scale)
     reader = spark.read if end is not None else spark.readStream
     df = reader.format("kafka").options(**opts).load()
     return require_value(df.select("value", "timestamp"))
