@@ -48,10 +48,14 @@ def _struct(arrays: list, spark_struct, null_mask: list) -> pa.Array:
                                       mask=pa.array(null_mask, type=pa.bool_()))
 
 
+# Packet fields a caller may leave out (they then come out null).
+OPTIONAL_PACKET_FIELDS = ("channel", "rx_time", "payload")
+
+
 class _Layout:
     """Field lookups resolved once per worker from the descriptor."""
 
-    def __init__(self, cls, parts):
+    def __init__(self, cls, parts, packet_fields):
         d = cls.DESCRIPTOR
         members = [p for p in PARTS if p in d.fields_by_name]
         if not members:
@@ -59,50 +63,73 @@ class _Layout:
         self.variant_oneof = oneof_of(d, members[0])
         self.want_packet = "packet" in parts and "packet" in d.fields_by_name
         self.want_node = "node_info" in parts and "node_info" in d.fields_by_name
+        self.want = {f: packet_fields is None or f in packet_fields
+                     for f in OPTIONAL_PACKET_FIELDS}
         if self.want_packet:
             pd_ = d.fields_by_name["packet"].message_type
             self.packet_oneof = oneof_of(pd_, "decoded")
             self.ports = enum_names(pd_.fields_by_name["decoded"].message_type, "portnum")
+            self.zero_port = self.ports.get(0, UNRECOGNIZED)
         if self.want_node:
             nd = d.fields_by_name["node_info"].message_type
             self.roles = enum_names(nd.fields_by_name["user"].message_type, "role")
 
 
 def _decode_batch(batch: pa.RecordBatch, parse, lay: _Layout) -> pa.RecordBatch:
+    # One pass: parse a message and read its fields while it is still hot.
     values = batch.column(batch.schema.get_field_index("value")).to_pylist()
     stamps = batch.column(batch.schema.get_field_index("timestamp"))
     n = len(values)
     variants = []
     p_from, p_to, p_chan, p_rx, p_enc, p_dec, p_port, p_pay, p_null = ([] for _ in range(9))
     n_num, n_id, n_short, n_long, n_role, n_heard, n_hops, n_snr, n_null = ([] for _ in range(9))
+    want_packet, want_node = lay.want_packet, lay.want_node
+    want_chan, want_rx, want_pay = (lay.want[f] for f in OPTIONAL_PACKET_FIELDS)
     ports = getattr(lay, "ports", {})
-    roles = getattr(lay, "roles", {})
+    zero_port = getattr(lay, "zero_port", None)
     body_oneof = getattr(lay, "packet_oneof", None)
+    roles = getattr(lay, "roles", {})
+    variant_oneof = lay.variant_oneof
     for raw in values:
         if raw is None:
             raise ValueError("radio packet with a null value")
         m = parse(raw)
-        v = m.WhichOneof(lay.variant_oneof) or ""
+        v = m.WhichOneof(variant_oneof) or ""
         variants.append(v)
-        if lay.want_packet:
+        if want_packet:
             if v == "packet":
                 p = m.packet
-                dec = p.decoded
+                body = p.WhichOneof(body_oneof)
                 p_from.append(getattr(p, "from"))
                 p_to.append(p.to)
-                p_chan.append(p.channel)
-                p_rx.append(p.rx_time)
-                body = p.WhichOneof(body_oneof)
+                if want_chan:
+                    p_chan.append(p.channel)
+                if want_rx:
+                    p_rx.append(p.rx_time)
                 p_enc.append(body == "encrypted")
-                p_dec.append(body == "decoded")
-                p_port.append(ports.get(dec.portnum, UNRECOGNIZED))
-                p_pay.append(dec.payload)
+                if body == "decoded":
+                    dec = p.decoded
+                    p_dec.append(True)
+                    p_port.append(ports.get(dec.portnum, UNRECOGNIZED))
+                    if want_pay:
+                        p_pay.append(dec.payload)
+                else:
+                    # Not decoded: the sub-message reads as its defaults.
+                    p_dec.append(False)
+                    p_port.append(zero_port)
+                    if want_pay:
+                        p_pay.append(b"")
                 p_null.append(False)
             else:
-                p_from.append(0); p_to.append(0); p_chan.append(0); p_rx.append(0)
-                p_enc.append(False); p_dec.append(False); p_port.append(None)
-                p_pay.append(None); p_null.append(True)
-        if lay.want_node:
+                p_from.append(0); p_to.append(0); p_enc.append(False); p_dec.append(False)
+                p_port.append(None); p_null.append(True)
+                if want_chan:
+                    p_chan.append(0)
+                if want_rx:
+                    p_rx.append(0)
+                if want_pay:
+                    p_pay.append(None)
+        if want_node:
             if v == "node_info":
                 ni = m.node_info
                 u = ni.user
@@ -120,14 +147,18 @@ def _decode_batch(batch: pa.RecordBatch, parse, lay: _Layout) -> pa.RecordBatch:
                 n_role.append(None); n_heard.append(0); n_hops.append(0); n_snr.append(0.0)
                 n_null.append(True)
 
-    if lay.want_packet:
-        packet = _struct([_int32(p_from), _int32(p_to), _int32(p_chan), _int32(p_rx),
-                          pa.array(p_enc, pa.bool_()), pa.array(p_dec, pa.bool_()),
-                          pa.array(p_port, pa.string()), pa.array(p_pay, pa.binary())],
-                         S.PACKET, p_null)
+    if want_packet:
+        packet = _struct([
+            _int32(p_from), _int32(p_to),
+            _int32(p_chan) if want_chan else pa.nulls(n, pa.int32()),
+            _int32(p_rx) if want_rx else pa.nulls(n, pa.int32()),
+            pa.array(p_enc, pa.bool_()), pa.array(p_dec, pa.bool_()),
+            pa.array(p_port, pa.string()),
+            pa.array(p_pay, pa.binary()) if want_pay else pa.nulls(n, pa.binary()),
+        ], S.PACKET, p_null)
     else:
         packet = pa.nulls(n, type=_arrow_type(S.PACKET))
-    if lay.want_node:
+    if want_node:
         node = _struct([_int32(n_num), pa.array(n_id, pa.string()),
                         pa.array(n_short, pa.string()), pa.array(n_long, pa.string()),
                         pa.array(n_role, pa.string()), _int32(n_heard), _int32(n_hops),
@@ -141,19 +172,28 @@ def _decode_batch(batch: pa.RecordBatch, parse, lay: _Layout) -> pa.RecordBatch:
 
 
 def decode_packets(raw: DataFrame, descriptor_set: bytes, message: str,
-                   parts: tuple[str, ...] = PARTS) -> DataFrame:
+                   parts: tuple[str, ...] = PARTS,
+                   packet_fields: tuple[str, ...] | None = None) -> DataFrame:
     """`value BINARY, timestamp TIMESTAMP` -> the `packets` layout (schema.PACKETS).
 
     A narrow, per-partition step: no shuffle, no driver round-trip.
+    `packet_fields` (None = all) may leave out any of OPTIONAL_PACKET_FIELDS,
+    which then come out null: `mapInArrow` is opaque to Catalyst's column
+    pruning, so callers say what they read.
     """
     unknown = set(parts) - set(PARTS)
     if unknown:
         raise ValueError(f"unknown parts: {sorted(unknown)}")
+    if packet_fields is not None:
+        extra = set(packet_fields) - set(S.PACKET.fieldNames())
+        if extra:
+            raise ValueError(f"unknown packet fields: {sorted(extra)}")
+        packet_fields = tuple(packet_fields)
     parts = tuple(parts)
 
     def run(batches):
         cls = message_class(descriptor_set, message)
-        lay = _Layout(cls, parts)
+        lay = _Layout(cls, parts, packet_fields)
         parse = cls.FromString
         for batch in batches:
             yield _decode_batch(batch, parse, lay)

@@ -37,10 +37,16 @@ log = logging.getLogger(__name__)
 Target = TableTarget | JdbcTarget
 
 
+# Packet fields J1 reads (kind and node pair); the rest is not decoded.
+TRAFFIC_FIELDS = ("from", "to", "encrypted", "decoded", "portnum")
+
+
 def decoded(raw: DataFrame, descriptor_set: bytes, message: str,
-            parts: tuple[str, ...], delay: str | None = DEFAULT_DELAY) -> DataFrame:
+            parts: tuple[str, ...], delay: str | None = DEFAULT_DELAY,
+            packet_fields: tuple[str, ...] | None = None) -> DataFrame:
     """Decode once, then set the watermark (order matters, see streaming.watermark)."""
-    return with_event_time(decode_packets(raw, descriptor_set, message, parts), delay)
+    packets = decode_packets(raw, descriptor_set, message, parts, packet_fields)
+    return with_event_time(packets, delay)
 
 
 # ------------------------------------------------------------------ J1
@@ -48,7 +54,7 @@ def decoded(raw: DataFrame, descriptor_set: bytes, message: str,
 def traffic_plan(raw: DataFrame, descriptor_set: bytes, message: str,
                  window_minutes: int = DEFAULT_WINDOW_MINUTES, job_id: str | None = None,
                  delay: str | None = DEFAULT_DELAY) -> DataFrame:
-    packets = decoded(raw, descriptor_set, message, ("packet",), delay)
+    packets = decoded(raw, descriptor_set, message, ("packet",), delay, TRAFFIC_FIELDS)
     return traffic_bind_order(packet_traffic(packets, window_minutes, job_id))
 
 
