@@ -41,7 +41,7 @@ def is_text_message() -> Column:
 
 
 def keep_packets(df: DataFrame) -> DataFrame:
-    """envelopes that carry a mesh packet."""
+    """envelopes that carry a radio packet."""
     return _keep(df, is_variant("packet"))
 
 

@@ -35,7 +35,7 @@ def payload_kind(packet: str = "packet") -> Column:
 
 
 def node_context(packets: DataFrame) -> DataFrame:
-    """F1 + P2: (timestamp, from_node, to_node, kind) per mesh packet."""
+    """F1 + P2: (timestamp, from_node, to_node, kind) per radio packet."""
     p = F.col("packet")
     return keep_packets(packets).select(
         "timestamp",

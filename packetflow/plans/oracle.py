@@ -53,8 +53,8 @@ cv AS (
   FROM conversations)"""
 
 # All three as one topic, in one wide flat layout (nulls where a part is absent).
-MESH = EVENTS + "," + CUSTOMERS + "," + CONVERSATIONS + """,
-mesh AS (
+ALL = EVENTS + "," + CUSTOMERS + "," + CONVERSATIONS + """,
+allp AS (
   SELECT timestamp, variant,
          CASE WHEN variant = 'packet' THEN p_from END AS p_from,
          CASE WHEN variant = 'packet' THEN p_to END AS p_to,

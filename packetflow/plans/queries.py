@@ -66,7 +66,7 @@ def q_node_context(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_payload_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packets = keep_packets(X.mesh_packets(spark, sf_dir))
+    packets = keep_packets(X.all_packets(spark, sf_dir))
     return packets.select("timestamp", F.col("packet.from").alias("packet_from"),
                           payload_kind().alias("kind"))
 
@@ -80,7 +80,7 @@ def q_replay_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_variant_packet(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("packet")
-    return keep_packets(X.mesh_packets(spark, sf_dir)).select(
+    return keep_packets(X.all_packets(spark, sf_dir)).select(
         "timestamp", "variant", p["from"].alias("packet_from"), p["to"].alias("packet_to"),
         p["channel"].alias("channel"), p["encrypted"].alias("encrypted"),
         p["decoded"].alias("decoded"), p["portnum"].alias("portnum"))
@@ -88,14 +88,14 @@ def q_variant_packet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_variant_node_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("node_info")
-    return keep_node_info(X.mesh_packets(spark, sf_dir)).select(
+    return keep_node_info(X.all_packets(spark, sf_dir)).select(
         "timestamp", "variant", n["num"].alias("num"), n["user_id"].alias("user_id"),
         n["role"].alias("role"), n["last_heard"].alias("last_heard"))
 
 
 def q_variant_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("packet")
-    return keep_text_messages(X.mesh_packets(spark, sf_dir)).select(
+    return keep_text_messages(X.all_packets(spark, sf_dir)).select(
         "timestamp", p["from"].alias("packet_from"), p["channel"].alias("channel"),
         p["rx_time"].alias("rx_time"))
 
@@ -188,20 +188,20 @@ tm AS (
         "traffic_window": _EVENTS_CTX + _traffic_sql(10, job_id("traffic_window")),
         "traffic_window_1d": _EVENTS_CTX + _traffic_sql(1440, job_id("traffic_window_1d")),
         "node_context": _EVENTS_CTX + "\nSELECT timestamp, from_node, to_node, kind FROM ctx",
-        "payload_kind": f"WITH {O.MESH}\nSELECT timestamp, p_from AS packet_from, "
-                        f"{O.KIND} AS kind FROM mesh WHERE variant = 'packet'",
+        "payload_kind": f"WITH {O.ALL}\nSELECT timestamp, p_from AS packet_from, "
+                        f"{O.KIND} AS kind FROM allp WHERE variant = 'packet'",
         "replay_range": _EVENTS_CTX.replace(
             "WHERE variant = 'packet'",
             f"WHERE variant = 'packet' AND timestamp >= {replay_lo} AND timestamp < {replay_hi}")
         + _traffic_sql(REPLAY_WINDOW_MINUTES, job_id("replay_range")),
-        "variant_packet": f"WITH {O.MESH}\nSELECT timestamp, variant, p_from AS packet_from, "
+        "variant_packet": f"WITH {O.ALL}\nSELECT timestamp, variant, p_from AS packet_from, "
                           "p_to AS packet_to, p_channel AS channel, encrypted, decoded, portnum "
-                          "FROM mesh WHERE variant = 'packet'",
-        "variant_node_info": f"WITH {O.MESH}\nSELECT timestamp, variant, n_num AS num, "
+                          "FROM allp WHERE variant = 'packet'",
+        "variant_node_info": f"WITH {O.ALL}\nSELECT timestamp, variant, n_num AS num, "
                              "n_user_id AS user_id, n_role AS role, n_last_heard AS last_heard "
-                             "FROM mesh WHERE variant = 'node_info'",
-        "variant_text": f"WITH {O.MESH}\nSELECT timestamp, p_from AS packet_from, "
-                        "p_channel AS channel, p_rx_time AS rx_time FROM mesh "
+                             "FROM allp WHERE variant = 'node_info'",
+        "variant_text": f"WITH {O.ALL}\nSELECT timestamp, p_from AS packet_from, "
+                        "p_channel AS channel, p_rx_time AS rx_time FROM allp "
                         "WHERE variant = 'packet' AND decoded AND portnum = 'TEXT_MESSAGE_APP'",
         "node_info": node_sql,
         "text_messages": texts.format(jid=job_id("text_messages"))
@@ -213,7 +213,7 @@ tm AS (
         "audit_lines": texts.format(jid=job_id("audit_lines"))
         + f"\nSELECT {O.iso_local_text('time')} || ' form: ' || from_node || ', chan: ' "
           "|| channel || ', text: ' || text AS line FROM tm",
-        "decoded_packets": f"WITH {O.MESH}\nSELECT * FROM mesh",
+        "decoded_packets": f"WITH {O.ALL}\nSELECT * FROM allp",
         "stream_traffic": _EVENTS_CTX + ", t AS (" + _traffic_sql(10, job_id("stream_traffic"))
         + ")" + closed,
         "traffic_sink": _EVENTS_CTX + ", t AS (" + _traffic_sql(10, job_id("traffic_sink"))

@@ -10,7 +10,7 @@ PACKETS_RAW = T.StructType([
     T.StructField("timestamp", T.TimestampType(), True),
 ])
 
-# The fields of a decoded mesh packet the pipelines read. `encrypted` and
+# The fields of a decoded radio packet the pipelines read. `encrypted` and
 # `decoded` are the presence tags of the packet's one-of; every other field
 # carries its protobuf default when absent.
 PACKET = T.StructType([

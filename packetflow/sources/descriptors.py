@@ -48,7 +48,7 @@ def fixture_descriptor_set() -> bytes:
     _field(data, "portnum", 3, FDP.TYPE_ENUM, "PortNum")
     _field(data, "payload", 5, FDP.TYPE_BYTES)
 
-    pkt = f.message_type.add(name="MeshPacket")
+    pkt = f.message_type.add(name="RadioPacket")
     pkt.oneof_decl.add(name="body")
     _field(pkt, "from", 11, FDP.TYPE_FIXED32)
     _field(pkt, "to", 12, FDP.TYPE_FIXED32)
@@ -73,7 +73,7 @@ def fixture_descriptor_set() -> bytes:
     env = f.message_type.add(name="Envelope")
     env.oneof_decl.add(name="variant")
     _field(env, "id", 1, FDP.TYPE_UINT32)
-    _field(env, "packet", 7, FDP.TYPE_MESSAGE, "MeshPacket", oneof=0)
+    _field(env, "packet", 7, FDP.TYPE_MESSAGE, "RadioPacket", oneof=0)
     _field(env, "node_info", 8, FDP.TYPE_MESSAGE, "NodeInfo", oneof=0)
     _field(env, "note", 9, FDP.TYPE_STRING, oneof=0)
 

@@ -104,7 +104,7 @@ def conversation_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
         _null(S.NODE_INFO_MSG).alias("node_info"))
 
 
-def mesh_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def all_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three sources as one topic, the way the reference reads them."""
     return (events_packets(spark, sf_dir)
             .unionByName(customer_packets(spark, sf_dir))
@@ -112,8 +112,8 @@ def mesh_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`mesh_packets` encoded with the fixture descriptor (value, timestamp)."""
+    """`all_packets` encoded with the fixture descriptor (value, timestamp)."""
     from packetflow.sources.descriptors import ENVELOPE, fixture_descriptor_set
     from packetflow.sources.encode import encode_packets
 
-    return encode_packets(mesh_packets(spark, sf_dir), fixture_descriptor_set(), ENVELOPE)
+    return encode_packets(all_packets(spark, sf_dir), fixture_descriptor_set(), ENVELOPE)

@@ -141,10 +141,10 @@ def test_jdbc_write_retries_then_raises(spark, folder):
 
 
 def test_jdbc_catalog_conf():
-    conf = jdbc_catalog_conf("mesh", "jdbc:postgresql://h:5432/", "u", "pw")
-    assert conf["spark.sql.catalog.mesh"].endswith("JDBCTableCatalog")
-    assert conf["spark.sql.catalog.mesh.url"] == "jdbc:postgresql://h:5432/"
-    assert conf["spark.sql.catalog.mesh.user"] == "u"
+    conf = jdbc_catalog_conf("radio", "jdbc:postgresql://h:5432/", "u", "pw")
+    assert conf["spark.sql.catalog.radio"].endswith("JDBCTableCatalog")
+    assert conf["spark.sql.catalog.radio.url"] == "jdbc:postgresql://h:5432/"
+    assert conf["spark.sql.catalog.radio.user"] == "u"
 
 
 def test_kafka_properties_and_options():
@@ -153,9 +153,9 @@ def test_kafka_properties_and_options():
                                       "group.id": "g"}
     assert client_properties(text, "text-app")["group.id"] == "g-text-app"
     assert "group.id" not in client_properties("a=b", "x")
-    opts = kafka_options("meshtastic-from-radio", text, "default",
+    opts = kafka_options("radio-packets", text, "default",
                          start="2024-01-01T02:00:00+02:00", end="2024-01-02T00:00:00Z")
-    assert opts["subscribe"] == "meshtastic-from-radio"
+    assert opts["subscribe"] == "radio-packets"
     assert opts["kafka.bootstrap.servers"] == "kafka123"
     assert opts["kafka.group.id"] == "g-default"
     assert opts["startingTimestamp"] == "1704067200000"
