@@ -145,6 +145,29 @@ def q_decoded_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded_flat(decode_packets(raw, fixture_descriptor_set(), ENVELOPE))
 
 
+# ----------------------------------------------- J1-J3 from protobuf bytes
+
+def _bytes(spark, sf_dir):
+    return X.raw_packets(spark, sf_dir)
+
+
+def q_traffic_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from packetflow.plans.jobs import traffic_plan
+    return traffic_plan(_bytes(spark, sf_dir), fixture_descriptor_set(), ENVELOPE, 10,
+                        job_id("traffic_decoded"))
+
+
+def q_node_info_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from packetflow.plans.jobs import node_info_plan
+    return node_info_plan(_bytes(spark, sf_dir), fixture_descriptor_set(), ENVELOPE, zone="UTC")
+
+
+def q_text_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from packetflow.plans.jobs import text_plan
+    return text_plan(_bytes(spark, sf_dir), fixture_descriptor_set(), ENVELOPE, zone="UTC",
+                     job_id=job_id("text_decoded"))
+
+
 # ---------------------------------------------------------------- streaming
 
 def q_stream_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,6 +205,9 @@ tm AS (
                 "n_long_name AS user_long_name, n_role AS user_role, "
                 f"CASE WHEN n_last_heard <> 0 THEN {O.epoch_to_ntz('n_last_heard')} END "
                 "AS last_heard, n_hops_away AS hops_away, n_snr AS snr FROM cu")
+    all_ctx = (f"WITH {O.ALL},\nctx AS (SELECT timestamp, {O.unsigned('p_from')} AS from_node, "
+               f"{O.unsigned('p_to')} AS to_node, {O.KIND} AS kind FROM allp "
+               "WHERE variant = 'packet')")
     replay_lo = "TIMESTAMP '2024-01-04 22:00:00'"   # REPLAY_FROM in UTC
     replay_hi = "TIMESTAMP '2024-01-12 11:30:00'"   # REPLAY_TO in UTC
     return {
@@ -214,6 +240,18 @@ tm AS (
         + f"\nSELECT {O.iso_local_text('time')} || ' form: ' || from_node || ', chan: ' "
           "|| channel || ', text: ' || text AS line FROM tm",
         "decoded_packets": f"WITH {O.ALL}\nSELECT * FROM allp",
+        "traffic_decoded": all_ctx + _traffic_sql(10, job_id("traffic_decoded")),
+        "node_info_decoded": f"WITH {O.ALL}\nSELECT {O.unsigned('n_num')} AS node_id, "
+                             "n_user_id AS user_id, n_short_name AS user_name, "
+                             "n_long_name AS user_long_name, n_role AS user_role, "
+                             f"CASE WHEN n_last_heard <> 0 THEN {O.epoch_to_ntz('n_last_heard')} "
+                             "END AS last_heard, n_hops_away AS hops_away, n_snr AS snr "
+                             "FROM allp WHERE variant = 'node_info'",
+        "text_decoded": f"WITH {O.ALL}\nSELECT {O.unsigned('p_from')} AS from_node, "
+                        f"{O.unsigned('p_to')} AS to_node, {O.epoch_to_ntz('p_rx_time')} AS time, "
+                        "p_channel AS channel, payload_text AS text, "
+                        f"'{job_id('text_decoded')}' AS job_id FROM allp "
+                        "WHERE variant = 'packet' AND decoded AND portnum = 'TEXT_MESSAGE_APP'",
         "stream_traffic": _EVENTS_CTX + ", t AS (" + _traffic_sql(10, job_id("stream_traffic"))
         + ")" + closed,
         "traffic_sink": _EVENTS_CTX + ", t AS (" + _traffic_sql(10, job_id("traffic_sink"))
@@ -238,6 +276,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "notifications": q_notifications,
     "audit_lines": q_audit_lines,
     "decoded_packets": q_decoded_packets,
+    "traffic_decoded": q_traffic_decoded,
+    "node_info_decoded": q_node_info_decoded,
+    "text_decoded": q_text_decoded,
     "stream_traffic": q_stream_traffic,
     "traffic_sink": q_traffic_sink,
     "node_info_sink": q_node_info_sink,
