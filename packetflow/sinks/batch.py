@@ -10,6 +10,10 @@ with the same id. Two targets:
   per committed batch id in the shared checkpoint folder makes a replay skip
   a batch that already committed; only a crash between the insert and the
   marker can duplicate rows (the reference has no such guard at all).
+  The reference binds rows into free-form SQL (possibly an upsert); here that
+  is `merge_sql`: the batch is written to `staging_table` (overwritten each
+  batch) and the statement, e.g. `INSERT INTO t SELECT * FROM t_staging ON
+  CONFLICT DO NOTHING`, runs once per batch over one JDBC connection.
 
 Retries: the write is retried `retries` times with a pause (the reference's
 JDBC policy: batches of 100 rows, 5 retries).
@@ -103,11 +107,21 @@ class JdbcTarget:
     # Caps concurrent connections: Spark coalesces to this many writers.
     max_connections: int = 8
     commit_log: str | None = None
+    staging_table: str | None = None
+    merge_sql: str | None = None
     extra: dict = field(default_factory=dict)
 
+    def __post_init__(self):
+        if (self.staging_table is None) != (self.merge_sql is None):
+            raise ValueError("staging_table and merge_sql go together")
+
     def options(self) -> dict[str, str]:
-        opts = {"url": self.url, "dbtable": self.table, "batchsize": str(self.batch_size),
+        table = self.staging_table or self.table
+        opts = {"url": self.url, "dbtable": table, "batchsize": str(self.batch_size),
                 "numPartitions": str(self.max_connections)}
+        if self.staging_table:
+            # Overwrite keeps the staging table's definition (TRUNCATE, not DROP).
+            opts["truncate"] = "true"
         for key, value in (("driver", self.driver), ("user", self.user),
                            ("password", self.password)):
             if value is not None:
@@ -122,12 +136,43 @@ class JdbcTarget:
             log.info("batch %d already written to %s; skipped", batch_id, self.table)
             return
         opts = self.options()
-        with_retries(lambda: df.write.format("jdbc").options(**opts).mode("append").save(),
+        mode = "overwrite" if self.staging_table else "append"
+        with_retries(lambda: df.write.format("jdbc").options(**opts).mode(mode).save(),
                      self.retries, self.retry_pause_s, f"JDBC write of batch {batch_id}")
+        if self.merge_sql:
+            with_retries(lambda: run_jdbc_statement(spark, self.url, self.merge_sql, self.user,
+                                                    self.password, self.driver),
+                         self.retries, self.retry_pause_s, f"merge of batch {batch_id}")
         if marks:
             marks.mark(spark, batch_id)
 
 
+def run_jdbc_statement(spark: SparkSession, url: str, sql: str, user: str | None = None,
+                       password: str | None = None, driver: str | None = None) -> int:
+    """Run one SQL statement over a JDBC connection opened by the driver's JVM.
+
+    Returns the update count (-1 for statements without one).
+    """
+    jvm = spark.sparkContext._jvm
+    if driver:
+        jvm.java.lang.Class.forName(driver)
+    props = jvm.java.util.Properties()
+    if user is not None:
+        props.setProperty("user", user)
+    if password is not None:
+        props.setProperty("password", password)
+    conn = jvm.java.sql.DriverManager.getConnection(url, props)
+    try:
+        stmt = conn.createStatement()
+        try:
+            stmt.execute(sql)
+            return stmt.getUpdateCount()
+        finally:
+            stmt.close()
+    finally:
+        conn.close()
+
+
 def traffic_bind_order(traffic: DataFrame) -> DataFrame:
     """The traffic sink's column order (from, to, count, start, end, kind, job)."""
     return traffic.select("from_node", "to_node", "packet_count", "window_start",

@@ -140,6 +140,22 @@ def test_jdbc_write_retries_then_raises(spark, folder):
     assert not CommitLog(f"{folder}/jc").done(spark, 0)
 
 
+def test_jdbc_staging_and_merge_options():
+    t = JdbcTarget(url="jdbc:postgresql://db/x", table="traffic", staging_table="traffic_stage",
+                   merge_sql="INSERT INTO traffic SELECT * FROM traffic_stage ON CONFLICT DO NOTHING")
+    opts = t.options()
+    assert opts["dbtable"] == "traffic_stage" and opts["truncate"] == "true"
+    with pytest.raises(ValueError):
+        JdbcTarget(url="jdbc:x", table="t", merge_sql="MERGE …")
+
+
+def test_jdbc_statement_without_a_driver_raises(spark):
+    from packetflow.sinks.batch import run_jdbc_statement
+
+    with pytest.raises(Exception):
+        run_jdbc_statement(spark, "jdbc:nosuchdb://nowhere", "SELECT 1")
+
+
 def test_jdbc_catalog_conf():
     conf = jdbc_catalog_conf("radio", "jdbc:postgresql://h:5432/", "u", "pw")
     assert conf["spark.sql.catalog.radio"].endswith("JDBCTableCatalog")
