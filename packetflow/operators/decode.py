@@ -173,17 +173,29 @@ def _decode_batch(batch: pa.RecordBatch, parse, lay: _Layout) -> pa.RecordBatch:
 
 def decode_packets(raw: DataFrame, descriptor_set: bytes, message: str,
                    parts: tuple[str, ...] = PARTS,
-                   packet_fields: tuple[str, ...] | None = None) -> DataFrame:
+                   packet_fields: tuple[str, ...] | None = None,
+                   engine: str = "arrow") -> DataFrame:
     """`value BINARY, timestamp TIMESTAMP` -> the `packets` layout (schema.PACKETS).
 
     A narrow, per-partition step: no shuffle, no driver round-trip.
     `packet_fields` (None = all) may leave out any of OPTIONAL_PACKET_FIELDS,
     which then come out null: `mapInArrow` is opaque to Catalyst's column
     pruning, so callers say what they read.
+
+    `engine`: "arrow" (protobuf runtime in Python workers), "jvm" (Spark's
+    `from_protobuf`; needs the spark-protobuf jar, see operators.decode_jvm),
+    or "auto" (jvm when the jar is on the classpath).
     """
     unknown = set(parts) - set(PARTS)
     if unknown:
         raise ValueError(f"unknown parts: {sorted(unknown)}")
+    if engine not in ("arrow", "jvm", "auto"):
+        raise ValueError(f"unknown engine: {engine}")
+    if engine != "arrow":
+        from packetflow.operators.decode_jvm import decode_packets_jvm, jvm_protobuf_available
+
+        if engine == "jvm" or jvm_protobuf_available(raw.sparkSession):
+            return decode_packets_jvm(raw, descriptor_set, message, tuple(parts))
     if packet_fields is not None:
         extra = set(packet_fields) - set(S.PACKET.fieldNames())
         if extra:

@@ -43,9 +43,12 @@ TRAFFIC_FIELDS = ("from", "to", "encrypted", "decoded", "portnum")
 
 def decoded(raw: DataFrame, descriptor_set: bytes, message: str,
             parts: tuple[str, ...], delay: str | None = DEFAULT_DELAY,
-            packet_fields: tuple[str, ...] | None = None) -> DataFrame:
-    """Decode once, then set the watermark (order matters, see streaming.watermark)."""
-    packets = decode_packets(raw, descriptor_set, message, parts, packet_fields)
+            packet_fields: tuple[str, ...] | None = None, engine: str = "arrow") -> DataFrame:
+    """Decode once, then set the watermark (order matters, see streaming.watermark).
+
+    `engine` picks the decoder (operators.decode.decode_packets).
+    """
+    packets = decode_packets(raw, descriptor_set, message, parts, packet_fields, engine)
     return with_event_time(packets, delay)
 
 
@@ -53,8 +56,8 @@ def decoded(raw: DataFrame, descriptor_set: bytes, message: str,
 
 def traffic_plan(raw: DataFrame, descriptor_set: bytes, message: str,
                  window_minutes: int = DEFAULT_WINDOW_MINUTES, job_id: str | None = None,
-                 delay: str | None = DEFAULT_DELAY) -> DataFrame:
-    packets = decoded(raw, descriptor_set, message, ("packet",), delay, TRAFFIC_FIELDS)
+                 delay: str | None = DEFAULT_DELAY, engine: str = "arrow") -> DataFrame:
+    packets = decoded(raw, descriptor_set, message, ("packet",), delay, TRAFFIC_FIELDS, engine)
     return traffic_bind_order(packet_traffic(packets, window_minutes, job_id))
 
 
@@ -74,8 +77,9 @@ def run_traffic_job(raw: DataFrame, target: Target, checkpoint: str, descriptor_
 # ------------------------------------------------------------------ J2
 
 def node_info_plan(raw: DataFrame, descriptor_set: bytes, message: str,
-                   zone: str | None = None) -> DataFrame:
-    return node_info(decoded(raw, descriptor_set, message, ("node_info",), None), zone)
+                   zone: str | None = None, engine: str = "arrow") -> DataFrame:
+    return node_info(decoded(raw, descriptor_set, message, ("node_info",), None,
+                             engine=engine), zone)
 
 
 def run_node_info_job(raw: DataFrame, checkpoint: str, descriptor_set: bytes, message: str,
@@ -109,8 +113,9 @@ def run_node_info_job(raw: DataFrame, checkpoint: str, descriptor_set: bytes, me
 # ------------------------------------------------------------------ J3
 
 def text_plan(raw: DataFrame, descriptor_set: bytes, message: str, charset: str = "utf-8",
-              zone: str | None = None, job_id: str | None = None) -> DataFrame:
-    packets = decoded(raw, descriptor_set, message, ("packet",), None)
+              zone: str | None = None, job_id: str | None = None,
+              engine: str = "arrow") -> DataFrame:
+    packets = decoded(raw, descriptor_set, message, ("packet",), None, engine=engine)
     return text_messages(packets, charset, zone, job_id)
 
 
