@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 
 from packetflow import schema as S
 from packetflow.operators.protobuf import UNRECOGNIZED, enum_names, message_class, oneof_of
+from packetflow.session import ship_package
 
 PARTS = ("packet", "node_info")
 
@@ -202,6 +203,7 @@ def decode_packets(raw: DataFrame, descriptor_set: bytes, message: str,
             raise ValueError(f"unknown packet fields: {sorted(extra)}")
         packet_fields = tuple(packet_fields)
     parts = tuple(parts)
+    ship_package(raw.sparkSession)
 
     def run(batches):
         cls = message_class(descriptor_set, message)

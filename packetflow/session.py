@@ -6,8 +6,11 @@ Library functions never build their own session; they take the caller's.
 
 from __future__ import annotations
 
+import os
 import tempfile
+import threading
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -72,3 +75,35 @@ def checkpoint_root(spark: SparkSession) -> str:
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new, unique sub-folder of the shared checkpoint folder for one run."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+_SHIPPED: set[str] = set()
+_SHIP_LOCK = threading.Lock()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make `packetflow` importable in the application's Python workers.
+
+    Python steps (decode, charset UDF, webhook) are unpickled on executors by
+    importing this package. When it is not installed there (or not on the
+    workers' path), a zip of it is added with `addPyFile`, once per
+    application; Spark serves it to every executor.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    with _SHIP_LOCK:
+        if app in _SHIPPED:
+            return
+        root = os.path.dirname(os.path.abspath(__file__))
+        fd, path = tempfile.mkstemp(prefix="packetflow-", suffix=".zip")
+        os.close(fd)
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+            for folder, _, files in os.walk(root):
+                for name in files:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        zf.write(full, os.path.relpath(full, os.path.dirname(root)))
+        sc.addPyFile(path)
+        _SHIPPED.add(app)

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packetflow.operators.messages import notification_json
+from packetflow.session import ship_package
 
 log = logging.getLogger(__name__)
 
@@ -51,6 +52,7 @@ class HttpSender:
 def send_notifications(notes: DataFrame, sender: Sender) -> DataFrame:
     """(title, message, priority) rows -> (body, status) after sending each."""
     bodies = notification_json(notes)
+    ship_package(notes.sparkSession)
 
     def deliver(batches):
         for pdf in batches:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 
 from packetflow import schema as S
 from packetflow.operators.protobuf import enum_numbers, message_class
+from packetflow.session import ship_package
 
 MASK = 0xFFFFFFFF
 
@@ -62,6 +63,7 @@ def _encode_batch(batch: pa.RecordBatch, cls, ports: dict, roles: dict) -> list[
 
 def encode_packets(packets: DataFrame, descriptor_set: bytes, message: str) -> DataFrame:
     """schema.PACKETS -> schema.PACKETS_RAW."""
+    ship_package(packets.sparkSession)
 
     def run(batches):
         cls = message_class(descriptor_set, message)
