@@ -36,6 +36,10 @@ log = logging.getLogger(__name__)
 
 Target = TableTarget | JdbcTarget
 
+# Fixed value: the reference's sink flush interval, used as the trigger of an
+# unbounded stream. Pass trigger="available-now" to drain what is there and stop.
+DEFAULT_TRIGGER = "200 milliseconds"
+
 
 # Packet fields J1 reads (kind and node pair); the rest is not decoded.
 TRAFFIC_FIELDS = ("from", "to", "encrypted", "decoded", "portnum")
@@ -63,7 +67,7 @@ def traffic_plan(raw: DataFrame, descriptor_set: bytes, message: str,
 
 def run_traffic_job(raw: DataFrame, target: Target, checkpoint: str, descriptor_set: bytes,
                     message: str, window_minutes: int = DEFAULT_WINDOW_MINUTES,
-                    job_id: str | None = None, trigger=None,
+                    job_id: str | None = None, trigger=DEFAULT_TRIGGER,
                     query_name: str = "packet-traffic") -> StreamingQuery | None:
     """J1 (job kind "default"). Returns the streaming query, or None for a batch."""
     traffic = traffic_plan(raw, descriptor_set, message, window_minutes, job_id)
@@ -83,7 +87,7 @@ def node_info_plan(raw: DataFrame, descriptor_set: bytes, message: str,
 
 
 def run_node_info_job(raw: DataFrame, checkpoint: str, descriptor_set: bytes, message: str,
-                      sink_ddl: str | None, zone: str | None = None, trigger=None,
+                      sink_ddl: str | None, zone: str | None = None, trigger=DEFAULT_TRIGGER,
                       query_name: str = "node-info") -> StreamingQuery | None:
     """J2 (job kind "node-info"): rows inserted with the user's sink DDL.
 
@@ -144,7 +148,7 @@ def text_batch_writer(target: Target, checkpoint: str, sender: Sender | None = N
 def run_text_job(raw: DataFrame, target: Target, checkpoint: str, descriptor_set: bytes,
                  message: str, charset: str = "utf-8", zone: str | None = None,
                  job_id: str | None = None, sender: Sender | None = None,
-                 audit_target: Target | None = None, trigger=None,
+                 audit_target: Target | None = None, trigger=DEFAULT_TRIGGER,
                  query_name: str = "text-app") -> StreamingQuery | None:
     """J3 (job kind "text-app"): text rows to a table and a webhook.
 

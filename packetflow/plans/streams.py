@@ -26,6 +26,7 @@ from packetflow.streaming.runner import run_to_end, start_stream
 
 # Fixed values.
 STREAM_TIMEOUT_S = 1800
+AVAILABLE_NOW = "available-now"
 NODE_INFO_COLUMNS = ("node_id BIGINT, user_id STRING, user_name STRING, "
                      "user_long_name STRING, user_role STRING, last_heard TIMESTAMP_NTZ, "
                      "hops_away INT, snr FLOAT")
@@ -54,7 +55,8 @@ def traffic_sink(spark: SparkSession, sf_dir: str, job_id: str) -> DataFrame:
     raw = _stage(spark, X.events_packets(spark, sf_dir), folder)
     target = TableTarget(f"{folder}/traffic")
     query = run_traffic_job(raw, target, f"{folder}/checkpoint", fixture_descriptor_set(),
-                            ENVELOPE, job_id=job_id, query_name="traffic_sink")
+                            ENVELOPE, job_id=job_id, trigger=AVAILABLE_NOW,
+                            query_name="traffic_sink")
     run_to_end(query, STREAM_TIMEOUT_S)
     return target.read(spark)
 
@@ -68,7 +70,7 @@ def node_info_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     ddl = (f"CREATE TABLE node_info_sink ({NODE_INFO_COLUMNS}) USING parquet "
            f"LOCATION '{folder}/table'")
     query = run_node_info_job(raw, f"{folder}/checkpoint", fixture_descriptor_set(), ENVELOPE,
-                              ddl, zone="UTC", query_name="node_info_sink")
+                              ddl, zone="UTC", trigger=AVAILABLE_NOW, query_name="node_info_sink")
     run_to_end(query, STREAM_TIMEOUT_S)
     return spark.read.parquet(f"{folder}/table")
 
@@ -80,6 +82,6 @@ def text_sink(spark: SparkSession, sf_dir: str, job_id: str) -> DataFrame:
     target = TableTarget(f"{folder}/text")
     query = run_text_job(raw, target, f"{folder}/checkpoint", fixture_descriptor_set(), ENVELOPE,
                          zone="UTC", job_id=job_id, audit_target=TableTarget(f"{folder}/audit"),
-                         query_name="text_sink")
+                         trigger=AVAILABLE_NOW, query_name="text_sink")
     run_to_end(query, STREAM_TIMEOUT_S)
     return target.read(spark)

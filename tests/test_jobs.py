@@ -41,6 +41,17 @@ def test_job_kinds():
     assert set(JOB_KINDS) == {"default", "node-info", "text-app"}
 
 
+def test_unbounded_job_keeps_running_on_a_200ms_trigger(spark, folder, topic):
+    q = run_traffic_job(parquet_packet_stream(spark, topic), TableTarget(f"{folder}/t"),
+                        f"{folder}/ck", DESC, ENVELOPE, query_name="running_test")
+    try:
+        q.processAllAvailable()
+        assert q.isActive and q.lastProgress is not None
+    finally:
+        q.stop()
+    assert TableTarget(f"{folder}/t").read(spark).count() > 0
+
+
 def test_bounded_replay_traffic_flushes_every_window(spark, folder, topic):
     raw = parquet_packets(spark, topic, start="2024-01-02T00:00:00Z", end="2024-01-03T00:00:00Z")
     target = TableTarget(f"{folder}/traffic")
@@ -56,7 +67,8 @@ def test_text_stream_reports_messages_and_notifies(spark, folder, topic, tmp_pat
     target = TableTarget(f"{folder}/text")
     q = run_text_job(parquet_packet_stream(spark, topic, max_files_per_trigger=1), target,
                      f"{folder}/ck", DESC, ENVELOPE, zone="UTC", job_id="j",
-                     sender=FakeSender(str(sent)), query_name="text_test")
+                     sender=FakeSender(str(sent)), trigger="available-now",
+                     query_name="text_test")
     run_to_end(q, 600)
     rows = target.read(spark).count()
     want = X.conversation_packets(spark, SF_SMALL).where("packet.portnum = 'TEXT_MESSAGE_APP'")
@@ -87,7 +99,8 @@ def test_traffic_stream_matches_batch_on_closed_windows(spark, folder):
     encode_packets(packets, DESC, ENVELOPE).write.parquet(f"{folder}/in")
     target = TableTarget(f"{folder}/out")
     q = run_traffic_job(parquet_packet_stream(spark, f"{folder}/in"), target, f"{folder}/ck",
-                        DESC, ENVELOPE, 10, "j", query_name="traffic_job_test")
+                        DESC, ENVELOPE, 10, "j", trigger="available-now",
+                        query_name="traffic_job_test")
     run_to_end(q, 600)
     batch = TableTarget(f"{folder}/batch")
     run_traffic_job(parquet_packets(spark, f"{folder}/in"), batch, f"{folder}/ck2", DESC,
