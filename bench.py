@@ -105,13 +105,16 @@ def main() -> None:
     spark = local_session(cpus, shuffle_partitions=max(cpus, 8), app="packetflow-bench",
                           extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="pf-bench-")})
     stage_topic(spark, sf_dir, cpus)
-    results = {}
+    results, errors = {}, {}
     for name, fn in HEADLINE.items():
         if only and name not in only:
             continue
-        run_once(spark, fn, sf_dir)  # warm-up
-        results[name] = round(statistics.median(run_once(spark, fn, sf_dir)
-                                                for _ in range(runs)), 3)
+        try:
+            run_once(spark, fn, sf_dir)  # warm-up
+            results[name] = round(statistics.median(run_once(spark, fn, sf_dir)
+                                                    for _ in range(runs)), 3)
+        except Exception as exc:  # noqa: BLE001 - report and go on with the others
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:300]}"
     events = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     packets = spark.read.parquet(TOPIC["path"]).count()
     spark.stop()
@@ -129,6 +132,7 @@ def main() -> None:
         if results.get("traffic_window") else None,
         "traffic_raw_packets_per_sec": round(packets / results["traffic_raw"])
         if results.get("traffic_raw") else None,
+        "errors": errors,
     }))
 
 
