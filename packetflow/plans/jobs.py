@@ -68,9 +68,10 @@ def traffic_plan(raw: DataFrame, descriptor_set: bytes, message: str,
 def run_traffic_job(raw: DataFrame, target: Target, checkpoint: str, descriptor_set: bytes,
                     message: str, window_minutes: int = DEFAULT_WINDOW_MINUTES,
                     job_id: str | None = None, trigger=DEFAULT_TRIGGER,
-                    query_name: str = "packet-traffic") -> StreamingQuery | None:
+                    query_name: str = "packet-traffic", engine: str = "arrow",
+                    delay: str | None = DEFAULT_DELAY) -> StreamingQuery | None:
     """J1 (job kind "default"). Returns the streaming query, or None for a batch."""
-    traffic = traffic_plan(raw, descriptor_set, message, window_minutes, job_id)
+    traffic = traffic_plan(raw, descriptor_set, message, window_minutes, job_id, delay, engine)
     if not traffic.isStreaming:
         target.write(traffic, 0)
         return None
@@ -88,7 +89,7 @@ def node_info_plan(raw: DataFrame, descriptor_set: bytes, message: str,
 
 def run_node_info_job(raw: DataFrame, checkpoint: str, descriptor_set: bytes, message: str,
                       sink_ddl: str | None, zone: str | None = None, trigger=DEFAULT_TRIGGER,
-                      query_name: str = "node-info") -> StreamingQuery | None:
+                      query_name: str = "node-info", engine: str = "arrow") -> StreamingQuery | None:
     """J2 (job kind "node-info"): rows inserted with the user's sink DDL.
 
     Without DDL nothing runs, as in the reference. The DDL runs once, up
@@ -96,7 +97,7 @@ def run_node_info_job(raw: DataFrame, checkpoint: str, descriptor_set: bytes, me
     `INSERT INTO node_info_sink SELECT * FROM NodeInfo`. A replayed batch id
     is skipped (commit markers next to the checkpoint).
     """
-    rows = node_info_plan(raw, descriptor_set, message, zone)
+    rows = node_info_plan(raw, descriptor_set, message, zone, engine)
     if not create_sink(rows.sparkSession, sink_ddl):
         return None
     if not rows.isStreaming:
@@ -149,14 +150,14 @@ def run_text_job(raw: DataFrame, target: Target, checkpoint: str, descriptor_set
                  message: str, charset: str = "utf-8", zone: str | None = None,
                  job_id: str | None = None, sender: Sender | None = None,
                  audit_target: Target | None = None, trigger=DEFAULT_TRIGGER,
-                 query_name: str = "text-app") -> StreamingQuery | None:
+                 query_name: str = "text-app", engine: str = "arrow") -> StreamingQuery | None:
     """J3 (job kind "text-app"): text rows to a table and a webhook.
 
     A2: the number of text rows per batch is reported as observed metric
     `messages`; the audit lines themselves go to `audit_target` (a table),
     not into a list held by the driver.
     """
-    texts = text_plan(raw, descriptor_set, message, charset, zone, job_id)
+    texts = text_plan(raw, descriptor_set, message, charset, zone, job_id, engine)
     each_batch = text_batch_writer(target, checkpoint, sender, audit_target)
     if not texts.isStreaming:
         each_batch(texts, 0)

@@ -106,3 +106,14 @@ def test_replayed_batch_id_does_not_duplicate(spark, folder):
     target.write(df, 7)
     target.write(df.limit(1), 8)
     assert target.read(spark).count() == 3
+
+
+def test_ntz_event_time_is_read_as_timestamp_for_the_watermark(spark, folder):
+    import datetime as dt
+
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 1), 1)], "ts timestamp_ntz, v int")
+    df.write.parquet(f"{folder}/ntz")
+    stream = spark.readStream.schema(df.schema).parquet(f"{folder}/ntz")
+    out = with_event_time(stream, column="ts")
+    assert out.schema["ts"].dataType.simpleString() == "timestamp"
+    assert "EventTimeWatermark" in out._jdf.queryExecution().logical().toString()
