@@ -126,25 +126,32 @@ def q_audit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ D1 decode
 
-def decoded_flat(packets: DataFrame) -> DataFrame:
-    p, n = F.col("packet"), F.col("node_info")
-    return packets.select(
+def _decoded_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decode_packets(X.raw_packets(spark, sf_dir), fixture_descriptor_set(), ENVELOPE)
+
+
+def q_decoded_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 over the whole topic; the packet members, flattened."""
+    p = F.col("packet")
+    return _decoded_topic(spark, sf_dir).where(F.col("variant") == "packet").select(
         "timestamp", "variant",
         p["from"].alias("p_from"), p["to"].alias("p_to"), p["channel"].alias("p_channel"),
         p["rx_time"].alias("p_rx_time"), p["encrypted"].alias("encrypted"),
         p["decoded"].alias("decoded"), p["portnum"].alias("portnum"),
-        p["payload"].cast("string").alias("payload_text"),
+        p["payload"].cast("string").alias("payload_text"))
+
+
+def q_decoded_node_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 over the whole topic; the node-info members, flattened."""
+    n = F.col("node_info")
+    return _decoded_topic(spark, sf_dir).where(F.col("variant") == "node_info").select(
+        "timestamp", "variant",
         n["num"].alias("n_num"), n["user_id"].alias("n_user_id"),
         n["short_name"].alias("n_short_name"), n["long_name"].alias("n_long_name"),
         n["role"].alias("n_role"), n["last_heard"].alias("n_last_heard"),
         n["hops_away"].alias("n_hops_away"), n["snr"].alias("n_snr"))
 
 
-def q_decoded_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = X.raw_packets(spark, sf_dir)
-    return decoded_flat(decode_packets(raw, fixture_descriptor_set(), ENVELOPE))
-
-
 # ----------------------------------------------- J1-J3 from protobuf bytes
 
 def _bytes(spark, sf_dir):
@@ -239,7 +246,12 @@ tm AS (
         "audit_lines": texts.format(jid=job_id("audit_lines"))
         + f"\nSELECT {O.iso_local_text('time')} || ' form: ' || from_node || ', chan: ' "
           "|| channel || ', text: ' || text AS line FROM tm",
-        "decoded_packets": f"WITH {O.ALL}\nSELECT * FROM allp",
+        "decoded_packets": f"WITH {O.ALL}\nSELECT timestamp, variant, p_from, p_to, "
+                           "p_channel, p_rx_time, encrypted, decoded, portnum, payload_text "
+                           "FROM allp WHERE variant = 'packet'",
+        "decoded_node_info": f"WITH {O.ALL}\nSELECT timestamp, variant, n_num, n_user_id, "
+                             "n_short_name, n_long_name, n_role, n_last_heard, n_hops_away, "
+                             "n_snr FROM allp WHERE variant = 'node_info'",
         "traffic_decoded": all_ctx + _traffic_sql(10, job_id("traffic_decoded")),
         "node_info_decoded": f"WITH {O.ALL}\nSELECT {O.unsigned('n_num')} AS node_id, "
                              "n_user_id AS user_id, n_short_name AS user_name, "
@@ -276,6 +288,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "notifications": q_notifications,
     "audit_lines": q_audit_lines,
     "decoded_packets": q_decoded_packets,
+    "decoded_node_info": q_decoded_node_info,
     "traffic_decoded": q_traffic_decoded,
     "node_info_decoded": q_node_info_decoded,
     "text_decoded": q_text_decoded,
