@@ -182,6 +182,11 @@ def q_stream_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_traffic(spark, sf_dir, job_id("stream_traffic"))
 
 
+def q_stream_traffic_restarts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from packetflow.plans.streams import stream_traffic_restarts
+    return stream_traffic_restarts(spark, sf_dir, job_id("stream_traffic_restarts"))
+
+
 def q_traffic_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     from packetflow.plans.streams import traffic_sink
     return traffic_sink(spark, sf_dir, job_id("traffic_sink"))
@@ -266,6 +271,8 @@ tm AS (
                         "WHERE variant = 'packet' AND decoded AND portnum = 'TEXT_MESSAGE_APP'",
         "stream_traffic": _EVENTS_CTX + ", t AS (" + _traffic_sql(10, job_id("stream_traffic"))
         + ")" + closed,
+        "stream_traffic_restarts": _EVENTS_CTX + ", t AS ("
+        + _traffic_sql(10, job_id("stream_traffic_restarts")) + ")" + closed,
         "traffic_sink": _EVENTS_CTX + ", t AS (" + _traffic_sql(10, job_id("traffic_sink"))
         + ")" + closed,
         "node_info_sink": node_sql,
@@ -293,6 +300,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "node_info_decoded": q_node_info_decoded,
     "text_decoded": q_text_decoded,
     "stream_traffic": q_stream_traffic,
+    "stream_traffic_restarts": q_stream_traffic_restarts,
     "traffic_sink": q_traffic_sink,
     "node_info_sink": q_node_info_sink,
     "text_sink": q_text_sink,
