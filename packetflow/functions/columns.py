@@ -15,10 +15,10 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from packetflow.fixed import DEFAULT_CHARSET, UINT32_MASK
+
 log = logging.getLogger(__name__)
 
-# Fixed values.
-UINT32_MASK = 0xFFFFFFFF
 EPOCH_NTZ = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 # Charset names handled by JVM built-ins rather than a Python UDF.
 UTF8_NAMES = {"utf-8", "utf8"}
@@ -126,7 +126,7 @@ def _decode_series(codec: str):
     return decode
 
 
-def bytes_to_text(c, charset: str = "utf-8") -> Column:
+def bytes_to_text(c, charset: str = DEFAULT_CHARSET) -> Column:
     """Payload bytes -> text in a named charset.
 
     Malformed input becomes U+FFFD, never an error. UTF-8 and ISO-8859-1 stay

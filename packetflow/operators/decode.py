@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from packetflow import schema as S
+from packetflow.fixed import UINT32_MASK
 from packetflow.operators.protobuf import UNRECOGNIZED, enum_names, message_class, oneof_of
 from packetflow.session import ship_package
 
@@ -40,7 +41,7 @@ def _int32(values: list) -> pa.Array:
     # Wire ints may be unsigned (fixed32/uint32): keep the low 32 bits, signed,
     # as a Java int would.
     arr = np.asarray(values, dtype=np.int64)
-    return pa.array((arr & 0xFFFFFFFF).astype(np.uint32).view(np.int32))
+    return pa.array((arr & UINT32_MASK).astype(np.uint32).view(np.int32))
 
 
 def _struct(arrays: list, spark_struct, null_mask: list) -> pa.Array:

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packetflow import schema as S
+from packetflow.fixed import UINT32_MASK
 from packetflow.operators.protobuf import UNRECOGNIZED, enum_names, message_class, oneof_of
 
 # Fixed value: prefix of names Spark gives to unknown enum numbers.
@@ -38,7 +39,7 @@ def jvm_protobuf_available(spark: SparkSession) -> bool:
 
 def _int32(c: Column) -> Column:
     # int or (with upcast.unsigned.ints) long -> the low 32 bits as signed int.
-    low = F.coalesce(c, F.lit(0)).cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF))
+    low = F.coalesce(c, F.lit(0)).cast("bigint").bitwiseAND(F.lit(UINT32_MASK))
     return F.when(low >= F.lit(2 ** 31), low - F.lit(2 ** 32)).otherwise(low).cast("int")
 
 

@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed values.
-TEXT_PORT = "TEXT_MESSAGE_APP"
+from packetflow.fixed import TEXT_MESSAGE_PORT as TEXT_PORT
+
 _NEVER_BEFORE = -(2 ** 62)  # micros; every real event time is after this
 
 

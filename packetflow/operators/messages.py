@@ -13,6 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packetflow import schema as S
+from packetflow.fixed import (
+    AUDIT_FORMAT,
+    DEFAULT_CHARSET,
+    MESSAGE_TEXT_PREFIX,
+    MESSAGE_TIME_PREFIX,
+    PRIORITY,
+    TITLE_FORMAT,
+)
 from packetflow.functions.columns import (
     bytes_to_text,
     epoch_seconds_to_local,
@@ -25,13 +33,8 @@ from packetflow.operators.traffic import new_job_id
 
 log = logging.getLogger(__name__)
 
-# Fixed values.
-PRIORITY = 2
-TITLE_FORMAT = "Message from node: (%d) on channel: (%d)"
-AUDIT_FORMAT = "%s form: %d, chan: %d, text: %s"
-
 
-def text_messages(packets: DataFrame, charset: str = "utf-8", zone: str | None = None,
+def text_messages(packets: DataFrame, charset: str = DEFAULT_CHARSET, zone: str | None = None,
                   job_id: str | None = None) -> DataFrame:
     """J3 core: one row per text-message packet, in schema.TEXT_MESSAGES.
 
@@ -61,7 +64,8 @@ def notifications(messages: DataFrame) -> DataFrame:
     """Title, message and priority of the notification for each text row."""
     return messages.select(
         F.format_string(TITLE_FORMAT, "from_node", "channel").alias("title"),
-        F.concat(F.lit("Time: "), iso_local_text("time"), F.lit("\nText: "), F.col("text"))
+        F.concat(F.lit(MESSAGE_TIME_PREFIX), iso_local_text("time"), F.lit(MESSAGE_TEXT_PREFIX),
+                 F.col("text"))
         .alias("message"),
         F.lit(PRIORITY).cast("int").alias("priority"))
 

@@ -9,9 +9,9 @@ import hashlib
 
 from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
 
-_CLASSES: dict[tuple[str, str], type] = {}
+from packetflow.fixed import UNRECOGNIZED
 
-UNRECOGNIZED = "UNRECOGNIZED"
+_CLASSES: dict[tuple[str, str], type] = {}
 
 
 def message_class(descriptor_set: bytes, message: str):

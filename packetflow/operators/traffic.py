@@ -14,12 +14,10 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from packetflow.fixed import DEFAULT_WINDOW_MINUTES, ENCRYPTED_KIND as ENCRYPTED
 from packetflow.functions.columns import count_as_int, unsigned32
 from packetflow.operators.filters import keep_packets
 
-ENCRYPTED = "ENCRYPTED"
-DEFAULT_WINDOW_MINUTES = 10
-
 
 def new_job_id() -> str:
     """A 32-hex id stamped on every output row of one run."""

@@ -21,6 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from packetflow.fixed import (
+    DEFAULT_CHARSET,
+    JOB_KIND_NODE_INFO,
+    JOB_KIND_TEXT,
+    JOB_KIND_TRAFFIC,
+    SINK_INTERVAL,
+)
 from packetflow.operators.decode import decode_packets
 from packetflow.operators.messages import audit_lines, notifications, text_messages
 from packetflow.operators.nodes import node_info
@@ -36,9 +43,9 @@ log = logging.getLogger(__name__)
 
 Target = TableTarget | JdbcTarget
 
-# Fixed value: the reference's sink flush interval, used as the trigger of an
-# unbounded stream. Pass trigger="available-now" to drain what is there and stop.
-DEFAULT_TRIGGER = "200 milliseconds"
+# The reference's sink flush interval is the trigger of an unbounded stream.
+# Pass trigger="available-now" to drain what is there and stop.
+DEFAULT_TRIGGER = SINK_INTERVAL
 
 
 # Packet fields J1 reads (kind and node pair); the rest is not decoded.
@@ -117,7 +124,7 @@ def run_node_info_job(raw: DataFrame, checkpoint: str, descriptor_set: bytes, me
 
 # ------------------------------------------------------------------ J3
 
-def text_plan(raw: DataFrame, descriptor_set: bytes, message: str, charset: str = "utf-8",
+def text_plan(raw: DataFrame, descriptor_set: bytes, message: str, charset: str = DEFAULT_CHARSET,
               zone: str | None = None, job_id: str | None = None,
               engine: str = "arrow") -> DataFrame:
     packets = decoded(raw, descriptor_set, message, ("packet",), None, engine=engine)
@@ -147,7 +154,7 @@ def text_batch_writer(target: Target, checkpoint: str, sender: Sender | None = N
 
 
 def run_text_job(raw: DataFrame, target: Target, checkpoint: str, descriptor_set: bytes,
-                 message: str, charset: str = "utf-8", zone: str | None = None,
+                 message: str, charset: str = DEFAULT_CHARSET, zone: str | None = None,
                  job_id: str | None = None, sender: Sender | None = None,
                  audit_target: Target | None = None, trigger=DEFAULT_TRIGGER,
                  query_name: str = "text-app", engine: str = "arrow") -> StreamingQuery | None:
@@ -167,7 +174,7 @@ def run_text_job(raw: DataFrame, target: Target, checkpoint: str, descriptor_set
 
 
 JOB_KINDS = {
-    "default": run_traffic_job,
-    "node-info": run_node_info_job,
-    "text-app": run_text_job,
+    JOB_KIND_TRAFFIC: run_traffic_job,
+    JOB_KIND_NODE_INFO: run_node_info_job,
+    JOB_KIND_TEXT: run_text_job,
 }

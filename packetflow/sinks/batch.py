@@ -30,9 +30,8 @@ from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
 
-# The reference's JDBC write policy.
-JDBC_BATCH_SIZE = 100
-JDBC_RETRIES = 5
+from packetflow.fixed import JDBC_BATCH_SIZE, JDBC_RETRIES
+
 JDBC_RETRY_PAUSE_S = 0.2
 
 

@@ -14,9 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 log = logging.getLogger(__name__)
 
-# Fixed values of the reference's SQL.
-VIEW = "NodeInfo"
-INSERT = "INSERT INTO node_info_sink SELECT * FROM NodeInfo"
+from packetflow.fixed import NODE_INFO_INSERT as INSERT, NODE_INFO_VIEW as VIEW
+
 JDBC_CATALOG_CLASS = "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog"
 
 

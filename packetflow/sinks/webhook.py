@@ -19,13 +19,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from packetflow.fixed import HTTP_TIMEOUT_S
 from packetflow.operators.messages import notification_json
 from packetflow.session import ship_package
 
 log = logging.getLogger(__name__)
 
-# Fixed value: connect timeout and wait per message, seconds.
-HTTP_TIMEOUT_S = 60
 
 Sender = Callable[[str], int]
 

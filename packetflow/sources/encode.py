@@ -9,11 +9,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from packetflow import schema as S
+from packetflow.fixed import UINT32_MASK as MASK
 from packetflow.operators.protobuf import enum_numbers, message_class
 from packetflow.session import ship_package
 
-MASK = 0xFFFFFFFF
-
 
 def _children(batch: pa.RecordBatch, name: str, fields) -> dict[str, list]:
     col = batch.column(batch.schema.get_field_index(name))

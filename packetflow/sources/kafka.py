@@ -20,7 +20,8 @@ from packetflow.sources.files import require_value
 
 log = logging.getLogger(__name__)
 
-GROUP_ID = "group.id"
+from packetflow.fixed import GROUP_ID_KEY as GROUP_ID
+
 _SEPARATOR = re.compile(r"\s*[=:]\s*|\s+")
 
 

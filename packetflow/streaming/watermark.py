@@ -16,8 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed value: the reference's out-of-orderness bound.
-DEFAULT_DELAY = "5 seconds"
+from packetflow.fixed import OUT_OF_ORDERNESS as DEFAULT_DELAY
 
 
 def with_event_time(df: DataFrame, delay: str | None = DEFAULT_DELAY,
