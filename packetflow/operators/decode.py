@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from packetflow import schema as S
-from packetflow.fixed import UINT32_MASK
-from packetflow.operators.protobuf import UNRECOGNIZED, enum_names, message_class, oneof_of
+from packetflow.fixed import UINT32_MASK, UNRECOGNIZED
+from packetflow.operators.protobuf import enum_names, message_class, oneof_of
 from packetflow.session import ship_package
 
 PARTS = ("packet", "node_info")

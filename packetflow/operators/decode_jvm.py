@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packetflow import schema as S
-from packetflow.fixed import UINT32_MASK
-from packetflow.operators.protobuf import UNRECOGNIZED, enum_names, message_class, oneof_of
+from packetflow.fixed import UINT32_MASK, UNRECOGNIZED
+from packetflow.operators.protobuf import enum_names, message_class, oneof_of
 
 # Fixed value: prefix of names Spark gives to unknown enum numbers.
 UNKNOWN_ENUM_PREFIX = "UNKNOWN_ENUM_VALUE_"

@@ -9,8 +9,6 @@ import hashlib
 
 from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
 
-from packetflow.fixed import UNRECOGNIZED
-
 _CLASSES: dict[tuple[str, str], type] = {}
 
 
