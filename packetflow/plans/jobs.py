@@ -35,7 +35,7 @@ from packetflow.operators.traffic import DEFAULT_WINDOW_MINUTES, packet_traffic
 from packetflow.sinks.batch import CommitLog, JdbcTarget, TableTarget, text_bind_order, \
     traffic_bind_order
 from packetflow.sinks.sql import create_sink, insert_via_view
-from packetflow.sinks.webhook import Sender, deliver_batch
+from packetflow.sinks.webhook import HttpSender, Sender, deliver_batch
 from packetflow.streaming.runner import start_stream
 from packetflow.streaming.watermark import DEFAULT_DELAY, with_event_time
 
@@ -132,7 +132,7 @@ def text_plan(raw: DataFrame, descriptor_set: bytes, message: str, charset: str
 
 
 def text_batch_writer(target: Target, checkpoint: str, sender: Sender | None = None,
-                      audit_target: Target | None = None):
+                      audit_target: Target | None = None, webhook_tasks: int | None = None):
     """One batch of text rows to the table, the audit table and the webhook."""
     sent = CommitLog(f"{checkpoint}/webhook-commits")
 
@@ -143,7 +143,7 @@ def text_batch_writer(target: Target, checkpoint: str, sender: Sender | None = N
             if audit_target is not None:
                 audit_target.write(audit_lines(df), batch_id)
             if sender is not None and not sent.done(df.sparkSession, batch_id):
-                n, failed = deliver_batch(notifications(df), sender)
+                n, failed = deliver_batch(notifications(df), sender, webhook_tasks)
                 sent.mark(df.sparkSession, batch_id)
                 if failed:
                     log.error("batch %d: %d of %d notifications failed", batch_id, failed, n)
@@ -157,15 +157,22 @@ def run_text_job(raw: DataFrame, target: Target, checkpoint: str, descriptor_set
                  message: str, charset: str = DEFAULT_CHARSET, zone: str | None = None,
                  job_id: str | None = None, sender: Sender | None = None,
                  audit_target: Target | None = None, trigger=DEFAULT_TRIGGER,
-                 query_name: str = "text-app", engine: str = "arrow") -> StreamingQuery | None:
+                 query_name: str = "text-app", engine: str = "arrow",
+                 http_uri: str | None = None,
+                 webhook_tasks: int | None = None) -> StreamingQuery | None:
     """J3 (job kind "text-app"): text rows to a table and a webhook.
 
+    `http_uri` (the reference's text.http.uri) builds the default HTTP sender;
+    `sender` replaces it (tests use a fake). `webhook_tasks` spreads delivery.
+
     A2: the number of text rows per batch is reported as observed metric
     `messages`; the audit lines themselves go to `audit_target` (a table),
     not into a list held by the driver.
     """
+    if sender is None and http_uri:
+        sender = HttpSender(http_uri)
     texts = text_plan(raw, descriptor_set, message, charset, zone, job_id, engine)
-    each_batch = text_batch_writer(target, checkpoint, sender, audit_target)
+    each_batch = text_batch_writer(target, checkpoint, sender, audit_target, webhook_tasks)
     if not texts.isStreaming:
         each_batch(texts, 0)
         return None

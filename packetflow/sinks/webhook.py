@@ -48,9 +48,17 @@ class HttpSender:
             return err.code
 
 
-def send_notifications(notes: DataFrame, sender: Sender) -> DataFrame:
-    """(title, message, priority) rows -> (body, status) after sending each."""
+def send_notifications(notes: DataFrame, sender: Sender, tasks: int | None = None) -> DataFrame:
+    """(title, message, priority) rows -> (body, status) after sending each.
+
+    Requests go one at a time per task. `tasks` spreads the bodies
+    round-robin over that many tasks first (a small shuffle), so a source
+    partition holding a large share of the messages does not make one task
+    send them all in turn.
+    """
     bodies = notification_json(notes)
+    if tasks:
+        bodies = bodies.repartition(int(tasks))
     ship_package(notes.sparkSession)
 
     def deliver(batches):
@@ -67,9 +75,9 @@ def send_notifications(notes: DataFrame, sender: Sender) -> DataFrame:
     return bodies.mapInPandas(deliver, "body string, status int")
 
 
-def deliver_batch(notes: DataFrame, sender: Sender) -> tuple[int, int]:
+def deliver_batch(notes: DataFrame, sender: Sender, tasks: int | None = None) -> tuple[int, int]:
     """Send a micro-batch; returns (messages, failed) counted on the executors."""
-    row = (send_notifications(notes, sender)
+    row = (send_notifications(notes, sender, tasks)
            .agg(F.count(F.lit(1)).alias("n"),
                 F.coalesce(F.sum((F.col("status") == 0).cast("int")), F.lit(0)).alias("failed"))
            .first())

@@ -86,6 +86,13 @@ def test_webhook_error_is_logged_and_delivery_goes_on(spark, tmp_path):
     assert deliver_batch(notes, sender) == (2, 1)
 
 
+def test_webhook_spread_over_tasks_sends_each_once(spark, tmp_path):
+    sent = tmp_path / "spread.jsonl"
+    notes = M.notifications(texts(spark, ROWS))
+    assert deliver_batch(notes, FakeSender(str(sent)), tasks=4) == (2, 0)
+    assert len(sent.read_text().splitlines()) == 2
+
+
 def test_fan_out_writes_table_and_audit_and_sends_once_per_batch(spark, folder, tmp_path):
     sent = tmp_path / "sent.jsonl"
     target, audit = TableTarget(f"{folder}/text"), TableTarget(f"{folder}/audit")
