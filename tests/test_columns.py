@@ -29,6 +29,14 @@ def test_epoch_seconds_to_local_zones(spark):
         dt.datetime(2024, 1, 1, 0, 1, 1)
 
 
+def test_zone_follows_daylight_saving(spark):
+    summer = 1719792000  # 2024-07-01T00:00:00Z
+    assert one(spark, C.epoch_seconds_to_local("s", "Europe/Warsaw"), "s int", (summer,)) == \
+        dt.datetime(2024, 7, 1, 2, 0)
+    assert one(spark, C.epoch_seconds_to_local("s", "America/New_York"), "s int", (summer,)) == \
+        dt.datetime(2024, 6, 30, 20, 0)
+
+
 def test_rx_time_zero_is_1970_but_last_heard_zero_is_null(spark):
     assert one(spark, C.epoch_seconds_to_local("s", "UTC"), "s int", (0,)) == \
         dt.datetime(1970, 1, 1)
