@@ -170,6 +170,17 @@ def test_jdbc_catalog_conf():
     assert conf["spark.sql.catalog.radio.user"] == "u"
 
 
+def test_jdbc_catalog_registration_reaches_the_jdbc_layer(spark):
+    from packetflow.sinks.sql import register_jdbc_catalog
+
+    current = spark.catalog.currentCatalog()
+    try:
+        with pytest.raises(Exception, match="(?i)driver|jdbc|connect"):
+            register_jdbc_catalog(spark, "radio_cat", "jdbc:nosuchdb://nowhere/db", "u", "p")
+    finally:
+        spark.catalog.setCurrentCatalog(current)
+
+
 def test_kafka_properties_and_options():
     text = "bootstrap.servers=kafka123\nclient.id=1231\n# comment\ngroup.id = g\n"
     assert parse_properties(text) == {"bootstrap.servers": "kafka123", "client.id": "1231",
