@@ -196,3 +196,11 @@ def test_kafka_properties_and_options():
     assert opts["startingOffsetsByTimestampStrategy"] == "latest"
     assert opts["endingTimestamp"] == "1704153600000"
     assert kafka_options("t", "a=b")["startingOffsets"] == "earliest"
+
+
+def test_kafka_reader_is_wired_but_the_connector_is_absent_here(spark):
+    from packetflow.sources.kafka import kafka_packets
+
+    for end in (None, "2024-01-02T00:00:00Z"):  # stream, then bounded batch replay
+        with pytest.raises(Exception, match="(?i)kafka"):
+            kafka_packets(spark, "radio-packets", "bootstrap.servers=k:9092", "default", end=end)
