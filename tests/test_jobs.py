@@ -80,6 +80,28 @@ def test_text_stream_reports_messages_and_notifies(spark, folder, topic, tmp_pat
     assert len(bodies) == rows and all(b["priority"] == 2 for b in bodies)
 
 
+def test_listener_keeps_a_job_level_message_total(spark, folder, topic):
+    import time
+
+    from packetflow.streaming.listener import ObservedTotals
+
+    totals = ObservedTotals()
+    spark.streams.addListener(totals)
+    try:
+        target = TableTarget(f"{folder}/text")
+        q = run_text_job(parquet_packet_stream(spark, topic, max_files_per_trigger=1), target,
+                         f"{folder}/ck", DESC, ENVELOPE, zone="UTC", job_id="j",
+                         trigger="available-now", query_name="text_listener_test")
+        run_to_end(q, 600)
+        rows = target.read(spark).count()
+        deadline = time.time() + 30  # listener events arrive asynchronously
+        while totals.total(q.id, "messages.messages") < rows and time.time() < deadline:
+            time.sleep(0.2)
+        assert totals.total(q.id, "messages.messages") == rows > 0
+    finally:
+        spark.streams.removeListener(totals)
+
+
 def test_node_info_job_without_ddl_runs_nothing(spark, folder, topic):
     stream = parquet_packet_stream(spark, topic)
     assert run_node_info_job(stream, f"{folder}/ck", DESC, ENVELOPE, None) is None
