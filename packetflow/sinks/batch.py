@@ -72,7 +72,13 @@ def with_retries(action, retries: int, pause_s: float, what: str):
 
 @dataclass
 class TableTarget:
-    """A file table at `path`, partitioned by batch id (exactly-once)."""
+    """A file table at `path`, partitioned by batch id (exactly-once).
+
+    One partition per micro-batch: on a long-running stream use a trigger of
+    a minute or more (or compact old partitions), or write through the
+    streaming file sink when no fan-out is needed (`streaming.runner.start_stream`
+    with `path=`), which is exactly-once without per-batch folders.
+    """
 
     path: str
     format: str = "parquet"
