@@ -1 +1 @@
-"""sinks."""
+"""Sinks: idempotent foreachBatch writers (file, JDBC), webhook, SQL surface."""

@@ -1 +1 @@
-"""sources."""
+"""Packet sources: Kafka (S1-S5), parquet files, and fixtures derived from the test tables."""
