@@ -86,6 +86,15 @@ def test_webhook_error_is_logged_and_delivery_goes_on(spark, tmp_path):
     assert deliver_batch(notes, sender) == (2, 1)
 
 
+def test_http_sender_connection_error_is_status_zero(spark):
+    from packetflow.sinks.webhook import HttpSender
+
+    # A closed local port: the connect fails at once; nothing listens or is opened.
+    sender = HttpSender("http://127.0.0.1:9/notify", timeout_s=5)
+    notes = M.notifications(texts(spark, ROWS))
+    assert deliver_batch(notes, sender) == (2, 2)
+
+
 def test_webhook_spread_over_tasks_sends_each_once(spark, tmp_path):
     sent = tmp_path / "spread.jsonl"
     notes = M.notifications(texts(spark, ROWS))
