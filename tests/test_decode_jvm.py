@@ -74,3 +74,12 @@ def test_jar_absent_here_so_auto_uses_arrow(spark):
     plan = decode_packets(raw, desc, ENVELOPE, engine="auto")._jdf.queryExecution() \
         .executedPlan().toString()
     assert plan.count("MapInArrow") == 2
+
+
+def test_jvm_engine_without_the_jar_fails_loudly(spark):
+    import pytest
+
+    desc = fixture_descriptor_set()
+    raw = encode_packets(spark.createDataFrame(ROWS, S.PACKETS), desc, ENVELOPE)
+    with pytest.raises(Exception, match="(?i)protobuf"):
+        decode_packets(raw, desc, ENVELOPE, engine="jvm").collect()
