@@ -87,7 +87,8 @@ def ship_package(spark: SparkSession) -> None:
     Python steps (decode, charset UDF, webhook) are unpickled on executors by
     importing this package. When it is not installed there (or not on the
     workers' path), a zip of it is added with `addPyFile`, once per
-    application; Spark serves it to every executor.
+    application; Spark serves it to every executor. Outside local mode the
+    zip is first copied to the shared checkpoint folder.
     """
     sc = spark.sparkContext
     app = sc.applicationId
@@ -105,5 +106,13 @@ def ship_package(spark: SparkSession) -> None:
                     if name.endswith(".py"):
                         full = os.path.join(folder, name)
                         zf.write(full, os.path.relpath(full, os.path.dirname(root)))
+        if not sc.master.startswith("local"):
+            # On a cluster, serve it from the shared folder, not a driver-local one.
+            shared = f"{checkpoint_root(spark)}/pyfiles/{app}/packetflow.zip"
+            jvm = sc._jvm
+            dst = jvm.org.apache.hadoop.fs.Path(shared)
+            fs = dst.getFileSystem(sc._jsc.hadoopConfiguration())
+            fs.copyFromLocalFile(True, True, jvm.org.apache.hadoop.fs.Path(path), dst)
+            path = shared
         sc.addPyFile(path)
         _SHIPPED.add(app)
