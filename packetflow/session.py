@@ -108,11 +108,17 @@ def ship_package(spark: SparkSession) -> None:
                         zf.write(full, os.path.relpath(full, os.path.dirname(root)))
         if not sc.master.startswith("local"):
             # On a cluster, serve it from the shared folder, not a driver-local one.
-            shared = f"{checkpoint_root(spark)}/pyfiles/{app}/packetflow.zip"
-            jvm = sc._jvm
-            dst = jvm.org.apache.hadoop.fs.Path(shared)
-            fs = dst.getFileSystem(sc._jsc.hadoopConfiguration())
-            fs.copyFromLocalFile(True, True, jvm.org.apache.hadoop.fs.Path(path), dst)
-            path = shared
+            path = copy_to_shared(spark, path, f"pyfiles/{app}/packetflow.zip")
         sc.addPyFile(path)
         _SHIPPED.add(app)
+
+
+def copy_to_shared(spark: SparkSession, local_path: str, name: str) -> str:
+    """Move a driver-local file to `<checkpoint folder>/<name>`; returns its path."""
+    sc = spark.sparkContext
+    jvm = sc._jvm
+    shared = f"{checkpoint_root(spark)}/{name}"
+    dst = jvm.org.apache.hadoop.fs.Path(shared)
+    fs = dst.getFileSystem(sc._jsc.hadoopConfiguration())
+    fs.copyFromLocalFile(True, True, jvm.org.apache.hadoop.fs.Path(local_path), dst)
+    return shared

@@ -37,6 +37,18 @@ def test_null_value_fails_when_read(spark, folder):
         parquet_packets(spark, f"{folder}/bad").collect()
 
 
+def test_copy_to_shared_moves_the_file(spark, tmp_path):
+    import os
+
+    from packetflow.session import checkpoint_root, copy_to_shared
+
+    src = tmp_path / "x.zip"
+    src.write_bytes(b"zip")
+    dst = copy_to_shared(spark, str(src), "pyfiles/test/x.zip")
+    assert dst.startswith(checkpoint_root(spark)) and not src.exists()
+    assert open(dst.replace("file:", ""), "rb").read() == b"zip" and os.path.getsize(dst) == 3
+
+
 def test_job_kinds():
     assert set(JOB_KINDS) == {"default", "node-info", "text-app"}
 
