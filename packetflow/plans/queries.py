@@ -120,6 +120,10 @@ def q_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.notifications(_texts(spark, sf_dir, "notifications"))
 
 
+def q_notification_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.notification_json(M.notifications(_texts(spark, sf_dir, "notification_bodies")))
+
+
 def q_audit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.audit_lines(_texts(spark, sf_dir, "audit_lines"))
 
@@ -248,6 +252,13 @@ tm AS (
         + "\nSELECT format('Message from node: ({}) on channel: ({})', from_node, channel) AS title, "
           f"'Time: ' || {O.iso_local_text('time')} || chr(10) || 'Text: ' || text AS message, "
           "CAST(2 AS INTEGER) AS priority FROM tm",
+        "notification_bodies": texts.format(jid=job_id("notification_bodies"))
+        + "\n, nt AS (SELECT format('Message from node: ({}) on channel: ({})', from_node, channel)"
+          f" AS title, 'Time: ' || {O.iso_local_text('time')} || chr(10) || 'Text: ' || text "
+          "AS message FROM tm)\n"
+          "SELECT '{' || chr(10) || '  \"title\" : ' || to_json(title) || ',' || chr(10) || "
+          "'  \"message\" : ' || to_json(message) || ',' || chr(10) || "
+          "'  \"priority\" : 2' || chr(10) || '}' AS body FROM nt",
         "audit_lines": texts.format(jid=job_id("audit_lines"))
         + f"\nSELECT {O.iso_local_text('time')} || ' form: ' || from_node || ', chan: ' "
           "|| channel || ', text: ' || text AS line FROM tm",
@@ -293,6 +304,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "node_info": q_node_info,
     "text_messages": q_text_messages,
     "notifications": q_notifications,
+    "notification_bodies": q_notification_bodies,
     "audit_lines": q_audit_lines,
     "decoded_packets": q_decoded_packets,
     "decoded_node_info": q_decoded_node_info,
