@@ -27,6 +27,8 @@ from packetflow.sources.files import replay_range
 REPLAY_FROM = "2024-01-05T00:00:00+02:00"
 REPLAY_TO = "2024-01-12T12:30:00+01:00"
 REPLAY_WINDOW_MINUTES = 60
+ZONE_EAST = "Europe/Warsaw"
+ZONE_WEST = "America/New_York"
 
 
 def job_id(name: str) -> str:
@@ -106,6 +108,10 @@ def q_node_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return node_info(X.customer_packets(spark, sf_dir), zone="UTC")
 
 
+def q_node_info_zoned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return node_info(X.customer_packets(spark, sf_dir), zone=ZONE_EAST)
+
+
 # ------------------------------------------------------------ J3 text messages
 
 def _texts(spark, sf_dir, name):
@@ -116,6 +122,11 @@ def q_text_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _texts(spark, sf_dir, "text_messages")
 
 
+def q_text_messages_zoned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.text_messages(X.conversation_packets(spark, sf_dir), zone=ZONE_WEST,
+                           job_id=job_id("text_messages_zoned"))
+
+
 def q_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.notifications(_texts(spark, sf_dir, "notifications"))
 
@@ -252,6 +263,12 @@ tm AS (
         + "\nSELECT format('Message from node: ({}) on channel: ({})', from_node, channel) AS title, "
           f"'Time: ' || {O.iso_local_text('time')} || chr(10) || 'Text: ' || text AS message, "
           "CAST(2 AS INTEGER) AS priority FROM tm",
+        "node_info_zoned": node_sql.replace(
+            O.epoch_to_ntz('n_last_heard'),
+            f"timezone('{ZONE_EAST}', to_timestamp(n_last_heard))"),
+        "text_messages_zoned": texts.replace(
+            O.epoch_to_ntz('p_rx_time'), f"timezone('{ZONE_WEST}', to_timestamp(p_rx_time))")
+        .format(jid=job_id("text_messages_zoned")) + "\nSELECT * FROM tm",
         "notification_bodies": texts.format(jid=job_id("notification_bodies"))
         + "\n, nt AS (SELECT format('Message from node: ({}) on channel: ({})', from_node, channel)"
           f" AS title, 'Time: ' || {O.iso_local_text('time')} || chr(10) || 'Text: ' || text "
@@ -302,7 +319,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "variant_node_info": q_variant_node_info,
     "variant_text": q_variant_text,
     "node_info": q_node_info,
+    "node_info_zoned": q_node_info_zoned,
     "text_messages": q_text_messages,
+    "text_messages_zoned": q_text_messages_zoned,
     "notifications": q_notifications,
     "notification_bodies": q_notification_bodies,
     "audit_lines": q_audit_lines,
