@@ -22,6 +22,7 @@ from packetflow.plans import oracle as O
 from packetflow.sources import fixtures as X
 from packetflow.sources.descriptors import ENVELOPE, fixture_descriptor_set
 from packetflow.sources.files import replay_range
+from packetflow.sources.fixtures import BASE_EPOCH
 
 # Fixed values of the registered queries.
 REPLAY_FROM = "2024-01-05T00:00:00+02:00"
@@ -202,6 +203,11 @@ def q_stream_traffic_restarts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_traffic_restarts(spark, sf_dir, job_id("stream_traffic_restarts"))
 
 
+def q_stream_traffic_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from packetflow.plans.streams import stream_traffic_late
+    return stream_traffic_late(spark, sf_dir, job_id("stream_traffic_late"))
+
+
 def q_traffic_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     from packetflow.plans.streams import traffic_sink
     return traffic_sink(spark, sf_dir, job_id("traffic_sink"))
@@ -235,6 +241,25 @@ tm AS (
     all_ctx = (f"WITH {O.ALL},\nctx AS (SELECT timestamp, {O.unsigned('p_from')} AS from_node, "
                f"{O.unsigned('p_to')} AS to_node, {O.KIND} AS kind FROM allp "
                "WHERE variant = 'packet')")
+    # Late delivery: kind-"" packets of week w arrive in slice w + 1; a row is
+    # dropped when its window ended at or before max(event time of earlier
+    # slices) - 5 s; windows are emitted up to the final watermark.
+    late_sql = (f"WITH {O.EVENTS},\n"
+                f"sl AS (SELECT *, CAST(floor((epoch(timestamp) - {BASE_EPOCH}) / {7 * 86400}) "
+                "AS BIGINT) + CASE WHEN variant = 'packet' AND NOT encrypted "
+                "AND NOT decoded THEN 1 ELSE 0 END AS slice FROM ev),\n"
+                "mx AS (SELECT slice, max(timestamp) AS m FROM sl GROUP BY slice),\n"
+                "wm AS (SELECT a.slice, (SELECT max(b.m) FROM mx b WHERE b.slice < a.slice) "
+                "- INTERVAL 5 SECOND AS before FROM mx a),\n"
+                f"ctx AS (SELECT timestamp, {O.unsigned('p_from')} AS from_node, "
+                f"{O.unsigned('p_to')} AS to_node, {O.KIND} AS kind, wm.before, "
+                "time_bucket(INTERVAL 10 MINUTE, timestamp) + INTERVAL 10 MINUTE AS wend "
+                "FROM sl JOIN wm USING (slice) WHERE variant = 'packet'),\n"
+                "kept AS (SELECT timestamp, from_node, to_node, kind FROM ctx "
+                "WHERE before IS NULL OR wend > before),\n"
+                "t AS (" + _traffic_sql(10, job_id("stream_traffic_late"), "kept") + ")"
+                "\nSELECT * FROM t WHERE window_end <= (SELECT max(timestamp) FROM ev) "
+                "- INTERVAL 5 SECOND")
     replay_lo = "TIMESTAMP '2024-01-04 22:00:00'"   # REPLAY_FROM in UTC
     replay_hi = "TIMESTAMP '2024-01-12 11:30:00'"   # REPLAY_TO in UTC
     return {
@@ -301,6 +326,7 @@ tm AS (
         + ")" + closed,
         "stream_traffic_restarts": _EVENTS_CTX + ", t AS ("
         + _traffic_sql(10, job_id("stream_traffic_restarts")) + ")" + closed,
+        "stream_traffic_late": late_sql,
         "traffic_sink": _EVENTS_CTX + ", t AS (" + _traffic_sql(10, job_id("traffic_sink"))
         + ")" + closed,
         "node_info_sink": node_sql,
@@ -332,6 +358,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "text_decoded": q_text_decoded,
     "stream_traffic": q_stream_traffic,
     "stream_traffic_restarts": q_stream_traffic_restarts,
+    "stream_traffic_late": q_stream_traffic_late,
     "traffic_sink": q_traffic_sink,
     "node_info_sink": q_node_info_sink,
     "text_sink": q_text_sink,

@@ -13,7 +13,7 @@ late-data and replay cases are covered by tests/test_streaming.py.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packetflow.plans.jobs import run_node_info_job, run_text_job, run_traffic_job, traffic_plan
@@ -52,31 +52,62 @@ def stream_traffic(spark: SparkSession, sf_dir: str, job_id: str,
     return spark.read.parquet(f"{folder}/out")
 
 
+def _run_in_slices(spark: SparkSession, folder: str, packets: DataFrame, slice_col: Column,
+                   job_id: str, window_minutes: int, name: str) -> DataFrame:
+    """Stream `packets` one slice at a time, restarting the query from its checkpoint.
+
+    Packets are staged once, partitioned by slice; before each run one slice
+    is encoded into the stream's input folder (a partition-pruned read, no
+    rescan of the source), and the run drains it (available-now).
+    """
+    packets.withColumn("slice", slice_col.cast("int")).write.partitionBy("slice") \
+        .parquet(f"{folder}/staged")
+    slices = sorted(r[0] for r in spark.read.parquet(f"{folder}/staged")
+                    .select("slice").distinct().collect())
+    for k in slices:
+        part = spark.read.parquet(f"{folder}/staged").where(F.col("slice") == k).drop("slice")
+        encode_packets(part, fixture_descriptor_set(), ENVELOPE) \
+            .write.parquet(f"{folder}/input/{k:06d}")
+        stream = parquet_packet_stream(spark, f"{folder}/input/*")
+        traffic = traffic_plan(stream, fixture_descriptor_set(), ENVELOPE, window_minutes, job_id)
+        run_to_end(start_stream(traffic, f"{folder}/checkpoint", name, path=f"{folder}/out"),
+                   STREAM_TIMEOUT_S)
+    return spark.read.parquet(f"{folder}/out")
+
+
+def _week() -> Column:
+    return F.floor((F.unix_seconds("timestamp") - F.lit(BASE_EPOCH)) / F.lit(WEEK_S))
+
+
 def stream_traffic_restarts(spark: SparkSession, sf_dir: str, job_id: str,
                            window_minutes: int = 10) -> DataFrame:
     """J1 on a stream that is stopped and restarted once per week of input.
 
     Each restart resumes from the checkpoint (offsets, window state and the
-    watermark), as after losing the driver. Packets are encoded and staged
-    once, partitioned by week; before each run one week is copied into the
-    stream's input folder (a partition-pruned read, no rescan of the source).
-    Weeks are disjoint and in order, so no row arrives late and the result
-    equals the one-batch run.
+    watermark), as after losing the driver. Weeks are disjoint and in order,
+    so no row arrives late and the result equals the one-batch run.
     """
     folder = run_folder(spark, "stream_traffic_restarts")
-    week = F.floor((F.unix_seconds("timestamp") - F.lit(BASE_EPOCH)) / F.lit(WEEK_S))
-    raw = encode_packets(X.events_packets(spark, sf_dir), fixture_descriptor_set(), ENVELOPE)
-    raw.withColumn("week", week.cast("int")).write.partitionBy("week").parquet(f"{folder}/staged")
-    weeks = sorted(r[0] for r in spark.read.parquet(f"{folder}/staged")
-                   .select("week").distinct().collect())
-    for k in weeks:
-        (spark.read.parquet(f"{folder}/staged").where(F.col("week") == k).drop("week")
-         .write.parquet(f"{folder}/input/{k:06d}"))
-        stream = parquet_packet_stream(spark, f"{folder}/input/*")
-        traffic = traffic_plan(stream, fixture_descriptor_set(), ENVELOPE, window_minutes, job_id)
-        run_to_end(start_stream(traffic, f"{folder}/checkpoint", "stream_traffic_restarts",
-                                path=f"{folder}/out"), STREAM_TIMEOUT_S)
-    return spark.read.parquet(f"{folder}/out")
+    return _run_in_slices(spark, folder, X.events_packets(spark, sf_dir), _week(), job_id,
+                          window_minutes, "stream_traffic_restarts")
+
+
+def stream_traffic_late(spark: SparkSession, sf_dir: str, job_id: str,
+                        window_minutes: int = 10) -> DataFrame:
+    """W4 at table scale: late packets are dropped once their window closed.
+
+    Delivery is week by week as in `stream_traffic_restarts`, except that
+    packets with neither payload nor encryption (kind "") arrive with the next
+    week. Spark drops a late row whose window ended at or before the previous
+    batch's watermark (max event time so far - 5 s) and counts it in
+    `numRowsDroppedByWatermark`; a late row whose window is still open counts.
+    """
+    folder = run_folder(spark, "stream_traffic_late")
+    packets = X.events_packets(spark, sf_dir)
+    p = F.col("packet")
+    late = (F.col("variant") == "packet") & ~p["encrypted"] & ~p["decoded"]
+    return _run_in_slices(spark, folder, packets, F.when(late, _week() + 1).otherwise(_week()),
+                          job_id, window_minutes, "stream_traffic_late")
 
 
 def traffic_sink(spark: SparkSession, sf_dir: str, job_id: str) -> DataFrame:
