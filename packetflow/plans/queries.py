@@ -24,7 +24,7 @@ from packetflow.sources.descriptors import ENVELOPE, fixture_descriptor_set
 from packetflow.sources.files import replay_range
 from packetflow.sources.fixtures import BASE_EPOCH
 
-# Fixed values of the registered queries.
+# Parameters of the registered queries (our choice; not values of the reference).
 REPLAY_FROM = "2024-01-05T00:00:00+02:00"
 REPLAY_TO = "2024-01-12T12:30:00+01:00"
 REPLAY_WINDOW_MINUTES = 60
