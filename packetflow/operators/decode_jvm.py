@@ -21,7 +21,7 @@ from packetflow import schema as S
 from packetflow.fixed import UINT32_MASK, UNRECOGNIZED
 from packetflow.operators.protobuf import enum_names, message_class, oneof_of
 
-# Fixed value: prefix of names Spark gives to unknown enum numbers.
+# Spark's prefix for the names of unknown enum numbers.
 UNKNOWN_ENUM_PREFIX = "UNKNOWN_ENUM_VALUE_"
 # The expression class that only the spark-protobuf jar provides (Spark's own
 # jars carry a stub of the functions object that fails when called).

@@ -26,7 +26,7 @@ from packetflow.sources.encode import encode_packets
 from packetflow.sources.files import parquet_packet_stream
 from packetflow.streaming.runner import run_to_end, start_stream
 
-# Fixed values.
+# Parameters of the registered streams (our choice).
 STREAM_TIMEOUT_S = 1800
 AVAILABLE_NOW = "available-now"
 WEEK_S = 7 * 86400

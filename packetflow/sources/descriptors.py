@@ -13,7 +13,7 @@ from google.protobuf import descriptor_pb2
 
 FDP = descriptor_pb2.FieldDescriptorProto
 
-# Enum names the fixtures use (zero value first).
+# Enum names the fixtures use (zero value first); FIXTURES.md, not the reference.
 PORT_NUMS = [("UNKNOWN_APP", 0), ("TEXT_MESSAGE_APP", 1), ("PORT_A", 64)]
 ROLES = [("CLIENT", 0), ("AUTOMOBILE", 1), ("BUILDING", 2), ("FURNITURE", 3),
          ("HOUSEHOLD", 4), ("MACHINERY", 5)]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from packetflow import schema as S
 
-# Fixed values of the fixtures.
+# Fixture constants (FIXTURES.md §3).
 BASE_EPOCH = 1704067200  # 2024-01-01T00:00:00Z
 ZERO_PORT = "UNKNOWN_APP"
 ZERO_ROLE = "CLIENT"
