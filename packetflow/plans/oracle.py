@@ -19,7 +19,7 @@ ev AS (
          event_type IN ('click', 'purchase') AS decoded,
          CASE event_type WHEN 'click' THEN 'TEXT_MESSAGE_APP'
                          WHEN 'purchase' THEN 'PORT_A' ELSE '{ZERO_PORT}' END AS portnum,
-         CASE WHEN event_type IN ('click', 'purchase') THEN props ELSE '' END AS payload_text,
+         '' AS payload_text,
          CAST(user_id AS INTEGER) AS n_num, '' AS n_user_id, '' AS n_short_name,
          '' AS n_long_name, '{ZERO_ROLE}' AS n_role, 0 AS n_last_heard, 0 AS n_hops_away,
          CAST(0.0 AS FLOAT) AS n_snr

@@ -57,7 +57,7 @@ def events_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id") % 8 - 4,
         F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id") % 3),
         F.lit(0), F.unix_seconds(ts), etype == "error", decoded, portnum,
-        F.when(decoded, F.encode(F.col("props"), "UTF-8")).otherwise(F.lit(b"")))
+        F.lit(b""))  # events carry no text: payloads come from conversations
     # A signup envelope carries a node without user: protobuf defaults.
     node = _node(F.col("user_id"), F.lit(""), F.lit(""), F.lit(""), F.lit(ZERO_ROLE),
                  F.lit(0), F.lit(0), F.lit(0.0))
