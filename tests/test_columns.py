@@ -88,3 +88,32 @@ def test_count_narrowing_raises_on_overflow(spark):
     df = spark.createDataFrame([(2 ** 40,)], "n long")
     with pytest.raises(Exception):
         df.select(C.count_as_int(F.col("n"))).collect()
+
+
+def test_session_zone_drives_local_times_but_not_window_alignment(spark):
+    from pyspark.sql import functions as F
+
+    from packetflow import schema as S
+    from packetflow.operators.nodes import node_info
+    from packetflow.operators.traffic import packet_traffic
+    from tests.test_decode import node, packet
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        nodes = spark.createDataFrame(
+            [(dt.datetime(2024, 1, 1), "node_info", None, node(1, last_heard=1704067200))],
+            S.PACKETS)
+        assert node_info(nodes).first().last_heard == dt.datetime(2024, 1, 1, 9, 0)
+        pkts = spark.range(1).select(
+            F.timestamp_seconds(F.lit(1704067200 + 3600)).alias("timestamp"),
+            F.lit("packet").alias("variant"),
+            F.lit(None).cast(S.PACKET).alias("packet"),
+            F.lit(None).cast(S.NODE_INFO_MSG).alias("node_info"))
+        pkts = pkts.withColumn("packet", F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
+                                                    for f, v in zip(S.PACKET.fields,
+                                                                    packet(1, 2).values())]))
+        start = packet_traffic(pkts, 24 * 60, "j").select(F.unix_seconds("window_start")).first()[0]
+        assert start == 1704067200  # UTC midnight, epoch-aligned like the reference
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
