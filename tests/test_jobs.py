@@ -179,3 +179,26 @@ def test_crash_after_sink_write_is_replayed_without_duplicates(spark, folder, to
     got = target.read(spark)
     assert got.count() == want.count() > 0
     assert len(sent.read_text().splitlines()) == want.count()
+
+
+def test_replay_bounds_each_alone_and_on_a_stream(spark, folder, topic):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from packetflow.sources.files import replay_range
+
+    all_rows = parquet_packets(spark, topic)
+    n = all_rows.count()
+    cut = "2024-01-15T00:00:00+00:00"
+    before = replay_range(all_rows, end=cut).count()
+    after = replay_range(all_rows, start=cut).count()
+    assert before + after == n and before > 0 and after > 0
+    stream = parquet_packet_stream(spark, topic, start=cut)
+    q = run_to_end(stream.writeStream.format("parquet").option("path", f"{folder}/s")
+                   .option("checkpointLocation", f"{folder}/ck").trigger(availableNow=True)
+                   .start(), 600)
+    got = spark.read.parquet(f"{folder}/s")
+    assert got.count() == after
+    assert got.agg(F.min("timestamp")).first()[0] >= dt.datetime(2024, 1, 15)
+    assert q.exception() is None
