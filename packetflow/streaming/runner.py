@@ -65,3 +65,11 @@ def observed(query: StreamingQuery, name: str) -> list[dict]:
         if metrics:
             out.append(metrics.asDict() if hasattr(metrics, "asDict") else dict(metrics))
     return out
+
+
+def late_rows_dropped(query: StreamingQuery) -> int:
+    """W4's counter: rows dropped as late by stateful operators, over the
+    progress reports still held (`numRowsDroppedByWatermark`)."""
+    return sum(op.get("numRowsDroppedByWatermark", 0)
+               for progress in query.recentProgress
+               for op in progress.get("stateOperators", []))

@@ -4,7 +4,7 @@ from packetflow import schema as S
 from packetflow.operators.traffic import packet_traffic
 from packetflow.sinks.batch import TableTarget
 from packetflow.sources import fixtures as X
-from packetflow.streaming.runner import run_to_end, start_stream
+from packetflow.streaming.runner import late_rows_dropped, run_to_end, start_stream
 from packetflow.streaming.watermark import with_event_time
 from tests.conftest import SF_SMALL
 from tests.test_decode import packet
@@ -17,6 +17,7 @@ class Stream:
     def __init__(self, spark, folder, window_minutes=10):
         self.spark, self.folder, self.window = spark, folder, window_minutes
         self.progress = []
+        self.dropped_per_run = []
 
     def push(self, rows):
         df = self.spark.createDataFrame(rows, S.PACKETS) if isinstance(rows, list) else rows
@@ -26,6 +27,7 @@ class Stream:
         q = run_to_end(start_stream(traffic, f"{self.folder}/ck", "traffic_test",
                                     path=f"{self.folder}/out"), 600)
         self.progress.extend(q.recentProgress)
+        self.dropped_per_run.append(late_rows_dropped(q))
         return self
 
     def windows(self):
@@ -37,8 +39,7 @@ class Stream:
                       for r in out.collect())
 
     def dropped(self):
-        return sum(op.get("numRowsDroppedByWatermark", 0)
-                   for p in self.progress for op in p.get("stateOperators", []))
+        return sum(self.dropped_per_run)
 
 
 def pkt(t, **kw):
