@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from packetflow.llm.simhash import op8_simhash_near_dedup
+from packetflow.llm.tokens import op3_token_ids
+from packetflow.llm.toxicity import op4_toxicity
 
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
+    op3_token_ids,
+    op4_toxicity,
     op8_simhash_near_dedup,
 )
 
