@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from packetflow.llm import lines
+from packetflow.llm.lines import op6_line_dedup
+from packetflow.llm.mixing import op9_mix_sources
 from packetflow.llm.simhash import op8_simhash_near_dedup
 from packetflow.llm.tokens import op3_token_ids
 from packetflow.llm.toxicity import op4_toxicity
@@ -13,7 +16,9 @@ from packetflow.llm.toxicity import op4_toxicity
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op3_token_ids,
     op4_toxicity,
+    op6_line_dedup,
     op8_simhash_near_dedup,
+    op9_mix_sources,
 )
 
 
@@ -22,4 +27,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_line_dedup": lines.ORACLE_SQL}

@@ -25,7 +25,7 @@ from packetflow.llm.common import (documents_input, pieces, read_table, run_fold
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 SHARD_TOKENS = 1 << 18       # a shard is closed once it holds as many ids
-CACHE_PIECES = 400_000       # tokenised pieces that a Python worker keeps
+CACHE_PIECES = 800_000       # tokenised pieces that a Python worker keeps
 
 SHARD_SCHEMA = ("part int, seq int, part_start long, doc_ids array<long>, doc_tokens array<long>, "
                 "wavelet binary")
@@ -48,7 +48,7 @@ class WaveletMatrix:
         bits = max(int(ids.max()).bit_length(), 1) if len(ids) else 1
         planes = []
         for bit in range(bits - 1, -1, -1):
-            one = (ids >> ids.dtype.type(bit)) & ids.dtype.type(1) != 0
+            one = ids & ids.dtype.type(1 << bit) != 0
             planes.append(np.packbits(one, bitorder="little"))
             ids = np.concatenate((ids[~one], ids[one]))
         return cls(planes, len(ids))
@@ -157,17 +157,20 @@ class WaveletMatrix:
         return at
 
 
-_ASCII_WORD = re.compile(r"([A-Za-z]+)([!-&(-/:;=?-@\[-`{-~]*)")
+# What may follow a word in a piece: ASCII signs other than apostrophe and <.
+_SIGNS = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
+# Texts with other letters, special tokens or separator controls are not simplified.
+_ODD = re.compile(r"[\x1c-\x1f\u0250-\U0010ffff]|<\|")
 
 
 class PieceEncoder:
     """Ids of texts, from the tokenizers library, each distinct piece encoded once.
 
     The tokenizer drops white space and no token spans it, so a text's ids are
-    those of its pieces between blanks and line ends in turn. An ASCII word
-    followed by signs (without apostrophe, digits or <) is split there by
-    the tokenizer as well, and letter case does not count; such pieces are put
-    together from their parts. `tests/llm` holds both against whole-text encoding.
+    those of its pieces between white space in turn. A word of letters
+    followed by signs (without apostrophe, digits or <) is split there by the
+    tokenizer as well, and it ignores letter case; such pieces are put together
+    from their parts. `tests/llm` holds all this against whole-text encoding.
     """
 
     def __init__(self, name: str = TOKENIZER):
@@ -177,37 +180,63 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         self.wide = self.tokenizer.get_vocab_size() > 65536
         self.dtype = np.dtype("<u4" if self.wide else "<u2")
-        self.cache: dict[str, bytes] = {"": b""}
+        self.cache: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in
                 self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, missing: list[str]) -> None:
-        if len(self.parts) + len(missing) > CACHE_PIECES:
-            self.parts = {}
-        split = {}
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Plain words in one call: each is one pre-token, so the pre-token's number is the word's."""
+        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        of, ids = np.array(found.word_ids), np.array(found.ids, self.dtype)
+        if len(of) == 0 or of[-1] + 1 != len(words):
+            return self._encode(words)
+        ends = np.searchsorted(of, np.arange(len(words)), side="right") * self.dtype.itemsize
+        raw, starts = ids.tobytes(), np.concatenate(([0], ends[:-1]))
+        return [raw[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+    def _learn(self, missing: set[str]) -> None:
+        parts, cache = self.parts, self.cache
+        if len(cache) + len(missing) > CACHE_PIECES:
+            cache.clear()
+        if len(parts) > CACHE_PIECES:
+            parts.clear()
+        split, words, others = [], set(), set()
         for piece in missing:
-            found = _ASCII_WORD.fullmatch(piece)
-            split[piece] = (found[1].lower(), found[2]) if found and found[2] else \
-                (piece.lower() if found else piece,)
-        new = list({p for parts in split.values() for p in parts if p not in self.parts})
-        self.parts.update(zip(new, self._encode(new), strict=True))
-        for piece, parts in split.items():
-            self.cache[piece] = b"".join([self.parts[p] for p in parts])
+            word = piece.rstrip(_SIGNS)
+            signs = piece[len(word):]
+            if not word.isalpha():
+                word, signs = piece, ""
+                if piece not in parts:
+                    others.add(piece)
+            elif word not in parts:
+                words.add(word)
+            if signs and signs not in parts:
+                others.add(signs)
+            split.append((piece, word, signs))
+        if words:
+            parts.update(zip(words, self._encode_words(list(words)), strict=True))
+        if others:
+            parts.update(zip(others, self._encode(list(others)), strict=True))
+        for piece, word, signs in split:
+            cache[piece] = parts[word] + parts[signs] if signs else parts[word]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        rows = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        pieces_ = set().union(*rows)
-        missing = pieces_ - self.cache.keys()
-        if len(self.cache) + len(missing) > CACHE_PIECES:
-            self.cache = {"": b""}
-            missing = pieces_ - self.cache.keys()
-        if missing:
-            self._learn(list(missing))
-        get = self.cache.__getitem__
-        return [np.frombuffer(b"".join(map(get, row)), self.dtype) for row in rows]
+        pieces_, ends = [], []
+        for text in texts:
+            text = text or ""
+            pieces_ += text.replace("\n", " ").split(" ") if _ODD.search(text) else text.lower().split()
+            ends.append(len(pieces_))
+        ids = list(map(self.cache.get, pieces_))
+        lacking = [i for i, x in enumerate(ids) if x is None]
+        if lacking:
+            self._learn({pieces_[i] for i in lacking})
+            for i in lacking:
+                ids[i] = self.cache[pieces_[i]]
+        return [np.frombuffer(b"".join(ids[s:e]), self.dtype)
+                for s, e in zip([0, *ends], ends, strict=False)]
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
