@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from packetflow.llm import lines
+from packetflow.llm.decontaminate import op10_decontaminate
 from packetflow.llm.lines import op6_line_dedup
 from packetflow.llm.mixing import op9_mix_sources
 from packetflow.llm.simhash import op8_simhash_near_dedup
@@ -19,6 +20,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op6_line_dedup,
     op8_simhash_near_dedup,
     op9_mix_sources,
+    op10_decontaminate,
 )
 
 

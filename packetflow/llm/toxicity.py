@@ -143,6 +143,21 @@ def score(spark: SparkSession, docs: DataFrame, model: Model, *, id_col: str = "
     return documents_input(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, model: Model, *, text_col: str = "text",
+               threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `docs`, all columns, whose text scores below the threshold; nothing is shuffled."""
+    ship_package(spark)
+    sent = spark.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dense = sent.value.dense()
+        for batch in pieces(batches, 256):
+            found = scores_of(batch.column(text_col).to_pylist(), dense, sent.value.bias)
+            yield batch.filter(pa.array(found < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out():
     """Rows that are never learned from: crc32 of the id as text, modulo 3, is 1."""
     return crc32_of_id() % 3 == 1
