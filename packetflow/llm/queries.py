@@ -10,14 +10,20 @@ from packetflow.llm import lines
 from packetflow.llm.decontaminate import op10_decontaminate
 from packetflow.llm.lines import op6_line_dedup
 from packetflow.llm.mixing import op9_mix_sources
+from packetflow.llm.neighbours import op1_nearest_vectors
+from packetflow.llm.quality import op7_quality
+from packetflow.llm.scoring import op5_lm_scoring
 from packetflow.llm.simhash import op8_simhash_near_dedup
 from packetflow.llm.tokens import op3_token_ids
 from packetflow.llm.toxicity import op4_toxicity
 
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
+    op1_nearest_vectors,
     op3_token_ids,
     op4_toxicity,
+    op5_lm_scoring,
     op6_line_dedup,
+    op7_quality,
     op8_simhash_near_dedup,
     op9_mix_sources,
     op10_decontaminate,
