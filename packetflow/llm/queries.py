@@ -14,11 +14,13 @@ from packetflow.llm.neighbours import op1_nearest_vectors
 from packetflow.llm.quality import op7_quality
 from packetflow.llm.scoring import op5_lm_scoring
 from packetflow.llm.simhash import op8_simhash_near_dedup
+from packetflow.llm.suffixes import op2_suffix_dedup
 from packetflow.llm.tokens import op3_token_ids
 from packetflow.llm.toxicity import op4_toxicity
 
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op1_nearest_vectors,
+    op2_suffix_dedup,
     op3_token_ids,
     op4_toxicity,
     op5_lm_scoring,
