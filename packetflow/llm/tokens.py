@@ -25,7 +25,7 @@ from packetflow.llm.common import (documents_input, pieces, read_table, run_fold
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 SHARD_TOKENS = 1 << 18       # a shard is closed once it holds as many ids
-CACHE_PIECES = 800_000       # tokenised pieces that a Python worker keeps
+CACHE_PIECES = 250_000       # tokenised pieces that a Python worker keeps
 
 SHARD_SCHEMA = ("part int, seq int, part_start long, doc_ids array<long>, doc_tokens array<long>, "
                 "wavelet binary")

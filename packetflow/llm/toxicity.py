@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from packetflow.llm.common import (crc32_of_id, documents_input, labelled_sample, pieces,
                                    read_table, ship_package)
 
-SAMPLE_ROWS = 24_000       # labelled rows learned from, at most (by one task)
+SAMPLE_ROWS = 16_000       # labelled rows learned from, at most (by one task)
 BITS = 20                  # of the feature space: bounds the model at 2**20 weights
 EPOCHS = 5
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 5.0, 1.0
@@ -48,7 +48,7 @@ def features(text: str | None) -> np.ndarray:
     """The distinct features of a text."""
     hashes = word_hashes(text)
     found = [f for f, _ in grams(hashes, np.zeros(len(hashes), np.int8))]
-    return np.unique(np.concatenate(found)).astype(np.int64)
+    return np.unique(np.concatenate(found).astype(np.int32))
 
 
 def _weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
