@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -48,7 +49,9 @@ def main(sf_dir: str) -> None:
     run_to_end(run_traffic_job(topic(), traffic, f"{folder}/ck-traffic", desc, ENVELOPE,
                                trigger="available-now"))
 
-    spark.sql("DROP TABLE IF EXISTS node_info_sink")
+    database = f"demo_{uuid.uuid4().hex}"       # of this run's own, so no other table is met
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/database'")
+    spark.catalog.setCurrentDatabase(database)
     ddl = ("CREATE TABLE node_info_sink (node_id BIGINT, user_id STRING, user_name STRING, "
            "user_long_name STRING, user_role STRING, last_heard TIMESTAMP_NTZ, "
            f"hops_away INT, snr FLOAT) USING parquet LOCATION '{folder}/node_info'")

@@ -16,11 +16,10 @@ UNRECOGNIZED = "UNRECOGNIZED"          # name of an enum number the schema does
 
 # Text messages
 DEFAULT_CHARSET = "utf-8"              # option message.charset
-TITLE_FORMAT = "Message from node: (%d) on channel: (%d)"
-MESSAGE_TIME_PREFIX = "Time: "
-MESSAGE_TEXT_PREFIX = "\nText: "
+TITLE_FORMAT = "Message from node: (%s) on channel: (%s)"
+MESSAGE_FORMAT = "Time: %s\nText: %s"
 PRIORITY = 2
-AUDIT_FORMAT = "%s form: %d, chan: %d, text: %s"
+AUDIT_FORMAT = "%s form: %d, chan: %s, text: %s"
 
 # Node-info SQL sink
 NODE_INFO_VIEW = "NodeInfo"

@@ -1,18 +1,16 @@
 """Scalar column functions.
 
 All are built-in Spark expressions, so they stay inside whole-stage codegen.
-The one exception is `bytes_to_text` for charsets the JVM fast path does not
-cover, which falls back to an Arrow-batched pandas UDF.
 """
 
 from __future__ import annotations
 
-import codecs
 import logging
+from contextlib import contextmanager
 from datetime import datetime
 
-import pandas as pd
-from pyspark.sql import Column
+from pyspark.errors import IllegalArgumentException
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from packetflow.fixed import DEFAULT_CHARSET, UINT32_MASK
@@ -20,7 +18,7 @@ from packetflow.fixed import DEFAULT_CHARSET, UINT32_MASK
 log = logging.getLogger(__name__)
 
 EPOCH_NTZ = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
-# Charset names handled by JVM built-ins rather than a Python UDF.
+# Charset names that need no setting of the session.
 UTF8_NAMES = {"utf-8", "utf8"}
 LATIN1_NAMES = {"iso-8859-1", "iso8859-1", "latin1", "latin-1"}
 
@@ -99,38 +97,45 @@ def epoch_millis_literal(millis: int) -> Column:
     return F.timestamp_millis(F.lit(int(millis)))
 
 
-def python_charset(charset: str) -> str | None:
-    """The Python codec for a charset name, or None when unknown."""
+def is_known_charset(charset: str, spark: SparkSession | None = None) -> bool:
+    """Whether the JVM has a charset of this name."""
+    spark = spark or SparkSession.active()
     try:
-        return codecs.lookup(charset).name
-    except LookupError:
-        return None
+        return bool(spark.sparkContext._jvm.java.nio.charset.Charset.isSupported(charset))
+    except IllegalArgumentException:      # not a legal name
+        return False
 
 
-def is_known_charset(charset: str) -> bool:
-    return charset.lower() in UTF8_NAMES | LATIN1_NAMES or python_charset(charset) is not None
+# With these, Spark's decode takes any charset of the JVM and replaces malformed input.
+_JVM_DECODE = {"spark.sql.legacy.javaCharsets": "true",
+               "spark.sql.legacy.codingErrorAction": "true"}
 
 
-def _decode_series(codec: str):
-    @F.pandas_udf("string")
-    def decode(payload: pd.Series) -> pd.Series:
-        def one(b):
-            if b is None:
-                return None
-            data = bytes(b)
-            if codec == "utf-16" and not data.startswith((b"\xfe\xff", b"\xff\xfe")):
-                # Like the JVM: no byte-order mark means big-endian.
-                return data.decode("utf-16-be", errors="replace")
-            return data.decode(codec, errors="replace")
-        return payload.map(one)
-    return decode
+@contextmanager
+def jvm_charsets(spark: SparkSession):
+    """Frames built inside use the JVM's charsets; the session's settings are put back after.
+
+    Spark fixes both settings in the expression when a frame is built, so they
+    hold wherever that frame runs later.
+    """
+    before = {k: spark.conf.get(k, None) for k in _JVM_DECODE}
+    try:
+        for k, v in _JVM_DECODE.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def bytes_to_text(c, charset: str = DEFAULT_CHARSET) -> Column:
-    """Payload bytes -> text in a named charset.
+    """Payload bytes -> text in a named charset of the JVM.
 
-    Malformed input becomes U+FFFD, never an error. UTF-8 and ISO-8859-1 stay
-    in the JVM; other charsets go through an Arrow-batched pandas UDF. Raises
+    Malformed input becomes U+FFFD, never an error, if the frame is built
+    inside `jvm_charsets` (UTF-8 and ISO-8859-1 need no setting). Raises
     LookupError for an unknown charset (see `operators.messages`).
     """
     name = charset.lower()
@@ -138,7 +143,6 @@ def bytes_to_text(c, charset: str = DEFAULT_CHARSET) -> Column:
         return F.make_valid_utf8(_col(c).cast("string"))
     if name in LATIN1_NAMES:
         return F.decode(_col(c), "ISO-8859-1")
-    codec = python_charset(charset)
-    if codec is None:
+    if not is_known_charset(charset):
         raise LookupError(f"unknown charset: {charset}")
-    return _decode_series(codec)(_col(c))
+    return F.decode(_col(c), charset)

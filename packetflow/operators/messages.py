@@ -16,8 +16,7 @@ from packetflow import schema as S
 from packetflow.fixed import (
     AUDIT_FORMAT,
     DEFAULT_CHARSET,
-    MESSAGE_TEXT_PREFIX,
-    MESSAGE_TIME_PREFIX,
+    MESSAGE_FORMAT,
     PRIORITY,
     TITLE_FORMAT,
 )
@@ -26,6 +25,7 @@ from packetflow.functions.columns import (
     epoch_seconds_to_local,
     is_known_charset,
     iso_local_text,
+    jvm_charsets,
     unsigned32,
 )
 from packetflow.operators.filters import keep_text_messages
@@ -45,18 +45,20 @@ def text_messages(packets: DataFrame, charset: str = DEFAULT_CHARSET, zone: str
     """
     job_id = job_id or new_job_id()
     texts = keep_text_messages(packets)
-    if not is_known_charset(charset):
-        log.warning("can't read messages: unknown charset %r; no text rows are emitted", charset)
+    spark = packets.sparkSession
+    if not is_known_charset(charset, spark):
+        log.warning("no text rows: the charset %r is not known", charset)
         texts = texts.where(F.lit(False))
         charset = "utf-8"
     p = F.col("packet")
-    rows = texts.select(
-        unsigned32(p["from"]).alias("from_node"),
-        unsigned32(p["to"]).alias("to_node"),
-        epoch_seconds_to_local(p["rx_time"], zone).alias("time"),
-        p["channel"].alias("channel"),
-        bytes_to_text(p["payload"], charset).alias("text"),
-        F.lit(job_id).alias("job_id"))
+    with jvm_charsets(spark):
+        rows = texts.select(
+            unsigned32(p["from"]).alias("from_node"),
+            unsigned32(p["to"]).alias("to_node"),
+            epoch_seconds_to_local(p["rx_time"], zone).alias("time"),
+            p["channel"].alias("channel"),
+            bytes_to_text(p["payload"], charset).alias("text"),
+            F.lit(job_id).alias("job_id"))
     return rows.to(S.TEXT_MESSAGES)
 
 
@@ -64,9 +66,7 @@ def notifications(messages: DataFrame) -> DataFrame:
     """Title, message and priority of the notification for each text row."""
     return messages.select(
         F.format_string(TITLE_FORMAT, "from_node", "channel").alias("title"),
-        F.concat(F.lit(MESSAGE_TIME_PREFIX), iso_local_text("time"), F.lit(MESSAGE_TEXT_PREFIX),
-                 F.col("text"))
-        .alias("message"),
+        F.format_string(MESSAGE_FORMAT, iso_local_text("time"), F.col("text")).alias("message"),
         F.lit(PRIORITY).cast("int").alias("priority"))
 
 

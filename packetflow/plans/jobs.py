@@ -32,8 +32,8 @@ from packetflow.operators.decode import decode_packets
 from packetflow.operators.messages import audit_lines, notifications, text_messages
 from packetflow.operators.nodes import node_info
 from packetflow.operators.traffic import DEFAULT_WINDOW_MINUTES, packet_traffic
-from packetflow.sinks.batch import CommitLog, JdbcTarget, TableTarget, text_bind_order, \
-    traffic_bind_order
+from packetflow.sinks.batch import DEFAULT_RUN, CommitLog, JdbcTarget, TableTarget, new_run_id, \
+    stream_run_id, text_bind_order, traffic_bind_order
 from packetflow.sinks.sql import create_sink, insert_via_view
 from packetflow.sinks.webhook import HttpSender, Sender, deliver_batch
 from packetflow.streaming.runner import start_stream
@@ -43,9 +43,22 @@ log = logging.getLogger(__name__)
 
 Target = TableTarget | JdbcTarget
 
-# The reference's sink flush interval is the trigger of an unbounded stream.
+# The reference's sink flush interval is the trigger of an unbounded stream into a database. A
+# file table gets a folder for each batch, so its batches are larger unless the caller says so.
 # Pass trigger="available-now" to drain what is there and stop.
-DEFAULT_TRIGGER = SINK_INTERVAL
+DEFAULT_TRIGGER = "by-target"
+FILE_TRIGGER = "1 minute"
+
+
+def _trigger(trigger, target: Target | None):
+    if trigger != DEFAULT_TRIGGER:
+        return trigger
+    return FILE_TRIGGER if isinstance(target, TableTarget) else SINK_INTERVAL
+
+
+def _with_log(target: Target | None, folder: str) -> Target | None:
+    """A JDBC target without a commit log of its own keeps it with the checkpoint."""
+    return target.with_commit_log(folder) if isinstance(target, JdbcTarget) else target
 
 
 # Packet fields J1 reads (kind and node pair); the rest is not decoded.
@@ -76,14 +89,23 @@ def run_traffic_job(raw: DataFrame, target: Target, checkpoint: str, descriptor_
                     message: str, window_minutes: int = DEFAULT_WINDOW_MINUTES,
                     job_id: str | None = None, trigger=DEFAULT_TRIGGER,
                     query_name: str = "packet-traffic", engine: str = "arrow",
-                    delay: str | None = DEFAULT_DELAY) -> StreamingQuery | None:
-    """J1 (job kind "default"). Returns the streaming query, or None for a batch."""
+                    delay: str | None = DEFAULT_DELAY,
+                    run_id: str | None = None) -> StreamingQuery | None:
+    """J1 (job kind "default"). Returns the streaming query, or None for a batch.
+
+    A bounded run adds its rows under a new run id; with the `run_id` of an
+    earlier one it replaces (or, over JDBC, skips) that run's. A stream keeps
+    its run id with its checkpoint.
+    """
+    target = _with_log(target, f"{checkpoint}/table-commits")
     traffic = traffic_plan(raw, descriptor_set, message, window_minutes, job_id, delay, engine)
     if not traffic.isStreaming:
-        target.write(traffic, 0)
+        target.write(traffic, 0, run_id or new_run_id())
         return None
-    return start_stream(traffic, checkpoint, query_name, each_batch=target.write,
-                        trigger=trigger)
+    run = run_id or stream_run_id(raw.sparkSession, checkpoint)
+    return start_stream(traffic, checkpoint, query_name,
+                        each_batch=lambda df, batch_id: target.write(df, batch_id, run),
+                        trigger=_trigger(trigger, target))
 
 
 # ------------------------------------------------------------------ J2
@@ -96,30 +118,34 @@ def node_info_plan(raw: DataFrame, descriptor_set: bytes, message: str,
 
 def run_node_info_job(raw: DataFrame, checkpoint: str, descriptor_set: bytes, message: str,
                       sink_ddl: str | None, zone: str | None = None, trigger=DEFAULT_TRIGGER,
-                      query_name: str = "node-info", engine: str = "arrow") -> StreamingQuery | None:
+                      query_name: str = "node-info", engine: str = "arrow",
+                      run_id: str | None = None) -> StreamingQuery | None:
     """J2 (job kind "node-info"): rows inserted with the user's sink DDL.
 
     Without DDL nothing runs, as in the reference. The DDL runs once, up
     front; each batch is exposed as view `NodeInfo` and inserted with
-    `INSERT INTO node_info_sink SELECT * FROM NodeInfo`. A replayed batch id
-    is skipped (commit markers next to the checkpoint).
+    `INSERT INTO node_info_sink SELECT * FROM NodeInfo`. A replayed batch, and
+    a bounded run with the `run_id` of an earlier one, is skipped (commit
+    markers next to the checkpoint).
     """
     rows = node_info_plan(raw, descriptor_set, message, zone, engine)
     if not create_sink(rows.sparkSession, sink_ddl):
         return None
-    if not rows.isStreaming:
-        insert_via_view(rows)
-        return None
     marks = CommitLog(f"{checkpoint}/sink-commits")
+    run = run_id or (stream_run_id(rows.sparkSession, checkpoint) if rows.isStreaming else new_run_id())
 
     def each_batch(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        if marks.done(spark, batch_id):
+        if marks.done(spark, batch_id, run):
             return
         insert_via_view(df)
-        marks.mark(spark, batch_id)
+        marks.mark(spark, batch_id, run)
 
-    return start_stream(rows, checkpoint, query_name, each_batch=each_batch, trigger=trigger)
+    if not rows.isStreaming:
+        each_batch(rows, 0)
+        return None
+    return start_stream(rows, checkpoint, query_name, each_batch=each_batch,
+                        trigger=_trigger(trigger, None))
 
 
 # ------------------------------------------------------------------ J3
@@ -132,19 +158,22 @@ def text_plan(raw: DataFrame, descriptor_set: bytes, message: str, charset: str
 
 
 def text_batch_writer(target: Target, checkpoint: str, sender: Sender | None = None,
-                      audit_target: Target | None = None, webhook_tasks: int | None = None):
+                      audit_target: Target | None = None, webhook_tasks: int | None = None,
+                      run_id: str = DEFAULT_RUN):
     """One batch of text rows to the table, the audit table and the webhook."""
+    target = _with_log(target, f"{checkpoint}/table-commits")
+    audit_target = _with_log(audit_target, f"{checkpoint}/audit-commits")
     sent = CommitLog(f"{checkpoint}/webhook-commits")
 
     def each_batch(df: DataFrame, batch_id: int) -> None:
         df.persist()
         try:
-            target.write(text_bind_order(df), batch_id)
+            target.write(text_bind_order(df), batch_id, run_id)
             if audit_target is not None:
-                audit_target.write(audit_lines(df), batch_id)
-            if sender is not None and not sent.done(df.sparkSession, batch_id):
+                audit_target.write(audit_lines(df), batch_id, run_id)
+            if sender is not None and not sent.done(df.sparkSession, batch_id, run_id):
                 n, failed = deliver_batch(notifications(df), sender, webhook_tasks)
-                sent.mark(df.sparkSession, batch_id)
+                sent.mark(df.sparkSession, batch_id, run_id)
                 if failed:
                     log.error("batch %d: %d of %d notifications failed", batch_id, failed, n)
         finally:
@@ -159,9 +188,13 @@ def run_text_job(raw: DataFrame, target: Target, checkpoint: str, descriptor_set
                  audit_target: Target | None = None, trigger=DEFAULT_TRIGGER,
                  query_name: str = "text-app", engine: str = "arrow",
                  http_uri: str | None = None,
-                 webhook_tasks: int | None = None) -> StreamingQuery | None:
+                 webhook_tasks: int | None = None,
+                 run_id: str | None = None) -> StreamingQuery | None:
     """J3 (job kind "text-app"): text rows to a table and a webhook.
 
+    Run ids are those of `run_traffic_job`: a bounded run writes and notifies
+    anew unless it names the `run_id` of an earlier one.
+
     `http_uri` (the reference's text.http.uri) builds the default HTTP sender;
     `sender` replaces it (tests use a fake). `webhook_tasks` spreads delivery.
 
@@ -172,12 +205,14 @@ def run_text_job(raw: DataFrame, target: Target, checkpoint: str, descriptor_set
     if sender is None and http_uri:
         sender = HttpSender(http_uri)
     texts = text_plan(raw, descriptor_set, message, charset, zone, job_id, engine)
-    each_batch = text_batch_writer(target, checkpoint, sender, audit_target, webhook_tasks)
+    run = run_id or (stream_run_id(raw.sparkSession, checkpoint) if texts.isStreaming else new_run_id())
+    each_batch = text_batch_writer(target, checkpoint, sender, audit_target, webhook_tasks, run)
     if not texts.isStreaming:
         each_batch(texts, 0)
         return None
     texts = texts.observe("messages", F.count(F.lit(1)).alias("messages"))
-    return start_stream(texts, checkpoint, query_name, each_batch=each_batch, trigger=trigger)
+    return start_stream(texts, checkpoint, query_name, each_batch=each_batch,
+                        trigger=_trigger(trigger, target))
 
 
 JOB_KINDS = {

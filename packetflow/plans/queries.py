@@ -57,15 +57,15 @@ ctx AS (
 # ---------------------------------------------------------------- J1 traffic
 
 def q_traffic_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packet_traffic(X.events_packets(spark, sf_dir), 10, job_id("traffic_window"))
+    return packet_traffic(X.events_packets(spark, sf_dir, payload=False), 10, job_id("traffic_window"))
 
 
 def q_traffic_window_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packet_traffic(X.events_packets(spark, sf_dir), 24 * 60, job_id("traffic_window_1d"))
+    return packet_traffic(X.events_packets(spark, sf_dir, payload=False), 24 * 60, job_id("traffic_window_1d"))
 
 
 def q_node_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return node_context(X.events_packets(spark, sf_dir))
+    return node_context(X.events_packets(spark, sf_dir, payload=False))
 
 
 def q_payload_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +75,7 @@ def q_payload_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_replay_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packets = replay_range(X.events_packets(spark, sf_dir), REPLAY_FROM, REPLAY_TO)
+    packets = replay_range(X.events_packets(spark, sf_dir, payload=False), REPLAY_FROM, REPLAY_TO)
     return packet_traffic(packets, REPLAY_WINDOW_MINUTES, job_id("replay_range"))
 
 
@@ -213,6 +213,21 @@ def q_traffic_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return traffic_sink(spark, sf_dir, job_id("traffic_sink"))
 
 
+def q_traffic_replay_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from packetflow.plans.streams import traffic_replay_twice
+    return traffic_replay_twice(spark, sf_dir, job_id("traffic_replay_twice"))
+
+
+def q_text_replay_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from packetflow.plans.streams import text_replay_twice
+    return text_replay_twice(spark, sf_dir, job_id("text_replay_twice"))
+
+
+def q_audit_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from packetflow.plans.streams import audit_sink
+    return audit_sink(spark, sf_dir, job_id("audit_sink"))
+
+
 def q_node_info_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     from packetflow.plans.streams import node_info_sink
     return node_info_sink(spark, sf_dir)
@@ -329,6 +344,12 @@ tm AS (
         "stream_traffic_late": late_sql,
         "traffic_sink": _EVENTS_CTX + ", t AS (" + _traffic_sql(10, job_id("traffic_sink"))
         + ")" + closed,
+        "traffic_replay_twice": _EVENTS_CTX + _traffic_sql(10, job_id("traffic_replay_twice")),
+        "text_replay_twice": texts.format(jid=job_id("text_replay_twice"))
+        + "\nSELECT from_node, to_node, channel, time, text, job_id FROM tm",
+        "audit_sink": texts.format(jid=job_id("audit_sink"))
+        + f"\nSELECT {O.iso_local_text('time')} || ' form: ' || from_node || ', chan: ' "
+          "|| channel || ', text: ' || text AS line FROM tm",
         "node_info_sink": node_sql,
         "text_sink": texts.format(jid=job_id("text_sink"))
         + "\nSELECT from_node, to_node, channel, time, text, job_id FROM tm",
@@ -360,6 +381,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_traffic_restarts": q_stream_traffic_restarts,
     "stream_traffic_late": q_stream_traffic_late,
     "traffic_sink": q_traffic_sink,
+    "traffic_replay_twice": q_traffic_replay_twice,
+    "text_replay_twice": q_text_replay_twice,
+    "audit_sink": q_audit_sink,
     "node_info_sink": q_node_info_sink,
     "text_sink": q_text_sink,
 }

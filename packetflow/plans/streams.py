@@ -13,6 +13,8 @@ late-data and replay cases are covered by tests/test_streaming.py.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +25,7 @@ from packetflow.sources import fixtures as X
 from packetflow.sources.fixtures import BASE_EPOCH
 from packetflow.sources.descriptors import ENVELOPE, fixture_descriptor_set
 from packetflow.sources.encode import encode_packets
-from packetflow.sources.files import parquet_packet_stream
+from packetflow.sources.files import parquet_packet_stream, parquet_packets
 from packetflow.streaming.runner import run_to_end, start_stream
 
 # Parameters of the registered streams (our choice).
@@ -122,27 +124,74 @@ def traffic_sink(spark: SparkSession, sf_dir: str, job_id: str) -> DataFrame:
     return target.read(spark)
 
 
+# Both halves start at a window's edge, so no window is cut in two.
+TRAFFIC_SPLIT = "2024-01-12T00:00:00Z"
+TEXT_SPLIT = "2024-01-01T00:40:00Z"
+
+
+def _replay_halves(spark: SparkSession, packets: DataFrame, folder: str, split: str):
+    """Two disjoint bounded replays of one topic, written once."""
+    encode_packets(packets, fixture_descriptor_set(), ENVELOPE).write.parquet(f"{folder}/input")
+    yield parquet_packets(spark, f"{folder}/input", end=split)
+    yield parquet_packets(spark, f"{folder}/input", start=split)
+
+
+def traffic_replay_twice(spark: SparkSession, sf_dir: str, job_id: str) -> DataFrame:
+    """J1 + N1 + W6: a second bounded replay adds to the first one's output."""
+    folder = run_folder(spark, "traffic_replay_twice")
+    target = TableTarget(f"{folder}/traffic")
+    for raw in _replay_halves(spark, X.events_packets(spark, sf_dir), folder, TRAFFIC_SPLIT):
+        run_traffic_job(raw, target, f"{folder}/checkpoint", fixture_descriptor_set(), ENVELOPE,
+                        job_id=job_id)
+    return target.read(spark)
+
+
+def text_replay_twice(spark: SparkSession, sf_dir: str, job_id: str) -> DataFrame:
+    """J3 + N2 + N6: as `traffic_replay_twice`, and the first half is replayed again by its run id."""
+    folder = run_folder(spark, "text_replay_twice")
+    target = TableTarget(f"{folder}/text")
+    first, second = _replay_halves(spark, X.conversation_packets(spark, sf_dir), folder, TEXT_SPLIT)
+    for raw, run in ((first, "first"), (second, None), (first, "first")):
+        run_text_job(raw, target, f"{folder}/checkpoint", fixture_descriptor_set(), ENVELOPE,
+                     zone="UTC", job_id=job_id, run_id=run)
+    return target.read(spark)
+
+
 def node_info_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J2 + Q1-Q4: user DDL creates the sink table; each batch is inserted by SQL."""
     folder = run_folder(spark, "node_info_sink")
     raw = _stage(spark, X.customer_packets(spark, sf_dir), folder)
-    # The sink table name is fixed by the reference's INSERT statement.
-    spark.sql("DROP TABLE IF EXISTS node_info_sink")
+    # The sink table's name is a fixed value; in a database of this run's own it meets no other.
+    database, before = f"packetflow_{uuid.uuid4().hex}", spark.catalog.currentDatabase()
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/database'")
+    spark.catalog.setCurrentDatabase(database)
     ddl = (f"CREATE TABLE node_info_sink ({NODE_INFO_COLUMNS}) USING parquet "
            f"LOCATION '{folder}/table'")
-    query = run_node_info_job(raw, f"{folder}/checkpoint", fixture_descriptor_set(), ENVELOPE,
-                              ddl, zone="UTC", trigger=AVAILABLE_NOW, query_name="node_info_sink")
-    run_to_end(query, STREAM_TIMEOUT_S)
+    try:
+        query = run_node_info_job(raw, f"{folder}/checkpoint", fixture_descriptor_set(), ENVELOPE,
+                                  ddl, zone="UTC", trigger=AVAILABLE_NOW, query_name="node_info_sink")
+        run_to_end(query, STREAM_TIMEOUT_S)
+    finally:
+        spark.catalog.setCurrentDatabase(before)
     return spark.read.parquet(f"{folder}/table")
 
 
-def text_sink(spark: SparkSession, sf_dir: str, job_id: str) -> DataFrame:
-    """J3 + N2/N6: text rows (time stored as UTC) and audit lines, two tables."""
-    folder = run_folder(spark, "text_sink")
+def _text_tables(spark: SparkSession, sf_dir: str, job_id: str, name: str) -> tuple:
+    folder = run_folder(spark, name)
     raw = _stage(spark, X.conversation_packets(spark, sf_dir), folder)
-    target = TableTarget(f"{folder}/text")
+    target, audit = TableTarget(f"{folder}/text"), TableTarget(f"{folder}/audit")
     query = run_text_job(raw, target, f"{folder}/checkpoint", fixture_descriptor_set(), ENVELOPE,
-                         zone="UTC", job_id=job_id, audit_target=TableTarget(f"{folder}/audit"),
-                         trigger=AVAILABLE_NOW, query_name="text_sink")
+                         zone="UTC", job_id=job_id, audit_target=audit,
+                         trigger=AVAILABLE_NOW, query_name=name)
     run_to_end(query, STREAM_TIMEOUT_S)
-    return target.read(spark)
+    return target.read(spark), audit.read(spark)
+
+
+def text_sink(spark: SparkSession, sf_dir: str, job_id: str) -> DataFrame:
+    """J3 + N2/N6: the table of text rows (time stored as UTC)."""
+    return _text_tables(spark, sf_dir, job_id, "text_sink")[0]
+
+
+def audit_sink(spark: SparkSession, sf_dir: str, job_id: str) -> DataFrame:
+    """J3 + A2/P7: the table of audit lines."""
+    return _text_tables(spark, sf_dir, job_id, "audit_sink")[1]

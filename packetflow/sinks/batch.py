@@ -1,29 +1,37 @@
-"""Writing each micro-batch to a table, at most once per batch id.
+"""Writing each micro-batch to a table, known by run and batch id.
 
 `foreachBatch` is at-least-once: after a failure Spark replays the last batch
-with the same id. Two targets:
+with the same id. Batch ids start at 0 in every run, so a batch is known by the
+run's id as well: a stream's is kept with its checkpoint (`stream_run_id`), a
+bounded run has a new one unless the caller names it. Another run adds its
+rows; the same run again replaces or skips its own. Two targets:
 
 * `TableTarget` - any Spark file format. Rows go to partition
-  `batch_id=<id>` with dynamic partition overwrite, so a replay replaces the
-  batch instead of adding it again (exactly-once).
-* `JdbcTarget` - Spark's JDBC writer, which can only append. A marker file
-  per committed batch id in the shared checkpoint folder makes a replay skip
-  a batch that already committed; only a crash between the insert and the
-  marker can duplicate rows (the reference has no such guard at all).
+  `run_id=<run>/batch_id=<id>` with dynamic partition overwrite, so a replay
+  replaces the batch instead of adding it again (exactly-once).
+* `JdbcTarget` - Spark's JDBC writer. A marker file per committed batch in the
+  shared checkpoint folder makes a replay skip a batch that already committed.
+  Spark commits each partition by itself, so a plain append is at-least-once:
+  if the batch fails part-way, or the driver is lost before the marker, what
+  was committed is there twice after the replay. With a staging table the
+  append is one statement of the user's, which can be made to repeat safely.
   The reference binds rows into free-form SQL (possibly an upsert); here that
   is `merge_sql`: the batch is written to `staging_table` (overwritten each
   batch) and the statement, e.g. `INSERT INTO t SELECT * FROM t_staging ON
   CONFLICT DO NOTHING`, runs once per batch over one JDBC connection.
 
-Retries: the write is retried `retries` times with a pause (the reference's
-JDBC policy: batches of 100 rows, 5 retries).
+Retries: what can be repeated (a file partition, a staging table, the merge
+statement) is tried again up to `retries` times with a pause (the reference's
+JDBC policy: batches of 100 rows, 5 retries). A plain append is not: its retry
+would add the committed partitions again.
 """
 
 from __future__ import annotations
 
 import logging
 import time
-from dataclasses import dataclass, field
+import uuid
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,22 +49,46 @@ def _hadoop_path(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+DEFAULT_RUN = "0"
+
+
+def new_run_id() -> str:
+    return uuid.uuid4().hex
+
+
+def stream_run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The run id of the stream with this checkpoint: made at its first start, kept there.
+
+    It is the name of an empty file, so that making it is one atomic step.
+    """
+    p, fs = _hadoop_path(spark, f"{checkpoint.rstrip('/')}/run-id")
+    if not fs.exists(p):
+        first, _ = _hadoop_path(spark, f"{checkpoint.rstrip('/')}/run-id/{new_run_id()}")
+        fs.create(first, True).close()
+    return sorted(s.getPath().getName() for s in fs.listStatus(p))[0]
+
+
 class CommitLog:
-    """One empty marker file per committed batch id, in a shared folder."""
+    """An empty marker file for each of a run's last two committed batches, in a shared folder.
+
+    Spark only ever replays a run's last batch, so older markers are removed.
+    """
 
     def __init__(self, folder: str):
         self.folder = folder.rstrip("/")
 
-    def _marker(self, batch_id: int) -> str:
-        return f"{self.folder}/{int(batch_id)}"
+    def _marker(self, batch_id: int, run_id: str) -> str:
+        return f"{self.folder}/{run_id}/{int(batch_id)}"
 
-    def done(self, spark: SparkSession, batch_id: int) -> bool:
-        p, fs = _hadoop_path(spark, self._marker(batch_id))
+    def done(self, spark: SparkSession, batch_id: int, run_id: str = DEFAULT_RUN) -> bool:
+        p, fs = _hadoop_path(spark, self._marker(batch_id, run_id))
         return fs.exists(p)
 
-    def mark(self, spark: SparkSession, batch_id: int) -> None:
-        p, fs = _hadoop_path(spark, self._marker(batch_id))
+    def mark(self, spark: SparkSession, batch_id: int, run_id: str = DEFAULT_RUN) -> None:
+        p, fs = _hadoop_path(spark, self._marker(batch_id, run_id))
         fs.create(p, True).close()
+        old, _ = _hadoop_path(spark, self._marker(batch_id - 2, run_id))
+        fs.delete(old, False)
 
 
 def with_retries(action, retries: int, pause_s: float, what: str):
@@ -72,7 +104,7 @@ def with_retries(action, retries: int, pause_s: float, what: str):
 
 @dataclass
 class TableTarget:
-    """A file table at `path`, partitioned by batch id (exactly-once).
+    """A file table at `path`, partitioned by run and batch id (exactly-once).
 
     One partition per micro-batch: on a long-running stream use a trigger of
     a minute or more (or compact old partitions), or write through the
@@ -85,16 +117,16 @@ class TableTarget:
     retries: int = 2
     retry_pause_s: float = 0.2
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        out = df.withColumn("batch_id", F.lit(int(batch_id)))
+    def write(self, df: DataFrame, batch_id: int, run_id: str = DEFAULT_RUN) -> None:
+        out = df.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(int(batch_id))})
         with_retries(
             lambda: (out.write.format(self.format).mode("overwrite")
                      .option("partitionOverwriteMode", "dynamic")
-                     .partitionBy("batch_id").save(self.path)),
+                     .partitionBy("run_id", "batch_id").save(self.path)),
             self.retries, self.retry_pause_s, f"write of batch {batch_id} to {self.path}")
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.format(self.format).load(self.path).drop("batch_id")
+        return spark.read.format(self.format).load(self.path).drop("run_id", "batch_id")
 
 
 @dataclass
@@ -109,7 +141,8 @@ class JdbcTarget:
     batch_size: int = JDBC_BATCH_SIZE
     retries: int = JDBC_RETRIES
     retry_pause_s: float = JDBC_RETRY_PAUSE_S
-    # Caps concurrent connections: Spark coalesces to this many writers.
+    # Writers at a time. The rows to write are dealt to as many partitions, so that the
+    # stages before keep theirs (Spark's own cap would run them in as few tasks).
     max_connections: int = 8
     commit_log: str | None = None
     staging_table: str | None = None
@@ -134,22 +167,30 @@ class JdbcTarget:
         opts.update({k: str(v) for k, v in self.extra.items()})
         return opts
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
+    def with_commit_log(self, folder: str) -> JdbcTarget:
+        """This target with its markers in `folder`, unless it has a place for them already."""
+        return self if self.commit_log else replace(self, commit_log=folder)
+
+    def _save(self, rows: DataFrame, mode: str) -> None:
+        rows.write.format("jdbc").options(**self.options()).mode(mode).save()
+
+    def write(self, df: DataFrame, batch_id: int, run_id: str = DEFAULT_RUN) -> None:
         spark = df.sparkSession
         marks = CommitLog(self.commit_log) if self.commit_log else None
-        if marks and marks.done(spark, batch_id):
+        if marks and marks.done(spark, batch_id, run_id):
             log.info("batch %d already written to %s; skipped", batch_id, self.table)
             return
-        opts = self.options()
-        mode = "overwrite" if self.staging_table else "append"
-        with_retries(lambda: df.write.format("jdbc").options(**opts).mode(mode).save(),
-                     self.retries, self.retry_pause_s, f"JDBC write of batch {batch_id}")
-        if self.merge_sql:
+        rows = df.repartition(self.max_connections)
+        if not self.staging_table:
+            self._save(rows, "append")
+        else:
+            with_retries(lambda: self._save(rows, "overwrite"),
+                         self.retries, self.retry_pause_s, f"JDBC write of batch {batch_id}")
             with_retries(lambda: run_jdbc_statement(spark, self.url, self.merge_sql, self.user,
                                                     self.password, self.driver),
                          self.retries, self.retry_pause_s, f"merge of batch {batch_id}")
         if marks:
-            marks.mark(spark, batch_id)
+            marks.mark(spark, batch_id, run_id)
 
 
 def run_jdbc_statement(spark: SparkSession, url: str, sql: str, user: str | None = None,

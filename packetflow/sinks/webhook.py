@@ -10,6 +10,7 @@ reference. The sender is injectable so tests need no network.
 
 from __future__ import annotations
 
+import http.client
 import logging
 import urllib.error
 import urllib.request
@@ -29,8 +30,19 @@ log = logging.getLogger(__name__)
 Sender = Callable[[str], int]
 
 
+class _NoRedirect(urllib.request.HTTPRedirectHandler):
+    """A redirect is a status like any other; following it would turn the POST into a GET."""
+
+    def redirect_request(self, *args, **kwargs):
+        return None
+
+
 class HttpSender:
-    """POST `body` as application/json to `uri`; returns the HTTP status."""
+    """POST `body` as application/json to `uri`; returns the HTTP status.
+
+    Redirects are not followed. A message that takes longer than `timeout_s` is
+    logged and skipped like any other failure.
+    """
 
     def __init__(self, uri: str, timeout_s: float = HTTP_TIMEOUT_S):
         if not uri:
@@ -42,7 +54,8 @@ class HttpSender:
         req = urllib.request.Request(self.uri, data=body.encode("utf-8"), method="POST",
                                      headers={"Content-Type": "application/json"})
         try:
-            with urllib.request.urlopen(req, timeout=self.timeout_s) as resp:
+            opener = urllib.request.build_opener(_NoRedirect)
+            with opener.open(req, timeout=self.timeout_s) as resp:
                 return resp.status
         except urllib.error.HTTPError as err:
             return err.code
@@ -67,8 +80,8 @@ def send_notifications(notes: DataFrame, sender: Sender, tasks: int | None = Non
             for body in pdf["body"]:
                 try:
                     statuses.append(int(sender(body)))
-                except OSError as exc:
-                    log.error("Http request failed: %s", exc)
+                except (OSError, http.client.HTTPException) as exc:
+                    log.error("webhook message not delivered: %s", exc)
                     statuses.append(0)
             yield pd.DataFrame({"body": pdf["body"], "status": pd.Series(statuses, dtype="int32")})
 

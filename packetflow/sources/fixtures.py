@@ -44,8 +44,12 @@ def _node(num, user_id, short_name, long_name, role, last_heard, hops, snr) -> C
         snr.cast("float").alias("snr"))
 
 
-def events_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Traffic: one packet per event; signups are node-info envelopes."""
+def events_packets(spark: SparkSession, sf_dir: str, payload: bool = True) -> DataFrame:
+    """Traffic: one packet per event; signups are node-info envelopes.
+
+    The event's `props` are the payload of decoded packets. Plans that start
+    from typed packets and use no payload leave it out, and so don't read it.
+    """
     e = _table(spark, sf_dir, "events")
     etype = F.col("event_type")
     decoded = etype.isin("click", "purchase")
@@ -57,7 +61,7 @@ def events_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id") % 8 - 4,
         F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id") % 3),
         F.lit(0), F.unix_seconds(ts), etype == "error", decoded, portnum,
-        F.lit(b""))  # events carry no text: payloads come from conversations
+        F.when(decoded, F.encode(F.col("props"), "UTF-8")) if payload else F.lit(b""))
     # A signup envelope carries a node without user: protobuf defaults.
     node = _node(F.col("user_id"), F.lit(""), F.lit(""), F.lit(""), F.lit(ZERO_ROLE),
                  F.lit(0), F.lit(0), F.lit(0.0))

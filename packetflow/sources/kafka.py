@@ -22,18 +22,46 @@ log = logging.getLogger(__name__)
 
 from packetflow.fixed import GROUP_ID_KEY as GROUP_ID
 
-_SEPARATOR = re.compile(r"\s*[=:]\s*|\s+")
+# Properties that Spark's Kafka source sets itself and refuses from the caller.
+REFUSED = frozenset({"auto.offset.reset", "enable.auto.commit", "key.deserializer",
+                     "value.deserializer", "key.serializer", "value.serializer",
+                     "interceptor.classes"})
+
+_KEY = re.compile(r"(?:\\.|[^\\=:\s])*")
+_SEPARATOR = re.compile(r"[ \t\f]*[=:]?[ \t\f]*")
+_ESCAPE = re.compile(r"\\(u[0-9a-fA-F]{4}|.)", re.DOTALL)
+_CONTROLS = {"t": "\t", "n": "\n", "r": "\r", "f": "\f"}
+
+
+def _logical_lines(text: str):
+    """Lines without comments and blanks, those that end in an odd number of backslashes joined."""
+    held = ""
+    for raw in re.split(r"\r\n|\r|\n", text or ""):
+        line = raw.lstrip(" \t\f")
+        if not held and (not line or line[0] in "#!"):
+            continue
+        held += line
+        if (len(held) - len(held.rstrip("\\"))) % 2:
+            held = held[:-1]
+            continue
+        yield held
+        held = ""
+    if held:
+        yield held
+
+
+def _unescaped(text: str) -> str:
+    return _ESCAPE.sub(lambda m: chr(int(m[1][1:], 16)) if len(m[1]) == 5
+                       else _CONTROLS.get(m[1], m[1]), text)
 
 
 def parse_properties(text: str) -> dict[str, str]:
-    """`k=v` lines (also `k: v` / `k v`); `#` and `!` start comments."""
+    """The Java properties format: `k=v`, `k: v` or `k v`, comments, continued lines, escapes."""
     props: dict[str, str] = {}
-    for raw in (text or "").splitlines():
-        line = raw.strip()
-        if not line or line[0] in "#!":
-            continue
-        parts = _SEPARATOR.split(line, maxsplit=1)
-        props[parts[0]] = parts[1].strip() if len(parts) > 1 else ""
+    for line in _logical_lines(text):
+        key = _KEY.match(line)
+        value = line[_SEPARATOR.match(line, key.end()).end():]
+        props[_unescaped(key[0])] = _unescaped(value)
     return props
 
 
@@ -42,7 +70,7 @@ def client_properties(properties: str | dict, job_kind: str | None = None) -> di
     props = dict(parse_properties(properties) if isinstance(properties, str) else properties)
     if job_kind and props.get(GROUP_ID) is not None:
         props[GROUP_ID] = f"{props[GROUP_ID]}-{job_kind}"
-        log.info("appending group.id with job.kind, value: %s", props[GROUP_ID])
+        log.info("consumer group of this job: %s", props[GROUP_ID])
     return props
 
 
@@ -59,7 +87,10 @@ def kafka_options(topic: str, properties: str | dict, job_kind: str | None = Non
     """
     opts = {"subscribe": topic}
     for key, value in client_properties(properties, job_kind).items():
-        opts[f"kafka.{key}"] = value
+        if key in REFUSED:
+            log.warning("client property %s is left out: Spark's Kafka source sets it itself", key)
+        else:
+            opts[f"kafka.{key}"] = value
     if start is not None:
         opts["startingTimestamp"] = str(iso_offset_to_epoch_millis(start))
         # Partitions without a record at/after the start begin at their end.

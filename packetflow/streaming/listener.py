@@ -23,7 +23,7 @@ class ObservedTotals(StreamingQueryListener):
         self.names = names
         self._lock = threading.Lock()
         self._totals: dict[tuple[str, str], int] = {}
-        self._batches: dict[str, set[int]] = {}
+        self._last: dict[str, int] = {}        # last batch counted, by query
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -32,10 +32,9 @@ class ObservedTotals(StreamingQueryListener):
         progress = event.progress
         query = str(progress.id)
         with self._lock:
-            seen = self._batches.setdefault(query, set())
-            if progress.batchId in seen:  # a progress event may repeat a batch
+            if progress.batchId <= self._last.get(query, -1):  # an event may repeat a batch
                 return
-            seen.add(progress.batchId)
+            self._last[query] = progress.batchId
             for name in self.names:
                 row = (progress.observedMetrics or {}).get(name)
                 if row is None:

@@ -18,16 +18,13 @@ BatchFn = Callable[[DataFrame, int], None]
 
 
 def trigger_options(trigger: str | dict | None) -> dict:
-    """"available-now" (default), "once", "continuous:<interval>", or an
-    interval such as "200 milliseconds" for a processing-time trigger."""
+    """"available-now" (default), "once", or an interval such as "200 milliseconds" for a processing-time trigger."""
     if isinstance(trigger, dict):
         return trigger
     if trigger in (None, "available-now", "availableNow"):
         return {"availableNow": True}
     if trigger == "once":
         return {"once": True}
-    if trigger.startswith("continuous:"):
-        return {"continuous": trigger.split(":", 1)[1]}
     return {"processingTime": trigger}
 
 

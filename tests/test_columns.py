@@ -49,8 +49,19 @@ def test_utf8_replaces_malformed_bytes(spark):
 
 
 def test_windows_1250(spark):
-    assert one(spark, C.bytes_to_text("b", "windows-1250"), "b binary",
-               (bytearray(b"\xff"),)) == "˙"
+    with C.jvm_charsets(spark):
+        assert one(spark, C.bytes_to_text("b", "windows-1250"), "b binary",
+                   (bytearray(b"\xff"),)) == "˙"
+
+
+@pytest.mark.parametrize("charset, data, text", [
+    ("UTF-32", b"\x00\x00\x00A", "A"), ("windows-874", b"\xa1", "ก"), ("x-MacRoman", b"\x8e", "é"),
+    ("UTF-16", b"\x00A", "A"), ("windows-1250", b"A\x81", "A�"), ("US-ASCII", b"\xffA", "�A")])
+def test_charsets_of_the_jvm(spark, charset, data, text):
+    before = spark.conf.get("spark.sql.legacy.javaCharsets")
+    with C.jvm_charsets(spark):
+        assert one(spark, C.bytes_to_text("b", charset), "b binary", (bytearray(data),)) == text
+    assert spark.conf.get("spark.sql.legacy.javaCharsets") == before
 
 
 def test_latin1_stays_in_jvm(spark):
@@ -58,8 +69,9 @@ def test_latin1_stays_in_jvm(spark):
                (bytearray(b"caf\xe9"),)) == "café"
 
 
-def test_unknown_charset():
-    assert not C.is_known_charset("no-such-charset")
+def test_unknown_charset(spark):
+    for name in ("no-such-charset", "hex", "rot13", "base64", "not a name"):
+        assert not C.is_known_charset(name)
     with pytest.raises(LookupError):
         C.bytes_to_text(F.col("b"), "no-such-charset")
 

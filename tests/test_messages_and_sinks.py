@@ -213,3 +213,111 @@ def test_kafka_reader_is_wired_but_the_connector_is_absent_here(spark):
     for end in (None, "2024-01-02T00:00:00Z"):  # stream, then bounded batch replay
         with pytest.raises(Exception, match="(?i)kafka"):
             kafka_packets(spark, "radio-packets", "bootstrap.servers=k:9092", "default", end=end)
+
+
+def test_kafka_properties_file_format():
+    text = ("sasl.jaas.config=org.example.Login required \\\n    username=\"a\\\\b\" \\\n"
+            "    password=\"p=1\";\n! note\nk\\:9092 = v\\u0041\\t|\nempty\nspaced   value here\n"
+            "# tail \\\nlast:x\\\\")
+    assert parse_properties(text) == {
+        "sasl.jaas.config": 'org.example.Login required username="a\\b" password="p=1";',
+        "k:9092": "vA\t|", "empty": "", "spaced": "value here", "last": "x\\"}
+
+
+@pytest.mark.parametrize("key", ["auto.offset.reset", "enable.auto.commit", "key.deserializer",
+                                 "value.deserializer"])
+def test_kafka_leaves_out_refused_properties(key):
+    opts = kafka_options("t", {"bootstrap.servers": "b", key: "x"})
+    assert f"kafka.{key}" not in opts and opts["kafka.bootstrap.servers"] == "b"
+
+
+def test_commit_markers_stay_bounded(spark, folder):
+    import os
+
+    log = CommitLog(f"{folder}/bounded")
+    for batch in range(20):
+        log.mark(spark, batch, "run")
+    markers = [f for f in os.listdir(f"{folder}/bounded/run") if not f.startswith(".")]
+    assert sorted(markers) == ["18", "19"]
+
+
+def test_stream_run_id_is_kept(spark, folder):
+    from packetflow.sinks.batch import stream_run_id
+
+    first = stream_run_id(spark, f"{folder}/a")
+    assert stream_run_id(spark, f"{folder}/a") == first != stream_run_id(spark, f"{folder}/b")
+
+
+def test_another_run_adds_and_the_same_run_replaces(spark, folder):
+    target = TableTarget(f"{folder}/runs")
+    target.write(spark.range(3), 0, "a")
+    target.write(spark.range(5), 0, "b")
+    target.write(spark.range(3), 0, "a")
+    assert target.read(spark).count() == 8
+
+
+def test_plain_jdbc_append_is_not_retried(spark, monkeypatch):
+    calls = []
+
+    def fails_part_way(self, rows, mode):
+        calls.append((mode, rows.rdd.getNumPartitions()))
+        raise RuntimeError("lost after some partitions")
+
+    monkeypatch.setattr(JdbcTarget, "_save", fails_part_way)
+    plain = JdbcTarget(url="jdbc:x", table="t", max_connections=3, retry_pause_s=0.001)
+    with pytest.raises(RuntimeError):
+        plain.write(spark.range(0, 100, 1, 7), 0)
+    assert calls == [("append", 3)]
+    calls.clear()
+    staged = JdbcTarget(url="jdbc:x", table="t", staging_table="s", merge_sql="MERGE", retries=2,
+                        retry_pause_s=0.001)
+    with pytest.raises(RuntimeError):
+        staged.write(spark.range(10), 0)
+    assert [mode for mode, _ in calls] == ["overwrite"] * 3
+
+
+def test_jdbc_target_keeps_its_log_with_the_checkpoint():
+    plain = JdbcTarget(url="jdbc:x", table="t")
+    assert plain.with_commit_log("/c").commit_log == "/c"
+    assert JdbcTarget(url="jdbc:x", table="t", commit_log="/own").with_commit_log("/c").commit_log == "/own"
+
+
+def test_broken_responses_do_not_stop_the_task(spark):
+    import http.client
+
+    from packetflow.sinks.webhook import deliver_batch
+
+    def sender(body):
+        raise http.client.BadStatusLine("?")
+
+    notes = spark.createDataFrame([("t", "m", 2)] * 3, "title string, message string, priority int")
+    assert deliver_batch(notes, sender) == (3, 3)
+
+
+def test_listener_counts_each_batch_once_and_keeps_one_id():
+    from types import SimpleNamespace
+
+    from packetflow.streaming.listener import ObservedTotals
+
+    totals = ObservedTotals()
+    for batch in [*range(500), 499]:
+        row = SimpleNamespace(asDict=lambda: {"messages": 2})
+        totals.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(
+            id="q", batchId=batch, name="n", observedMetrics={"messages": row})))
+    assert totals.total("q", "messages.messages") == 1000 and totals._last == {"q": 499}
+
+
+def test_two_replays_notify_each_message_once(spark, folder):
+    from packetflow.plans.streams import TEXT_SPLIT, _replay_halves
+    from packetflow.plans.jobs import run_text_job
+    from packetflow.sources import fixtures as X
+    from packetflow.sources.descriptors import ENVELOPE, fixture_descriptor_set
+    from tests.conftest import SF_SMALL
+
+    sent, target = f"{folder}-sent", TableTarget(f"{folder}/text")
+    halves = list(_replay_halves(spark, X.conversation_packets(spark, SF_SMALL), folder, TEXT_SPLIT))
+    for raw, run in ((halves[0], "one"), (halves[1], None), (halves[0], "one")):
+        run_text_job(raw, target, f"{folder}/ck", fixture_descriptor_set(), ENVELOPE,
+                     sender=FakeSender(sent), run_id=run)
+    rows = target.read(spark).count()
+    assert rows > 0 and sum(1 for _ in open(sent)) == rows
