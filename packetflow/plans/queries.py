@@ -223,6 +223,11 @@ def q_text_replay_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_replay_twice(spark, sf_dir, job_id("text_replay_twice"))
 
 
+def q_text_sink_zoned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from packetflow.plans.streams import text_sink_zoned
+    return text_sink_zoned(spark, sf_dir, job_id("text_sink_zoned"), ZONE_WEST)
+
+
 def q_audit_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     from packetflow.plans.streams import audit_sink
     return audit_sink(spark, sf_dir, job_id("audit_sink"))
@@ -347,6 +352,10 @@ tm AS (
         "traffic_replay_twice": _EVENTS_CTX + _traffic_sql(10, job_id("traffic_replay_twice")),
         "text_replay_twice": texts.format(jid=job_id("text_replay_twice"))
         + "\nSELECT from_node, to_node, channel, time, text, job_id FROM tm",
+        "text_sink_zoned": texts.replace(
+            O.epoch_to_ntz('p_rx_time'), f"timezone('{ZONE_WEST}', to_timestamp(p_rx_time))")
+        .format(jid=job_id("text_sink_zoned"))
+        + "\nSELECT from_node, to_node, channel, time, text, job_id FROM tm",
         "audit_sink": texts.format(jid=job_id("audit_sink"))
         + f"\nSELECT {O.iso_local_text('time')} || ' form: ' || from_node || ', chan: ' "
           "|| channel || ', text: ' || text AS line FROM tm",
@@ -384,6 +393,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "traffic_replay_twice": q_traffic_replay_twice,
     "text_replay_twice": q_text_replay_twice,
     "audit_sink": q_audit_sink,
+    "text_sink_zoned": q_text_sink_zoned,
     "node_info_sink": q_node_info_sink,
     "text_sink": q_text_sink,
 }

@@ -176,12 +176,13 @@ def node_info_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/table")
 
 
-def _text_tables(spark: SparkSession, sf_dir: str, job_id: str, name: str) -> tuple:
+def _text_tables(spark: SparkSession, sf_dir: str, job_id: str, name: str,
+                 zone: str = "UTC") -> tuple:
     folder = run_folder(spark, name)
     raw = _stage(spark, X.conversation_packets(spark, sf_dir), folder)
     target, audit = TableTarget(f"{folder}/text"), TableTarget(f"{folder}/audit")
     query = run_text_job(raw, target, f"{folder}/checkpoint", fixture_descriptor_set(), ENVELOPE,
-                         zone="UTC", job_id=job_id, audit_target=audit,
+                         zone=zone, job_id=job_id, audit_target=audit,
                          trigger=AVAILABLE_NOW, query_name=name)
     run_to_end(query, STREAM_TIMEOUT_S)
     return target.read(spark), audit.read(spark)
@@ -192,6 +193,11 @@ def text_sink(spark: SparkSession, sf_dir: str, job_id: str) -> DataFrame:
     return _text_tables(spark, sf_dir, job_id, "text_sink")[0]
 
 
+def text_sink_zoned(spark: SparkSession, sf_dir: str, job_id: str, zone: str) -> DataFrame:
+    """Local times of a zone with an offset, stored as if they were UTC."""
+    return _text_tables(spark, sf_dir, job_id, "text_sink_zoned", zone)[0]
+
+
 def audit_sink(spark: SparkSession, sf_dir: str, job_id: str) -> DataFrame:
     """J3 + A2/P7: the table of audit lines."""
     return _text_tables(spark, sf_dir, job_id, "audit_sink")[1]
