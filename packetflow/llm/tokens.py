@@ -25,7 +25,7 @@ from packetflow.llm.common import (documents_input, pieces, read_table, run_fold
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 SHARD_TOKENS = 1 << 18       # a shard is closed once it holds as many ids
-CACHE_PIECES = 250_000       # tokenised pieces that a Python worker keeps
+CACHE_PIECES = 160_000       # of a generation of tokenised pieces that a Python worker keeps
 
 SHARD_SCHEMA = ("part int, seq int, part_start long, doc_ids array<long>, doc_tokens array<long>, "
                 "wavelet binary")
@@ -50,7 +50,7 @@ class WaveletMatrix:
         for bit in range(bits - 1, -1, -1):
             one = ids & ids.dtype.type(1 << bit) != 0
             planes.append(np.packbits(one, bitorder="little"))
-            ids = np.concatenate((ids[~one], ids[one]))
+            ids = np.concatenate((ids.take(np.flatnonzero(~one)), ids.take(np.flatnonzero(one))))
         return cls(planes, len(ids))
 
     def to_bytes(self) -> bytes:
@@ -72,10 +72,11 @@ class WaveletMatrix:
         one_ = values.dtype.type(1)
         for depth, plane in enumerate(reversed(self.planes)):
             one = np.unpackbits(plane, count=self.length, bitorder="little").view(bool)
-            zeros = self.length - int(np.count_nonzero(one))
+            ones = np.flatnonzero(one)
+            zeros = self.length - len(ones)
             above = np.empty_like(values)
-            above[~one] = values[:zeros]
-            above[one] = values[zeros:] | (one_ << values.dtype.type(depth))
+            above[np.flatnonzero(~one)] = values[:zeros]
+            above[ones] = values[zeros:] | (one_ << values.dtype.type(depth))
             values = above
         return values
 
@@ -161,6 +162,16 @@ class WaveletMatrix:
 _SIGNS = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
 # Texts with other letters, special tokens or separator controls are not simplified.
 _ODD = re.compile(r"[\x1c-\x1f\u0250-\U0010ffff]|<\|")
+_RARE = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
+
+
+def _is_odd(text: str) -> bool:
+    """Whether `_ODD` is found in a text; most texts are Latin-1, where searching for bytes tells."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return _ODD.search(text) is not None
+    return any(x in text for x in _RARE)
 
 
 class PieceEncoder:
@@ -170,40 +181,49 @@ class PieceEncoder:
     those of its pieces between white space in turn. A word of letters
     followed by signs (without apostrophe, digits or <) is split there by the
     tokenizer as well, and it ignores letter case; such pieces are put together
-    from their parts. `tests/llm` holds all this against whole-text encoding.
+    from their parts. Its normalizer and splitter leave a word of lower-case
+    letters below U+0250 as it is (such letters are composed already), so these
+    words go to the library's model at once, in its byte alphabet; all else
+    goes through the whole tokenizer. `tests/llm` holds this against whole-text
+    encoding.
+
+    Pieces are remembered in two generations: a full one replaces the older,
+    and a piece found in the older moves to the newer.
     """
 
     def __init__(self, name: str = TOKENIZER):
         import public_tokenizers
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+        self.model = self.tokenizer.model
         self.wide = self.tokenizer.get_vocab_size() > 65536
         self.dtype = np.dtype("<u4" if self.wide else "<u2")
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.alphabet = {at: level.pre_tokenize_str(chr(at))[0][0] for at in range(0x80, 0x250)}
+        self.raw = [i.to_bytes(self.dtype.itemsize, "little")
+                    for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in
                 self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        """Plain words in one call: each is one pre-token, so the pre-token's number is the word's."""
-        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        of, ids = np.array(found.word_ids), np.array(found.ids, self.dtype)
-        if len(of) == 0 or of[-1] + 1 != len(words):
-            return self._encode(words)
-        ends = np.searchsorted(of, np.arange(len(words)), side="right") * self.dtype.itemsize
-        raw, starts = ids.tobytes(), np.concatenate(([0], ends[:-1]))
-        return [raw[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+    def _encode_word(self, word: str) -> bytes:
+        """A word of lower-case letters below U+0250, by the tokenizer's model."""
+        if not word.isascii():
+            word = word.translate(self.alphabet)
+        raw = self.raw
+        return b"".join([raw[t.id] for t in self.model.tokenize(word)])
 
     def _learn(self, missing: set[str]) -> None:
         parts, cache = self.parts, self.cache
-        if len(cache) + len(missing) > CACHE_PIECES:
-            cache.clear()
         if len(parts) > CACHE_PIECES:
             parts.clear()
-        split, words, others = [], set(), set()
+        split, others = [], set()
         for piece in missing:
             word = piece.rstrip(_SIGNS)
             signs = piece[len(word):]
@@ -212,12 +232,13 @@ class PieceEncoder:
                 if piece not in parts:
                     others.add(piece)
             elif word not in parts:
-                words.add(word)
+                if word.islower() and (word.isascii() or not _ODD.search(word)):
+                    parts[word] = self._encode_word(word)
+                else:
+                    others.add(word)
             if signs and signs not in parts:
                 others.add(signs)
             split.append((piece, word, signs))
-        if words:
-            parts.update(zip(words, self._encode_words(list(words)), strict=True))
         if others:
             parts.update(zip(others, self._encode(list(others)), strict=True))
         for piece, word, signs in split:
@@ -227,12 +248,17 @@ class PieceEncoder:
         pieces_, ends = [], []
         for text in texts:
             text = text or ""
-            pieces_ += text.replace("\n", " ").split(" ") if _ODD.search(text) else text.lower().split()
+            pieces_ += text.replace("\n", " ").split(" ") if _is_odd(text) else text.lower().split()
             ends.append(len(pieces_))
+        if len(self.cache) > CACHE_PIECES:
+            self.cache, self.older = {}, self.cache
         ids = list(map(self.cache.get, pieces_))
         lacking = [i for i, x in enumerate(ids) if x is None]
         if lacking:
-            self._learn({pieces_[i] for i in lacking})
+            missing = {pieces_[i] for i in lacking}
+            known = missing & self.older.keys()
+            self.cache.update(zip(known, map(self.older.get, known), strict=True))
+            self._learn(missing - known)
             for i in lacking:
                 ids[i] = self.cache[pieces_[i]]
         return [np.frombuffer(b"".join(ids[s:e]), self.dtype)
