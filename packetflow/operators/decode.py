@@ -14,6 +14,8 @@ only on field *names* of a user-supplied descriptor set:
 Absent fields read as protobuf defaults (never null); only the one-of tags
 carry presence. Malformed bytes or a null value fail the job, as in the
 reference. `parts` prunes what is decoded: a part not asked for comes out null.
+`only_variant` and `only_port` leave out rows that a job's own filter would
+drop next, so that they are not carried back to the JVM.
 
 The watermark must be set *after* this step (`mapInArrow` drops it).
 """
@@ -23,6 +25,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from packetflow import schema as S
 from packetflow.fixed import UINT32_MASK, UNRECOGNIZED
@@ -57,7 +60,7 @@ OPTIONAL_PACKET_FIELDS = ("channel", "rx_time", "payload")
 class _Layout:
     """Field lookups resolved once per worker from the descriptor."""
 
-    def __init__(self, cls, parts, packet_fields):
+    def __init__(self, cls, parts, packet_fields, only_variant=None, only_port=None):
         d = cls.DESCRIPTOR
         members = [p for p in PARTS if p in d.fields_by_name]
         if not members:
@@ -65,6 +68,7 @@ class _Layout:
         self.variant_oneof = oneof_of(d, members[0])
         self.want_packet = "packet" in parts and "packet" in d.fields_by_name
         self.want_node = "node_info" in parts and "node_info" in d.fields_by_name
+        self.only_variant, self.only_port = only_variant, only_port
         self.want = {f: packet_fields is None or f in packet_fields
                      for f in OPTIONAL_PACKET_FIELDS}
         if self.want_packet:
@@ -81,8 +85,8 @@ def _decode_batch(batch: pa.RecordBatch, parse, lay: _Layout) -> pa.RecordBatch:
     # One pass: parse a message and read its fields while it is still hot.
     values = batch.column(batch.schema.get_field_index("value")).to_pylist()
     stamps = batch.column(batch.schema.get_field_index("timestamp"))
-    n = len(values)
-    variants = []
+    variants, kept = [], []
+    only_variant, only_port = lay.only_variant, lay.only_port
     p_from, p_to, p_chan, p_rx, p_enc, p_dec, p_port, p_pay, p_null = ([] for _ in range(9))
     n_num, n_id, n_short, n_long, n_role, n_heard, n_hops, n_snr, n_null = ([] for _ in range(9))
     want_packet, want_node = lay.want_packet, lay.want_node
@@ -92,11 +96,19 @@ def _decode_batch(batch: pa.RecordBatch, parse, lay: _Layout) -> pa.RecordBatch:
     body_oneof = getattr(lay, "packet_oneof", None)
     roles = getattr(lay, "roles", {})
     variant_oneof = lay.variant_oneof
-    for raw in values:
+    for at, raw in enumerate(values):
         if raw is None:
             raise ValueError("radio packet with a null value")
         m = parse(raw)
         v = m.WhichOneof(variant_oneof) or ""
+        if only_variant is not None:
+            if v != only_variant:
+                continue
+            if only_port is not None and not (
+                    m.packet.WhichOneof(body_oneof) == "decoded"
+                    and ports.get(m.packet.decoded.portnum, UNRECOGNIZED) == only_port):
+                continue
+            kept.append(at)
         variants.append(v)
         if want_packet:
             if v == "packet":
@@ -149,6 +161,9 @@ def _decode_batch(batch: pa.RecordBatch, parse, lay: _Layout) -> pa.RecordBatch:
                 n_role.append(None); n_heard.append(0); n_hops.append(0); n_snr.append(0.0)
                 n_null.append(True)
 
+    n = len(variants)
+    if only_variant is not None:
+        stamps = stamps.take(pa.array(kept, pa.int64()))
     if want_packet:
         packet = _struct([
             _int32(p_from), _int32(p_to),
@@ -176,7 +191,8 @@ def _decode_batch(batch: pa.RecordBatch, parse, lay: _Layout) -> pa.RecordBatch:
 def decode_packets(raw: DataFrame, descriptor_set: bytes, message: str,
                    parts: tuple[str, ...] = PARTS,
                    packet_fields: tuple[str, ...] | None = None,
-                   engine: str = "arrow") -> DataFrame:
+                   engine: str = "arrow", only_variant: str | None = None,
+                   only_port: str | None = None) -> DataFrame:
     """`value BINARY, timestamp TIMESTAMP` -> the `packets` layout (schema.PACKETS).
 
     A narrow, per-partition step: no shuffle, no driver round-trip.
@@ -184,6 +200,10 @@ def decode_packets(raw: DataFrame, descriptor_set: bytes, message: str,
     which then come out null: `mapInArrow` is opaque to Catalyst's column
     pruning, so callers say what they read.
 
+    `only_variant` (a part that is decoded) keeps the envelopes of that variant
+    alone, and `only_port`, with variant "packet", those decoded on that port.
+    Don't give them where a watermark follows: left-out packets can't advance it.
+
     `engine`: "arrow" (protobuf runtime in Python workers), "jvm" (Spark's
     `from_protobuf`; needs the spark-protobuf jar, see operators.decode_jvm),
     or "auto" (jvm when the jar is on the classpath).
@@ -191,13 +211,22 @@ def decode_packets(raw: DataFrame, descriptor_set: bytes, message: str,
     unknown = set(parts) - set(PARTS)
     if unknown:
         raise ValueError(f"unknown parts: {sorted(unknown)}")
+    if only_variant is not None and only_variant not in parts:
+        raise ValueError(f"only_variant {only_variant!r} is not among the parts {parts}")
+    if only_port is not None and only_variant != "packet":
+        raise ValueError("only_port needs only_variant='packet'")
     if engine not in ("arrow", "jvm", "auto"):
         raise ValueError(f"unknown engine: {engine}")
     if engine != "arrow":
         from packetflow.operators.decode_jvm import decode_packets_jvm, jvm_protobuf_available
 
         if engine == "jvm" or jvm_protobuf_available(raw.sparkSession):
-            return decode_packets_jvm(raw, descriptor_set, message, tuple(parts))
+            rows = decode_packets_jvm(raw, descriptor_set, message, tuple(parts))
+            if only_variant is not None:
+                rows = rows.where(F.col("variant") == only_variant)
+            if only_port is not None:
+                rows = rows.where(F.col("packet.decoded") & (F.col("packet.portnum") == only_port))
+            return rows
     if packet_fields is not None:
         extra = set(packet_fields) - set(S.PACKET.fieldNames())
         if extra:
@@ -208,7 +237,7 @@ def decode_packets(raw: DataFrame, descriptor_set: bytes, message: str,
 
     def run(batches):
         cls = message_class(descriptor_set, message)
-        lay = _Layout(cls, parts, packet_fields)
+        lay = _Layout(cls, parts, packet_fields, only_variant, only_port)
         parse = cls.FromString
         for batch in batches:
             yield _decode_batch(batch, parse, lay)

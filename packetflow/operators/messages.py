@@ -11,6 +11,7 @@ import logging
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from packetflow import schema as S
 from packetflow.fixed import (
@@ -35,9 +36,11 @@ log = logging.getLogger(__name__)
 
 
 def text_messages(packets: DataFrame, charset: str = DEFAULT_CHARSET, zone: str | None = None,
-                  job_id: str | None = None) -> DataFrame:
+                  job_id: str | None = None, record_time: bool = False) -> DataFrame:
     """J3 core: one row per text-message packet, in schema.TEXT_MESSAGES.
 
+    `record_time` adds that column after the others, for delivery in order.
+
     `time` is the packet's receive time as a local date-time in `zone`
     (default: session zone). Undecodable bytes become U+FFFD. An unknown
     charset makes every row fail to build: like the reference, the rows are
@@ -58,21 +61,27 @@ def text_messages(packets: DataFrame, charset: str = DEFAULT_CHARSET, zone: str
             epoch_seconds_to_local(p["rx_time"], zone).alias("time"),
             p["channel"].alias("channel"),
             bytes_to_text(p["payload"], charset).alias("text"),
-            F.lit(job_id).alias("job_id"))
+            F.lit(job_id).alias("job_id"),
+            *([F.col("timestamp").alias("record_time")] if record_time else []))
+    if record_time:
+        return rows.to(T.StructType([*S.TEXT_MESSAGES.fields,
+                                     T.StructField("record_time", T.TimestampType(), True)]))
     return rows.to(S.TEXT_MESSAGES)
 
 
-def notifications(messages: DataFrame) -> DataFrame:
-    """Title, message and priority of the notification for each text row."""
+def notifications(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Title, message and priority of the notification for each text row, after `keep`."""
     return messages.select(
+        *keep,
         F.format_string(TITLE_FORMAT, "from_node", "channel").alias("title"),
         F.format_string(MESSAGE_FORMAT, iso_local_text("time"), F.col("text")).alias("message"),
         F.lit(PRIORITY).cast("int").alias("priority"))
 
 
-def notification_json(notes: DataFrame) -> DataFrame:
-    """The pretty-printed JSON body sent to the webhook, one per row."""
+def notification_json(notes: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The pretty-printed JSON body sent to the webhook, one per row, after `keep`."""
     return notes.select(
+        *keep,
         F.to_json(F.struct("title", "message", "priority"), {"pretty": "true"}).alias("body"))
 
 

@@ -27,6 +27,7 @@ from packetflow.fixed import (
     JOB_KIND_TEXT,
     JOB_KIND_TRAFFIC,
     SINK_INTERVAL,
+    TEXT_MESSAGE_PORT,
 )
 from packetflow.operators.decode import decode_packets
 from packetflow.operators.messages import audit_lines, notifications, text_messages
@@ -35,7 +36,7 @@ from packetflow.operators.traffic import DEFAULT_WINDOW_MINUTES, packet_traffic
 from packetflow.sinks.batch import DEFAULT_RUN, CommitLog, JdbcTarget, TableTarget, new_run_id, \
     stream_run_id, text_bind_order, traffic_bind_order
 from packetflow.sinks.sql import create_sink, insert_via_view
-from packetflow.sinks.webhook import HttpSender, Sender, deliver_batch
+from packetflow.sinks.webhook import ORDER_COLUMNS, HttpSender, Sender, deliver_batch
 from packetflow.streaming.runner import start_stream
 from packetflow.streaming.watermark import DEFAULT_DELAY, with_event_time
 
@@ -67,12 +68,15 @@ TRAFFIC_FIELDS = ("from", "to", "encrypted", "decoded", "portnum")
 
 def decoded(raw: DataFrame, descriptor_set: bytes, message: str,
             parts: tuple[str, ...], delay: str | None = DEFAULT_DELAY,
-            packet_fields: tuple[str, ...] | None = None, engine: str = "arrow") -> DataFrame:
+            packet_fields: tuple[str, ...] | None = None, engine: str = "arrow",
+            only_variant: str | None = None, only_port: str | None = None) -> DataFrame:
     """Decode once, then set the watermark (order matters, see streaming.watermark).
 
-    `engine` picks the decoder (operators.decode.decode_packets).
+    `engine` picks the decoder (operators.decode.decode_packets). The jobs
+    without a watermark decode only the rows that they use.
     """
-    packets = decode_packets(raw, descriptor_set, message, parts, packet_fields, engine)
+    packets = decode_packets(raw, descriptor_set, message, parts, packet_fields, engine,
+                             only_variant, only_port)
     return with_event_time(packets, delay)
 
 
@@ -113,7 +117,7 @@ def run_traffic_job(raw: DataFrame, target: Target, checkpoint: str, descriptor_
 def node_info_plan(raw: DataFrame, descriptor_set: bytes, message: str,
                    zone: str | None = None, engine: str = "arrow") -> DataFrame:
     return node_info(decoded(raw, descriptor_set, message, ("node_info",), None,
-                             engine=engine), zone)
+                             engine=engine, only_variant="node_info"), zone)
 
 
 def run_node_info_job(raw: DataFrame, checkpoint: str, descriptor_set: bytes, message: str,
@@ -152,15 +156,19 @@ def run_node_info_job(raw: DataFrame, checkpoint: str, descriptor_set: bytes, me
 
 def text_plan(raw: DataFrame, descriptor_set: bytes, message: str, charset: str = DEFAULT_CHARSET,
               zone: str | None = None, job_id: str | None = None,
-              engine: str = "arrow") -> DataFrame:
-    packets = decoded(raw, descriptor_set, message, ("packet",), None, engine=engine)
-    return text_messages(packets, charset, zone, job_id)
+              engine: str = "arrow", record_time: bool = False) -> DataFrame:
+    packets = decoded(raw, descriptor_set, message, ("packet",), None, engine=engine,
+                      only_variant="packet", only_port=TEXT_MESSAGE_PORT)
+    return text_messages(packets, charset, zone, job_id, record_time)
 
 
 def text_batch_writer(target: Target, checkpoint: str, sender: Sender | None = None,
                       audit_target: Target | None = None, webhook_tasks: int | None = None,
-                      run_id: str = DEFAULT_RUN):
-    """One batch of text rows to the table, the audit table and the webhook."""
+                      run_id: str = DEFAULT_RUN, ordered: bool = False):
+    """One batch of text rows to the table, the audit table and the webhook.
+
+    `ordered` (K2) needs rows with their record time (`text_plan(record_time=True)`).
+    """
     target = _with_log(target, f"{checkpoint}/table-commits")
     audit_target = _with_log(audit_target, f"{checkpoint}/audit-commits")
     sent = CommitLog(f"{checkpoint}/webhook-commits")
@@ -172,7 +180,8 @@ def text_batch_writer(target: Target, checkpoint: str, sender: Sender | None = N
             if audit_target is not None:
                 audit_target.write(audit_lines(df), batch_id, run_id)
             if sender is not None and not sent.done(df.sparkSession, batch_id, run_id):
-                n, failed = deliver_batch(notifications(df), sender, webhook_tasks)
+                notes = notifications(df, ORDER_COLUMNS if ordered else ())
+                n, failed = deliver_batch(notes, sender, webhook_tasks, ordered)
                 sent.mark(df.sparkSession, batch_id, run_id)
                 if failed:
                     log.error("batch %d: %d of %d notifications failed", batch_id, failed, n)
@@ -189,7 +198,7 @@ def run_text_job(raw: DataFrame, target: Target, checkpoint: str, descriptor_set
                  query_name: str = "text-app", engine: str = "arrow",
                  http_uri: str | None = None,
                  webhook_tasks: int | None = None,
-                 run_id: str | None = None) -> StreamingQuery | None:
+                 run_id: str | None = None, ordered: bool = False) -> StreamingQuery | None:
     """J3 (job kind "text-app"): text rows to a table and a webhook.
 
     Run ids are those of `run_traffic_job`: a bounded run writes and notifies
@@ -197,6 +206,8 @@ def run_text_job(raw: DataFrame, target: Target, checkpoint: str, descriptor_set
 
     `http_uri` (the reference's text.http.uri) builds the default HTTP sender;
     `sender` replaces it (tests use a fake). `webhook_tasks` spreads delivery.
+    `ordered` sends the messages of one sender in the order of their record
+    times (K2); a busy sender's messages then wait for each other in one task.
 
     A2: the number of text rows per batch is reported as observed metric
     `messages`; the audit lines themselves go to `audit_target` (a table),
@@ -204,9 +215,10 @@ def run_text_job(raw: DataFrame, target: Target, checkpoint: str, descriptor_set
     """
     if sender is None and http_uri:
         sender = HttpSender(http_uri)
-    texts = text_plan(raw, descriptor_set, message, charset, zone, job_id, engine)
+    texts = text_plan(raw, descriptor_set, message, charset, zone, job_id, engine, ordered)
     run = run_id or (stream_run_id(raw.sparkSession, checkpoint) if texts.isStreaming else new_run_id())
-    each_batch = text_batch_writer(target, checkpoint, sender, audit_target, webhook_tasks, run)
+    each_batch = text_batch_writer(target, checkpoint, sender, audit_target, webhook_tasks, run,
+                                   ordered)
     if not texts.isStreaming:
         each_batch(texts, 0)
         return None

@@ -64,7 +64,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
-    if not sc.master.startswith("local"):
+    if not _one_machine(sc.master):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a folder shared by the cluster")
     folder = tempfile.mkdtemp(prefix="packetflow-ckpt-")
@@ -72,6 +72,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def _one_machine(master: str) -> bool:
+    """Whether driver and executors are one process (`local-cluster` has executors of its own)."""
+    return master == "local" or master.startswith("local[")
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new, unique sub-folder of the shared checkpoint folder for one run."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
@@ -84,10 +89,10 @@ _SHIP_LOCK = threading.Lock()
 def ship_package(spark: SparkSession) -> None:
     """Make `packetflow` importable in the application's Python workers.
 
-    Python steps (decode, charset UDF, webhook) are unpickled on executors by
-    importing this package. When it is not installed there (or not on the
-    workers' path), a zip of it is added with `addPyFile`, once per
-    application; Spark serves it to every executor. Outside local mode the
+    Python steps (decode, webhook) are unpickled on executors by importing this
+    package. A zip of it is always added with `addPyFile`, once per
+    application, whether or not it is installed there; Spark serves it to every
+    executor. Outside local mode the
     zip is first copied to the shared checkpoint folder.
     """
     sc = spark.sparkContext
@@ -106,7 +111,7 @@ def ship_package(spark: SparkSession) -> None:
                     if name.endswith(".py"):
                         full = os.path.join(folder, name)
                         zf.write(full, os.path.relpath(full, os.path.dirname(root)))
-        if not sc.master.startswith("local"):
+        if not _one_machine(sc.master):
             # On a cluster, serve it from the shared folder, not a driver-local one.
             path = copy_to_shared(spark, path, f"pyfiles/{app}/packetflow.zip")
         sc.addPyFile(path)

@@ -12,8 +12,7 @@ from __future__ import annotations
 
 import http.client
 import logging
-import urllib.error
-import urllib.request
+import urllib.parse
 from collections.abc import Callable
 
 import pandas as pd
@@ -30,48 +29,80 @@ log = logging.getLogger(__name__)
 Sender = Callable[[str], int]
 
 
-class _NoRedirect(urllib.request.HTTPRedirectHandler):
-    """A redirect is a status like any other; following it would turn the POST into a GET."""
-
-    def redirect_request(self, *args, **kwargs):
-        return None
+# K2: columns that notes to be sent in order carry besides their own.
+ORDER_COLUMNS = ("from_node", "record_time")
 
 
 class HttpSender:
     """POST `body` as application/json to `uri`; returns the HTTP status.
 
-    Redirects are not followed. A message that takes longer than `timeout_s` is
-    logged and skipped like any other failure.
+    Each task keeps one connection open between messages. A redirect
+    is a status like any other and is not followed. A message that takes longer
+    than `timeout_s` is logged and skipped like any other failure. A message
+    that meets a kept connection which the other side has closed is sent once
+    more over a new one.
     """
 
     def __init__(self, uri: str, timeout_s: float = HTTP_TIMEOUT_S):
         if not uri:
             raise ValueError("text.http.uri is required")
+        parts = urllib.parse.urlsplit(uri)
+        if parts.scheme not in ("http", "https") or not parts.hostname:
+            raise ValueError(f"not an http(s) address: {uri!r}")
         self.uri = uri
         self.timeout_s = timeout_s
+        self.https, self.host, self.port = parts.scheme == "https", parts.hostname, parts.port
+        self.path = (parts.path or "/") + (f"?{parts.query}" if parts.query else "")
+        self._kept = None
 
-    def __call__(self, body: str) -> int:
-        req = urllib.request.Request(self.uri, data=body.encode("utf-8"), method="POST",
-                                     headers={"Content-Type": "application/json"})
-        try:
-            opener = urllib.request.build_opener(_NoRedirect)
-            with opener.open(req, timeout=self.timeout_s) as resp:
-                return resp.status
-        except urllib.error.HTTPError as err:
-            return err.code
+    def __getstate__(self):
+        return self.__dict__ | {"_kept": None}      # connections stay in their process
 
+    def connect(self):
+        kind = http.client.HTTPSConnection if self.https else http.client.HTTPConnection
+        return kind(self.host, self.port, timeout=self.timeout_s)
 
-def send_notifications(notes: DataFrame, sender: Sender, tasks: int | None = None) -> DataFrame:
+    def _post(self, body: bytes) -> int:
+        try:
+            self._kept.request("POST", self.path, body, {"Content-Type": "application/json"})
+            with self._kept.getresponse() as response:
+                response.read()                     # the connection is free again after that
+                return response.status
+        except BaseException:
+            self._kept.close()
+            self._kept = None
+            raise
+
+    def __call__(self, body: str) -> int:
+        data = body.encode("utf-8")
+        if self._kept is not None:
+            try:
+                return self._post(data)
+            except (ConnectionResetError, BrokenPipeError):
+                pass
+        self._kept = self.connect()
+        return self._post(data)
+
+
+def send_notifications(notes: DataFrame, sender: Sender, tasks: int | None = None,
+                       ordered: bool = False) -> DataFrame:
     """(title, message, priority) rows -> (body, status) after sending each.
 
     Requests go one at a time per task. `tasks` spreads the bodies
     round-robin over that many tasks first (a small shuffle), so a source
     partition holding a large share of the messages does not make one task
-    send them all in turn.
+    send them all in turn. `ordered` sends one sender's messages in the order
+    of their record times instead (`notes` then has ORDER_COLUMNS too): its
+    messages meet in one task, so a busy sender waits for itself.
     """
-    bodies = notification_json(notes)
-    if tasks:
-        bodies = bodies.repartition(int(tasks))
+    if ordered:
+        keyed = notification_json(notes, ORDER_COLUMNS)
+        keyed = keyed.repartition(*([int(tasks)] if tasks else []), "from_node")
+        bodies = keyed.sortWithinPartitions("record_time", "from_node").select("body")
+    else:
+        bodies = notification_json(notes)
+        if tasks:
+            bodies = bodies.repartition(int(tasks))
     ship_package(notes.sparkSession)
 
     def deliver(batches):
@@ -88,9 +119,10 @@ def send_notifications(notes: DataFrame, sender: Sender, tasks: int | None = Non
     return bodies.mapInPandas(deliver, "body string, status int")
 
 
-def deliver_batch(notes: DataFrame, sender: Sender, tasks: int | None = None) -> tuple[int, int]:
+def deliver_batch(notes: DataFrame, sender: Sender, tasks: int | None = None,
+                  ordered: bool = False) -> tuple[int, int]:
     """Send a micro-batch; returns (messages, failed) counted on the executors."""
-    row = (send_notifications(notes, sender, tasks)
+    row = (send_notifications(notes, sender, tasks, ordered)
            .agg(F.count(F.lit(1)).alias("n"),
                 F.coalesce(F.sum((F.col("status") == 0).cast("int")), F.lit(0)).alias("failed"))
            .first())

@@ -108,3 +108,27 @@ def test_null_value_fails_the_job(spark):
     raw = spark.createDataFrame([(None, T0)], S.PACKETS_RAW)
     with pytest.raises(Exception):
         decode_packets(raw, fixture_descriptor_set(), ENVELOPE).collect()
+
+
+@pytest.mark.parametrize("only, rows", [
+    (dict(only_variant="packet"), ROWS[:3]),
+    (dict(only_variant="node_info"), ROWS[3:]),
+    (dict(only_variant="packet", only_port="TEXT_MESSAGE_APP"), ROWS[1:2]),
+    (dict(only_variant="packet", only_port="PORT_NOBODY_USES"), []),
+])
+def test_rows_that_a_job_would_drop_are_left_out(spark, only, rows):
+    desc = fixture_descriptor_set()
+    raw = encode_packets(frame(spark, ROWS), desc, ENVELOPE)
+    got = decode_packets(raw, desc, ENVELOPE, **only).collect()
+    want = [r for r in decode_packets(raw, desc, ENVELOPE).collect()
+            if (r.variant, r.packet and r.packet["from"], r.node_info and r.node_info.num) in
+            {(v, p and p["from"], n and n["num"]) for _, v, p, n in rows}]
+    assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) == len(rows)
+
+
+def test_left_out_rows_must_be_of_a_decoded_part(spark):
+    raw = spark.createDataFrame([], S.PACKETS_RAW)
+    with pytest.raises(ValueError):
+        decode_packets(raw, b"", ENVELOPE, parts=("packet",), only_variant="node_info")
+    with pytest.raises(ValueError):
+        decode_packets(raw, b"", ENVELOPE, only_port="TEXT_MESSAGE_APP")

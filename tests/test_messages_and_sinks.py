@@ -321,3 +321,81 @@ def test_two_replays_notify_each_message_once(spark, folder):
                      sender=FakeSender(sent), run_id=run)
     rows = target.read(spark).count()
     assert rows > 0 and sum(1 for _ in open(sent)) == rows
+
+
+def test_ordered_delivery_keeps_each_senders_order(spark, tmp_path):
+    rows = [(T0 + dt.timedelta(seconds=(i * 37) % 60), "packet",
+             packet(i % 3 + 1, -1, payload=b"%02d" % ((i * 37) % 60), **TEXT), None)
+            for i in range(60)]
+    shuffled = texts(spark, rows, record_time=True).repartition(7)
+    sent = tmp_path / "ordered.jsonl"
+    notes = M.notifications(shuffled, ("from_node", "record_time"))
+    assert deliver_batch(notes, FakeSender(str(sent)), tasks=4, ordered=True) == (60, 0)
+    by_sender = {}
+    for line in sent.read_text().splitlines():
+        note = json.loads(json.loads(line))
+        by_sender.setdefault(note["title"], []).append(note["message"].split("Text: ")[1])
+    assert len(by_sender) == 3
+    for messages in by_sender.values():
+        assert messages == sorted(messages) and len(messages) == 20
+
+
+def test_fan_out_in_order_writes_the_same_table(spark, folder, tmp_path):
+    rows = texts(spark, ROWS, record_time=True)
+    target = TableTarget(f"{folder}/text")
+    write = text_batch_writer(target, folder, FakeSender(str(tmp_path / "sent")), ordered=True)
+    write(rows, 0)
+    assert target.read(spark).count() == 2
+    assert len((tmp_path / "sent").read_text().splitlines()) == 2
+
+
+class FakeConnection:
+    """Answers with the given statuses, or raises the given errors."""
+
+    def __init__(self, answers):
+        self.answers, self.asked, self.closed = list(answers), [], False
+
+    def request(self, method, path, body, headers):
+        self.asked.append((method, path, body, headers))
+
+    def getresponse(self):
+        import contextlib
+        import types
+
+        answer = self.answers.pop(0)
+        if isinstance(answer, Exception):
+            raise answer
+        return contextlib.nullcontext(types.SimpleNamespace(status=answer, read=lambda: b""))
+
+    def close(self):
+        self.closed = True
+
+
+def test_http_sender_keeps_its_connection_and_replaces_a_closed_one(monkeypatch):
+    import http.client
+    import pickle
+
+    from packetflow.sinks.webhook import HttpSender
+
+    first = FakeConnection([200, 302, http.client.RemoteDisconnected("gone")])
+    second = FakeConnection([200, http.client.BadStatusLine("?")])
+    third = FakeConnection([200])
+    waiting = [first, second, third]
+    monkeypatch.setattr(HttpSender, "connect", lambda self: waiting.pop(0))
+    sender = HttpSender("https://hooks.example/notify?a=1")
+    # A redirect is not followed; a kept connection that was closed is replaced.
+    assert [sender("é"), sender("b"), sender("c")] == [200, 302, 200]
+    assert first.asked[0] == ("POST", "/notify?a=1", "é".encode(), {"Content-Type": "application/json"})
+    assert [a[2] for a in first.asked] == ["é".encode(), b"b", b"c"] and first.closed
+    with pytest.raises(http.client.BadStatusLine):
+        sender("d")
+    assert second.closed and sender("e") == 200 and [a[2] for a in third.asked] == [b"e"]
+    assert pickle.loads(pickle.dumps(HttpSender("http://h:1")))._kept is None
+
+
+def test_http_sender_refuses_other_addresses():
+    from packetflow.sinks.webhook import HttpSender
+
+    for uri in ("", "ftp://h/x", "notify"):
+        with pytest.raises(ValueError):
+            HttpSender(uri)
