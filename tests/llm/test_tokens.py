@@ -37,6 +37,13 @@ def test_any_text(text):
     assert encoder.encode([text])[0].tolist() == plain_ids(encoder, text)
 
 
+def test_every_latin_letter_alone_and_within_words(encoder):
+    for at in range(0x21, 0x250):
+        c = chr(at)
+        for text in (c, f"na{c}ta", f"{c}on,", f"x {c}{c} {c}é!", f"e{c}́"):
+            assert encoder.encode([text])[0].tolist() == plain_ids(encoder, text), (hex(at), text)
+
+
 def test_small_cache_gives_the_same(monkeypatch):
     monkeypatch.setattr("packetflow.llm.tokens.CACHE_PIECES", 3)
     small = PieceEncoder()
