@@ -56,3 +56,53 @@ def test_odd_rows(spark):
     assert got[("5", 2)] < 0 < got[("2", 120_000)]
     assert cross_entropy_difference(spark, docs.limit(0), target).collect() == []
     assert len(cross_entropy_difference(spark, docs, target.limit(0)).collect()) == 7
+
+
+def test_every_word_counts(spark):
+    rows = [(r.doc_id, r.text) for r in read_table(spark, SF_SMALL, "documents").collect()]
+    target = {r.doc_id for r in read_table(spark, SF_SMALL, "labels").collect()
+              if r.quality == 1 and r.toxic == 0}
+    counts = Counter(w for _, t in rows for w in (t or "").split())
+    rare = sorted(w for w, n in counts.items() if n == 1)
+    twin = next(t for d, t in rows if d in target and any(w in t.split() for w in rare))
+    first = next(w for w in twin.split() if counts[w] == 1)
+    rows.append((-1, twin.replace(first, "neverseen")))      # differs in one rare word only
+    frame = spark.createDataFrame([*rows, (None, twin)], "doc_id long, text string")
+    ids = spark.createDataFrame([(i,) for i in target], "doc_id long")
+    want = sorted((str(d), n, x) for d, n, x in score_all([*rows, (None, twin)], target))
+    got = sorted((str(r.doc_id), r.n_tokens, r.difference)
+                 for r in cross_entropy_difference(spark, frame, ids).collect())
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert [g[2] for g in got] == pytest.approx([w[2] for w in want], abs=1e-5)
+    found = {d: x for d, _, x in got}
+    assert abs(found["-1"] - found["None"]) > 1e-6
+
+
+def score_all(rows, target):
+    """The formula over dictionaries, with an entry for every word."""
+    coded = [(d, ["", *(t or "").split()]) for d, t in rows]
+    entries = len({w for _, words in coded for w in words[1:]}) + 2
+    models = []
+    for chosen in ([c for c in coded if c[0] in target], coded):
+        pairs = Counter(p for _, words in chosen for p in zip(words, words[1:], strict=False))
+        unigram, context = Counter(), Counter()
+        for (h, w), n in pairs.items():
+            unigram[w] += n
+            context[h] += n
+        models.append((pairs, unigram, context, sum(pairs.values()) + entries))
+    for d, words in coded:
+        loss = [sum(-np.log((pairs[h, w] + SMOOTHING * (unigram[w] + 1) / whole) / (context[h] + SMOOTHING))
+                    for h, w in zip(words, words[1:], strict=False)) / max(len(words) - 1, 1)
+                for pairs, unigram, context, whole in models]
+        yield d, len(words) - 1, loss[0] - loss[1]
+
+
+def test_given_vocabulary_size_equals_brute_force(spark):
+    docs = read_table(spark, SF_SMALL, "documents")
+    labels = read_table(spark, SF_SMALL, "labels").where("quality = 1 AND toxic = 0")
+    target = {r.doc_id for r in labels.collect()}
+    want = sorted(plain([(r.doc_id, r.text) for r in docs.collect()], target, 1022))
+    got = sorted((r.doc_id, r.n_tokens, r.difference)
+                 for r in cross_entropy_difference(spark, docs, labels, size=1022).collect())
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert [g[2] for g in got] == pytest.approx([w[2] for w in want], abs=1e-4)
