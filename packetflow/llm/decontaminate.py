@@ -241,22 +241,27 @@ def common_subsequence(item: np.ndarray, text: np.ndarray) -> int:
     return len(item) - row.bit_count()
 
 
-def covered(item: np.ndarray, text: np.ndarray) -> tuple[float, float]:
+def covered(item: np.ndarray, text: np.ndarray, min_covered: float = MIN_COVERED,
+            min_answer: float = MIN_ANSWER) -> tuple[float, float]:
     """Shares of the item's words, and of its answer's, in common order with the text.
 
     The text is searched in overlapping stretches of MAX_STRETCH item lengths,
-    and the best stretch counts, so that common words far apart don't add up.
+    the last of which ends with the text. The best stretch counts, so that
+    common words far apart don't add up: of those that reach both bounds, if
+    there are any, else of all.
     """
     n = len(item)
     length = max(int(MAX_STRETCH * n), n + 4)
     answer = item[-ANSWER_WORDS:]
-    best = (0.0, 0.0)
-    for at in range(0, max(len(text) - length, 0) + 1, max(length // 6, 1)):
+    best = (False, 0.0, 0.0)
+    last = max(len(text) - length, 0)
+    for at in (*range(0, last, max(length // 6, 1)), last):
         part = text[at:at + length]
         share = common_subsequence(item, part) / n
-        if share > best[0]:
-            best = (share, common_subsequence(answer, part) / len(answer))
-    return best
+        if share >= min_covered or share > best[1]:
+            own = common_subsequence(answer, part) / len(answer)
+            best = max(best, (share >= min_covered and own >= min_answer, share, own))
+    return best[1:]
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -286,7 +291,7 @@ def _search_batches(sent, min_cosine: float, min_covered: float, min_answer: flo
             held[part] = False
             if common < min_covered:
                 continue
-            share, answer = covered(items[item], part)
+            share, answer = covered(items[item], part, min_covered, min_answer)
             if share >= min_covered and answer >= min_answer and \
                     share > best.get((text, item), (0, 0))[1]:
                 best[text, item] = (cosine, share, answer)

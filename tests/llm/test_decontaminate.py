@@ -86,3 +86,33 @@ def test_odd_rows(spark):
     assert found == [("3", 1)] * 4 + [("4", 1)] * 2 + [("5", 1)] * 2 + [("None", 1)] * 2
     assert find_leaks(spark, docs.limit(0), bench).collect() == []
     assert find_leaks(spark, docs, bench.where("item_id > 1")).collect() == []
+
+
+def test_stretches_reach_the_end():
+    rng = np.random.default_rng(5)
+    for n in (9, 24, 40, 61):
+        item = np.arange(1, n + 1)
+        for before in range(2 * n):
+            text = np.concatenate((rng.integers(1000, 2000, before), item))
+            assert covered(item, text) == (1.0, 1.0)
+
+
+def test_answer_of_any_stretch_that_covers_enough():
+    item = np.arange(1, 41)
+    cut = np.concatenate((item[:35], np.full(60, 99)))             # 35 of 40 words, 3 of the answer's 8
+    other = np.concatenate((item[:12], np.full(8, 99), item[20:]))  # 32 of 40, and all of the answer
+    assert covered(item, np.concatenate((cut, other))) == (0.8, 1.0)
+
+
+def test_items_at_document_ends(spark, tables):
+    docs, items = tables
+    leaked = {d for d, _ in plain_leaks(docs, items)}
+    clean = [t.split() for d, t in docs if d not in leaked and len(t.split()) > 150]
+    rows = [(item * 100 + k, " ".join([*clean[(at + k) % len(clean)][:60 + 7 * k], text]))
+            for at, (item, text) in enumerate(items) for k in range(12)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in
+             find_leaks(spark, frame, read_table(spark, SF_SMALL, "benchmark")).collect()}
+    words = {d: words_of(t) for d, t in rows}
+    want = {(d, i) for d in words for i, t in items if words[d][-len(words_of(t)):] == words_of(t)}
+    assert want <= found and len(want) >= 12 * len(items)
