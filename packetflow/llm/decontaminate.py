@@ -21,6 +21,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import repeat
 from typing import NamedTuple
 
@@ -40,7 +41,7 @@ MIN_COVERED = 0.75         # share of the item's words in common order
 MAX_STRETCH = 1.5          # length of the matched text by that of the item
 ANSWER_WORDS = 8           # the item's last words count as its answer
 MIN_ANSWER = 0.5           # share of them in common order
-MAX_ITEM_WORDS = 200_000   # of the benchmark as a whole, which is broadcast
+MAX_ITEM_WORDS = 200_000   # of a block of items, which is broadcast
 FIT_DOCUMENTS = 20_000     # about so many documents, by a hash of the id, shape the latent space
 SEED = 7
 
@@ -61,21 +62,25 @@ class Benchmark(NamedTuple):
     items: list[np.ndarray]
 
 
-def load_benchmark(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Benchmark:
-    """The benchmark in the driver, after a check of its size; items without words are left out."""
+def load_benchmark(items: DataFrame, id_col: str = "item_id", text_col: str = "text",
+                   block_words: int = MAX_ITEM_WORDS) -> Iterator[Benchmark]:
+    """The benchmark in blocks of at most so many words (or of one item); items without words are left out."""
     rows = items.select(F.col(f"`{id_col}`").cast("long").alias("item_id"),
                         F.col(f"`{text_col}`").cast("string").alias("text")).where("text IS NOT NULL")
-    size = rows.agg(F.coalesce(F.sum(F.regexp_count("text", F.lit(r"\w+"))), F.lit(0))).first()[0]
-    if size > MAX_ITEM_WORDS:
-        raise ValueError(f"the benchmark has {size} words; split it into parts of {MAX_ITEM_WORDS}")
-    terms: dict[bytes, int] = {}
-    ids, encoded = [], []
-    for row in sorted(rows.collect(), key=lambda r: (r.item_id is None, r.item_id or 0, r.text)):
+    block, size = Benchmark({}, [], []), 0
+    for row in rows.orderBy(F.col("item_id").asc_nulls_last(), "text").toLocalIterator():
         words = words_of(row.text)
-        if words:
-            ids.append(row.item_id)
-            encoded.append(np.array([terms.setdefault(w, len(terms) + 1) for w in words], np.int32))
-    return Benchmark(terms, ids, encoded)
+        if not words:
+            continue
+        if block.items and size + len(words) > block_words:
+            yield block
+            block, size = Benchmark({}, [], []), 0
+        size += len(words)
+        block.item_ids.append(row.item_id)
+        block.items.append(np.array([block.terms.setdefault(w, len(block.terms) + 1) for w in words],
+                                    np.int32))
+    if block.items:
+        yield block
 
 
 def _encode_batches(sent):
@@ -345,24 +350,32 @@ def _search_batches(sent, min_cosine: float, min_covered: float, min_answer: flo
 def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *,
                id_col: str = "doc_id", text_col: str = "text", rank: int = RANK,
                min_cosine: float = MIN_COSINE, min_covered: float = MIN_COVERED,
-               min_answer: float = MIN_ANSWER) -> DataFrame:
+               min_answer: float = MIN_ANSWER, block_words: int = MAX_ITEM_WORDS) -> DataFrame:
     """(doc_id, item_id, cosine, covered, answer): the items found in each row of `docs`.
 
     Null and empty texts hold no item, items without words are found nowhere;
     rows of one id are looked at one by one and each gives its own rows; null
-    ids stay null. An empty table or benchmark gives no rows. Only the
-    benchmark (whose size is checked) and matrices of (its terms x rank) are
+    ids stay null. An empty table or benchmark gives no rows. The items are
+    gone through in blocks of `block_words`, each with a latent space and a
+    search of its own. Only a block and matrices of (its terms x rank) are
     broadcast; texts are never shuffled. Terms are counted in, and passages
     searched in, all documents; the latent space alone is fitted on a sample of
     about FIT_DOCUMENTS of them.
     """
     ship_package(spark)
-    bench = load_benchmark(benchmark)
-    if not bench.items:
+    rows = documents_input(docs, id_col, text_col)
+    found = [_find_block(spark, rows, bench, rank, min_cosine, min_covered, min_answer)
+             for bench in load_benchmark(benchmark, block_words=block_words)]
+    if not found:
         return spark.createDataFrame([], "doc_id long, item_id long, cosine double, "
                                          "covered double, answer double")
+    return reduce(DataFrame.unionAll, found)
+
+
+def _find_block(spark: SparkSession, rows: DataFrame, bench: Benchmark, rank: int, min_cosine: float,
+                min_covered: float, min_answer: float) -> DataFrame:
     sc = spark.sparkContext
-    encoded = encode(spark, documents_input(docs, id_col, text_col), sc.broadcast(bench))
+    encoded = encode(spark, rows, sc.broadcast(bench))
     size = len(bench.terms) + 1
     idf = idf_of(encoded, size)
     chosen = encoded

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from packetflow.llm.common import read_table
-from packetflow.llm.decontaminate import (common_subsequence, covered, find_leaks, op10_decontaminate,
+from packetflow.llm.decontaminate import (common_subsequence, covered, find_leaks, load_benchmark, op10_decontaminate,
                                           words_of)
 from tests.conftest import SF_SMALL
 
@@ -116,3 +116,23 @@ def test_items_at_document_ends(spark, tables):
     words = {d: words_of(t) for d, t in rows}
     want = {(d, i) for d in words for i, t in items if words[d][-len(words_of(t)):] == words_of(t)}
     assert want <= found and len(want) >= 12 * len(items)
+
+
+def test_benchmark_in_blocks(spark, tables):
+    docs, items = tables
+    bench = read_table(spark, SF_SMALL, "benchmark")
+    frame = spark.createDataFrame([(i, t) for i, t in items] + [(1000 + i, t) for i, t in docs[:20]],
+                                  "doc_id long, text string")
+    blocks = list(load_benchmark(bench, block_words=400))
+    assert len(blocks) > 2 and all(sum(map(len, b.items)) <= 400 for b in blocks)
+    assert sorted(i for b in blocks for i in b.item_ids) == sorted(i for i, _ in items)
+    found = {(r.doc_id, r.item_id) for r in find_leaks(spark, frame, bench, block_words=400).collect()}
+    assert {(i, i) for i, _ in items} <= found
+
+
+def test_benchmark_of_more_than_a_block(spark):
+    item = "Which of these seven named rivers runs north past the old stone mill? The Aldermere does."
+    bench = spark.createDataFrame([(1, item), (2, " ".join(f"w{i}" for i in range(200_001)))],
+                                  "item_id long, text string")
+    docs = spark.createDataFrame([(7, f"x {item}")], "doc_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in find_leaks(spark, docs, bench).collect()] == [(7, 1)]
