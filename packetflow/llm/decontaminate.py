@@ -42,7 +42,6 @@ MAX_STRETCH = 1.5          # length of the matched text by that of the item
 ANSWER_WORDS = 8           # the item's last words count as its answer
 MIN_ANSWER = 0.5           # share of them in common order
 MAX_ITEM_WORDS = 200_000   # of a block of items, which is broadcast
-FIT_DOCUMENTS = 20_000     # about so many documents, by a hash of the id, shape the latent space
 SEED = 7
 
 # ASCII characters other than letters and digits separate words.
@@ -358,9 +357,8 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *,
     ids stay null. An empty table or benchmark gives no rows. The items are
     gone through in blocks of `block_words`, each with a latent space and a
     search of its own. Only a block and matrices of (its terms x rank) are
-    broadcast; texts are never shuffled. Terms are counted in, and passages
-    searched in, all documents; the latent space alone is fitted on a sample of
-    about FIT_DOCUMENTS of them.
+    broadcast; texts are never shuffled. Terms are counted in, the latent space
+    is fitted on, and passages are searched in all documents.
     """
     ship_package(spark)
     rows = documents_input(docs, id_col, text_col)
@@ -378,12 +376,7 @@ def _find_block(spark: SparkSession, rows: DataFrame, bench: Benchmark, rank: in
     encoded = encode(spark, rows, sc.broadcast(bench))
     size = len(bench.terms) + 1
     idf = idf_of(encoded, size)
-    chosen = encoded
-    count = encoded.count()
-    if count > FIT_DOCUMENTS:
-        share = int(FIT_DOCUMENTS / count * 2 ** 31)
-        chosen = encoded.where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(2 ** 31)) < share)
-    basis = latent_basis(spark, chosen, idf, rank, bench.items)
+    basis = latent_basis(spark, encoded, idf, rank, bench.items)
     search = _search_batches(sc.broadcast((bench.items, idf, basis)), min_cosine, min_covered,
                              min_answer)
     found = encoded.mapInArrow(

@@ -4,8 +4,8 @@ import numpy as np
 import pytest
 
 from packetflow.llm.common import read_table
-from packetflow.llm.decontaminate import (common_subsequence, covered, find_leaks, load_benchmark, op10_decontaminate,
-                                          words_of)
+from packetflow.llm.decontaminate import (common_subsequence, covered, find_leaks, latent_basis,
+                                          load_benchmark, op10_decontaminate, words_of)
 from tests.conftest import SF_SMALL
 
 
@@ -136,3 +136,19 @@ def test_benchmark_of_more_than_a_block(spark):
                                   "item_id long, text string")
     docs = spark.createDataFrame([(7, f"x {item}")], "doc_id long, text string")
     assert [(r.doc_id, r.item_id) for r in find_leaks(spark, docs, bench).collect()] == [(7, 1)]
+
+
+def test_latent_space_is_fitted_on_all_rows(spark, monkeypatch):
+    fitted = []
+
+    def seen(spark, encoded, *rest):
+        fitted.append(encoded.count())
+        return latent_basis(spark, encoded, *rest)
+
+    monkeypatch.setattr("packetflow.llm.decontaminate.latent_basis", seen)
+    item = "Which of these seven named rivers runs north past the old stone mill? The Aldermere does."
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = spark.range(20_500).selectExpr(
+        "if(id % 3 = 0, null, id) AS doc_id", f"if(id = 7, 'x {item}', concat('the mill of ', id)) AS text")
+    assert [(r.doc_id, r.item_id) for r in find_leaks(spark, docs, bench).collect()] == [(7, 1)]
+    assert fitted == [20_500]
