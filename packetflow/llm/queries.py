@@ -11,12 +11,15 @@ from packetflow.llm.decontaminate import op10_decontaminate
 from packetflow.llm.lines import op6_line_dedup
 from packetflow.llm.mixing import op9_mix_sources
 from packetflow.llm.neighbours import op1_nearest_vectors
+from packetflow.llm.periodic import op12_periodic_runs
 from packetflow.llm.quality import op7_quality
 from packetflow.llm.scoring import op5_lm_scoring
+from packetflow.llm.sharding import op13_shards
 from packetflow.llm.simhash import op8_simhash_near_dedup
 from packetflow.llm.suffixes import op2_suffix_dedup
 from packetflow.llm.tokens import op3_token_ids
 from packetflow.llm.toxicity import op4_toxicity
+from packetflow.llm.whitening import op11_whitening
 
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op1_nearest_vectors,
@@ -29,6 +32,9 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op8_simhash_near_dedup,
     op9_mix_sources,
     op10_decontaminate,
+    op11_whitening,
+    op12_periodic_runs,
+    op13_shards,
 )
 
 
