@@ -1,9 +1,11 @@
 """Decode raw radio envelopes once, into typed struct columns.
 
 Spark's `from_protobuf` needs the spark-protobuf jar, which is not always on
-the classpath; this decoder runs the protobuf runtime inside `mapInArrow`,
-so work is split by Spark partitions and moved in Arrow batches. It depends
-only on field *names* of a user-supplied descriptor set:
+the classpath; this decoder reads the wire format inside `mapInArrow`, a whole
+Arrow batch at a time (operators.wire), so work is split by Spark partitions
+and no Python object is made for a packet. Messages that the columnar reader
+points out (malformed, merged, groups, ...) go through the protobuf runtime. It
+depends only on field *names* of a user-supplied descriptor set:
 
   envelope one-of members `packet`, `node_info`;
   packet: `from`, `to`, `channel`, `rx_time`, one-of `decoded` / `encrypted`;
@@ -30,6 +32,7 @@ from pyspark.sql import functions as F
 from packetflow import schema as S
 from packetflow.fixed import UINT32_MASK, UNRECOGNIZED
 from packetflow.operators.protobuf import enum_names, message_class, oneof_of
+from packetflow.operators.wire import Found, padded, read
 from packetflow.session import ship_package
 
 PARTS = ("packet", "node_info")
@@ -81,8 +84,8 @@ class _Layout:
             self.roles = enum_names(nd.fields_by_name["user"].message_type, "role")
 
 
-def _decode_batch(batch: pa.RecordBatch, parse, lay: _Layout) -> pa.RecordBatch:
-    # One pass: parse a message and read its fields while it is still hot.
+def _decode_rows(batch: pa.RecordBatch, parse, lay: _Layout) -> tuple[list[int], pa.RecordBatch]:
+    """Decode with the protobuf runtime, message by message: (places of the rows kept, their columns)."""
     values = batch.column(batch.schema.get_field_index("value")).to_pylist()
     stamps = batch.column(batch.schema.get_field_index("timestamp"))
     variants, kept = [], []
@@ -108,7 +111,7 @@ def _decode_batch(batch: pa.RecordBatch, parse, lay: _Layout) -> pa.RecordBatch:
                     m.packet.WhichOneof(body_oneof) == "decoded"
                     and ports.get(m.packet.decoded.portnum, UNRECOGNIZED) == only_port):
                 continue
-            kept.append(at)
+        kept.append(at)
         variants.append(v)
         if want_packet:
             if v == "packet":
@@ -162,8 +165,7 @@ def _decode_batch(batch: pa.RecordBatch, parse, lay: _Layout) -> pa.RecordBatch:
                 n_null.append(True)
 
     n = len(variants)
-    if only_variant is not None:
-        stamps = stamps.take(pa.array(kept, pa.int64()))
+    stamps = stamps.take(pa.array(kept, pa.int64()))
     if want_packet:
         packet = _struct([
             _int32(p_from), _int32(p_to),
@@ -183,9 +185,138 @@ def _decode_batch(batch: pa.RecordBatch, parse, lay: _Layout) -> pa.RecordBatch:
                        S.NODE_INFO_MSG, n_null)
     else:
         node = pa.nulls(n, type=_arrow_type(S.NODE_INFO_MSG))
-    return pa.RecordBatch.from_arrays(
-        [stamps, pa.array(variants, pa.string()), packet, node],
-        names=["timestamp", "variant", "packet", "node_info"])
+    return kept, pa.RecordBatch.from_arrays([stamps, pa.array(variants, pa.string()), packet, node],
+                                            names=NAMES)
+
+
+def _wanted(lay: _Layout) -> dict:
+    """The fields that are read, for operators.wire."""
+    wanted: dict = {}
+    if lay.want_packet:
+        body = {"portnum": None} | ({"payload": None} if lay.want["payload"] else {})
+        rest = [f for f in ("channel", "rx_time") if lay.want[f]]
+        wanted["packet"] = {"from": None, "to": None, "decoded": body} | dict.fromkeys(rest)
+    if lay.want_node:
+        wanted["node_info"] = {"num": None, "last_heard": None, "hops_away": None, "snr": None,
+                               "user": dict.fromkeys(("id", "short_name", "long_name", "role"))}
+    return wanted
+
+
+def _spread(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """`values` at `rows` of n places, zero elsewhere."""
+    out = np.zeros(n, values.dtype)
+    out[rows] = values
+    return out
+
+
+def _named(numbers: np.ndarray, names: dict[int, str]) -> pa.Array:
+    known, at = np.unique(numbers, return_inverse=True)
+    return pa.array([names.get(k, UNRECOGNIZED) for k in known.tolist()], pa.string()).take(pa.array(at))
+
+
+def _texts(found: Found | None, rows: np.ndarray, name: str, n: int, kind: pa.DataType) -> pa.Array:
+    """A text or bytes field at `rows` of n places, empty elsewhere."""
+    parts = [pa.array([b"" if kind == pa.binary() else ""], kind)]
+    if found is not None:
+        parts.append(found.bytes(name, kind))
+    at = np.zeros(n, np.int64)
+    at[rows] = np.arange(1, len(rows) + 1)
+    return pa.concat_arrays(parts).take(pa.array(at))
+
+
+NONE = np.zeros(0, np.int64)
+
+
+def _packet_columns(top: Found, lay: _Layout, n: int) -> tuple[pa.Array, np.ndarray]:
+    """The packet structs, and which packets are decoded on the port that is asked for."""
+    rows, p = top.message("packet") or (NONE, None)
+    has = _spread(rows, np.ones(len(rows), bool), n)
+    if p is None:
+        return pa.nulls(n, _arrow_type(S.PACKET)), has
+    body = p.which(lay.packet_oneof)
+    is_decoded = body == p.layout.by_name["decoded"]
+    inner, d = p.message("decoded") or (NONE, None)
+    port = _spread(inner, d.int32("portnum"), len(rows)) if d else np.zeros(len(rows), np.int32)
+    names = _named(port, lay.ports)
+    at = _spread(rows, np.arange(len(rows)), n)
+
+    def ints(name):
+        return pa.array(_spread(rows, p.int32(name), n)) if lay.want.get(name, True) else pa.nulls(n, pa.int32())
+
+    def flags(mask):
+        return pa.array(_spread(rows, mask, n))
+
+    encrypted = p.layout.by_name.get("encrypted", -2)
+    packet = pa.StructArray.from_arrays([
+        ints("from"), ints("to"), ints("channel"), ints("rx_time"), flags(body == encrypted),
+        flags(is_decoded), names.take(pa.array(at)),
+        _texts(d, rows[inner], "payload", n, pa.binary()) if lay.want["payload"]
+        else pa.nulls(n, pa.binary())],
+        fields=list(_arrow_type(S.PACKET)), mask=pa.array(~has))
+    asked = is_decoded
+    if lay.only_port is not None:
+        asked = asked & np.isin(port, [k for k, name in lay.ports.items() if name == lay.only_port])
+    return packet, _spread(rows, asked, n)
+
+
+def _node_columns(top: Found, lay: _Layout, n: int) -> pa.Array:
+    rows, ni = top.message("node_info") or (NONE, None)
+    if ni is None:
+        return pa.nulls(n, _arrow_type(S.NODE_INFO_MSG))
+    inner, u = ni.message("user") or (NONE, None)
+    users = rows[inner]
+    role = _spread(users, u.int32("role") if u else np.zeros(0, np.int32), n)
+
+    def ints(name):
+        return pa.array(_spread(rows, ni.int32(name), n))
+
+    def texts(name):
+        return _texts(u, users, name, n, pa.string())
+
+    return pa.StructArray.from_arrays(
+        [ints("num"), texts("id"), texts("short_name"), texts("long_name"), _named(role, lay.roles),
+         ints("last_heard"), ints("hops_away"), pa.array(_spread(rows, ni.float32("snr"), n))],
+        fields=list(_arrow_type(S.NODE_INFO_MSG)),
+        mask=pa.array(~_spread(rows, np.ones(len(rows), bool), n)))
+
+
+NAMES = ["timestamp", "variant", "packet", "node_info"]
+
+
+def _decode_columns(batch: pa.RecordBatch, cls, lay: _Layout) -> pa.RecordBatch:
+    """Decode a batch in columns; the messages that this can't settle go through the runtime."""
+    values = batch.column(batch.schema.get_field_index("value"))
+    stamps = batch.column(batch.schema.get_field_index("timestamp"))
+    if values.null_count:
+        raise ValueError("radio packet with a null value")
+    n = len(values)
+    ends = np.frombuffer(values.buffers()[1], np.int32)[values.offset:values.offset + n + 1].astype(np.int64)
+    first, last = (int(ends[0]), int(ends[-1])) if n else (0, 0)
+    data = padded(np.frombuffer(values.buffers()[2], np.uint8)[first:last] if last > first
+                  else np.zeros(0, np.uint8))
+    top = read(data, ends[:-1] - first, ends[1:] - first, cls.DESCRIPTOR, _wanted(lay))
+    member = top.which(lay.variant_oneof)
+    names = [s.name for s in top.layout.slots]
+    keep = ~top.odd
+    if lay.only_variant is not None:
+        keep &= member == names.index(lay.only_variant)
+    packet, asked = _packet_columns(top, lay, n) if lay.want_packet else (
+        pa.nulls(n, _arrow_type(S.PACKET)), None)
+    node = _node_columns(top, lay, n) if lay.want_node else pa.nulls(n, _arrow_type(S.NODE_INFO_MSG))
+    if lay.only_port is not None:
+        keep &= asked
+    variants = pa.array(["", *names]).take(pa.array(member.astype(np.int64) + 1))
+    out = pa.RecordBatch.from_arrays([stamps, variants, packet, node], names=NAMES)
+    odd = np.flatnonzero(top.odd)
+    if keep.all():
+        return out
+    places = np.flatnonzero(keep)
+    out = out.take(pa.array(places))
+    if not len(odd):
+        return out
+    at, rest = _decode_rows(batch.take(pa.array(odd)), cls.FromString, lay)
+    places = np.concatenate((places, odd[at]))
+    return pa.concat_batches([out, rest]).take(pa.array(np.argsort(places, kind="stable")))
 
 
 def decode_packets(raw: DataFrame, descriptor_set: bytes, message: str,
@@ -238,8 +369,7 @@ def decode_packets(raw: DataFrame, descriptor_set: bytes, message: str,
     def run(batches):
         cls = message_class(descriptor_set, message)
         lay = _Layout(cls, parts, packet_fields, only_variant, only_port)
-        parse = cls.FromString
         for batch in batches:
-            yield _decode_batch(batch, parse, lay)
+            yield _decode_columns(batch, cls, lay)
 
     return raw.select("value", "timestamp").mapInArrow(run, S.PACKETS)
