@@ -29,12 +29,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from packetflow.plans import queries as Q  # noqa: E402
+from testbed import queries as Q  # noqa: E402
 from packetflow.operators.decode import decode_packets  # noqa: E402
 from packetflow.plans.jobs import node_info_plan, text_plan, traffic_plan  # noqa: E402
 from packetflow.session import local_session, run_folder  # noqa: E402
-from packetflow.sources import fixtures as X  # noqa: E402
-from packetflow.sources.descriptors import ENVELOPE, fixture_descriptor_set  # noqa: E402
+from testbed import packets as X  # noqa: E402
+from testbed.descriptors import ENVELOPE, fixture_descriptor_set  # noqa: E402
 from packetflow.sources.files import parquet_packet_stream, parquet_packets  # noqa: E402
 from packetflow.streaming.runner import run_to_end, start_stream  # noqa: E402
 

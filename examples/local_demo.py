@@ -26,8 +26,8 @@ from packetflow import (  # noqa: E402
     run_traffic_job,
 )
 from packetflow.session import local_session, run_folder  # noqa: E402
-from packetflow.sources.descriptors import ENVELOPE, fixture_descriptor_set  # noqa: E402
-from packetflow.sources.fixtures import raw_packets  # noqa: E402
+from testbed.descriptors import ENVELOPE, fixture_descriptor_set  # noqa: E402
+from testbed.packets import raw_packets  # noqa: E402
 from packetflow.streaming.runner import run_to_end  # noqa: E402
 
 

@@ -23,6 +23,7 @@ AUDIT_FORMAT = "%s form: %d, chan: %s, text: %s"
 
 # Node-info SQL sink
 NODE_INFO_VIEW = "NodeInfo"
+NODE_INFO_SINK = "node_info_sink"
 NODE_INFO_INSERT = "INSERT INTO node_info_sink SELECT * FROM NodeInfo"
 
 # Sinks

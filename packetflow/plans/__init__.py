@@ -1 +1 @@
-"""End-to-end jobs (J1-J3), the registered queries and their SQL oracles."""
+"""End-to-end jobs."""

@@ -10,6 +10,13 @@ PACKETS_RAW = T.StructType([
     T.StructField("timestamp", T.TimestampType(), True),
 ])
 
+# The same with their place in the topic's log, for replays bounded by offsets.
+PACKETS_LOG = T.StructType([
+    *PACKETS_RAW.fields,
+    T.StructField("partition", T.IntegerType(), True),
+    T.StructField("offset", T.LongType(), True),
+])
+
 # The fields of a decoded radio packet the pipelines read. `encrypted` and
 # `decoded` are the presence tags of the packet's one-of; every other field
 # carries its protobuf default when absent.

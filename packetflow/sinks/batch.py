@@ -28,6 +28,7 @@ would add the committed partitions again.
 
 from __future__ import annotations
 
+import json
 import logging
 import time
 import uuid
@@ -36,17 +37,13 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-log = logging.getLogger(__name__)
-
 from packetflow.fixed import JDBC_BATCH_SIZE, JDBC_RETRIES
+from packetflow.sinks.compaction import is_merged, manifest, merge_batches, read_table
+from packetflow.sinks.files import hadoop_path, list_names, read_text, write_text
 
-JDBC_RETRY_PAUSE_S = 0.2
-
+log = logging.getLogger(__name__)
 
-def _hadoop_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+JDBC_RETRY_PAUSE_S = 0.2
 
 
 DEFAULT_RUN = "0"
@@ -61,9 +58,9 @@ def stream_run_id(spark: SparkSession, checkpoint: str) -> str:
 
     It is the name of an empty file, so that making it is one atomic step.
     """
-    p, fs = _hadoop_path(spark, f"{checkpoint.rstrip('/')}/run-id")
+    p, fs = hadoop_path(spark, f"{checkpoint.rstrip('/')}/run-id")
     if not fs.exists(p):
-        first, _ = _hadoop_path(spark, f"{checkpoint.rstrip('/')}/run-id/{new_run_id()}")
+        first, _ = hadoop_path(spark, f"{checkpoint.rstrip('/')}/run-id/{new_run_id()}")
         fs.create(first, True).close()
     return sorted(s.getPath().getName() for s in fs.listStatus(p))[0]
 
@@ -81,15 +78,30 @@ class CommitLog:
         return f"{self.folder}/{run_id}/{int(batch_id)}"
 
     def done(self, spark: SparkSession, batch_id: int, run_id: str = DEFAULT_RUN) -> bool:
-        p, fs = _hadoop_path(spark, self._marker(batch_id, run_id))
+        p, fs = hadoop_path(spark, self._marker(batch_id, run_id))
         return fs.exists(p)
 
-    def mark(self, spark: SparkSession, batch_id: int, run_id: str = DEFAULT_RUN) -> None:
-        p, fs = _hadoop_path(spark, self._marker(batch_id, run_id))
-        fs.create(p, True).close()
-        old, _ = _hadoop_path(spark, self._marker(batch_id - 2, run_id))
+    def mark(self, spark: SparkSession, batch_id: int, run_id: str = DEFAULT_RUN,
+             note: dict | None = None) -> None:
+        """Mark a batch; a `note` is kept in its marker, which is there as a whole or not at all."""
+        p, fs = hadoop_path(spark, self._marker(batch_id, run_id))
+        if note is None:
+            fs.create(p, True).close()
+        else:
+            write_text(spark, self._marker(batch_id, run_id), json.dumps(note))
+        old, _ = hadoop_path(spark, self._marker(batch_id - 2, run_id))
         fs.delete(old, False)
 
+    def note(self, spark: SparkSession, batch_id: int, run_id: str = DEFAULT_RUN) -> dict | None:
+        """What was noted with a batch that is still kept."""
+        p, fs = hadoop_path(spark, self._marker(batch_id, run_id))
+        return json.loads(read_text(spark, self._marker(batch_id, run_id))) if fs.exists(p) else None
+
+    def last(self, spark: SparkSession, run_id: str = DEFAULT_RUN) -> int | None:
+        """The run's last batch that is marked."""
+        names = list_names(spark, f"{self.folder}/{run_id}")
+        return max((int(n) for n in names if n.lstrip("-").isdigit()), default=None)
+
 
 def with_retries(action, retries: int, pause_s: float, what: str):
     for attempt in range(retries + 1):
@@ -107,26 +119,31 @@ class TableTarget:
     """A file table at `path`, partitioned by run and batch id (exactly-once).
 
     One partition per micro-batch: on a long-running stream use a trigger of
-    a minute or more (or compact old partitions), or write through the
-    streaming file sink when no fan-out is needed (`streaming.runner.start_stream`
-    with `path=`), which is exactly-once without per-batch folders.
+    a minute or more, and merge the folders of closed batches, by
+    `sinks.compaction.merge_batches` or every `merge_every` batches here. Merged
+    tables are to be read by `read`, which knows what has been merged.
     """
 
     path: str
     format: str = "parquet"
     retries: int = 2
     retry_pause_s: float = 0.2
+    merge_every: int | None = None
 
     def write(self, df: DataFrame, batch_id: int, run_id: str = DEFAULT_RUN) -> None:
+        if is_merged(manifest(df.sparkSession, self.path), run_id, batch_id):
+            raise ValueError(f"batch {batch_id} of run {run_id} is closed: {self.path} has merged it")
         out = df.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(int(batch_id))})
         with_retries(
             lambda: (out.write.format(self.format).mode("overwrite")
                      .option("partitionOverwriteMode", "dynamic")
                      .partitionBy("run_id", "batch_id").save(self.path)),
             self.retries, self.retry_pause_s, f"write of batch {batch_id} to {self.path}")
+        if self.merge_every and batch_id > 0 and batch_id % self.merge_every == 0:
+            merge_batches(df.sparkSession, self.path, run_id, self.format)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.format(self.format).load(self.path).drop("run_id", "batch_id")
+        return read_table(spark, self.path, self.format).drop("run_id", "batch_id")
 
 
 @dataclass

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 log = logging.getLogger(__name__)
 
-from packetflow.fixed import NODE_INFO_INSERT as INSERT, NODE_INFO_VIEW as VIEW
+from packetflow.fixed import NODE_INFO_INSERT as INSERT, NODE_INFO_SINK as SINK, NODE_INFO_VIEW as VIEW
 
 JDBC_CATALOG_CLASS = "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog"
 
@@ -28,12 +28,26 @@ def create_sink(spark: SparkSession, ddl: str | None) -> bool:
     return True
 
 
+def keeps_batches(spark: SparkSession, table: str = SINK) -> bool:
+    """Whether the user's table is partitioned by `run_id` and `batch_id`, in this order, and no more."""
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition] == ["run_id", "batch_id"]
+
+
 def insert_via_view(df: DataFrame, view: str = VIEW, insert: str = INSERT) -> None:
     """Q2 + Q4 on the frame's own session (inside foreachBatch, the batch's)."""
     df.createOrReplaceTempView(view)
     df.sparkSession.sql(insert)
 
 
+def overwrite_via_view(df: DataFrame, batch_id: int, run_id: str, view: str = VIEW,
+                       table: str = SINK) -> None:
+    """Q2 + Q4 into the batch's own partition: inserting it again replaces what is there."""
+    df.createOrReplaceTempView(view)
+    run = run_id.replace("\\", "\\\\").replace("'", "\\'")
+    df.sparkSession.sql(f"INSERT OVERWRITE {table} PARTITION (run_id = '{run}', batch_id = {int(batch_id)}) "
+                        f"SELECT * FROM {view}")
+
+
 def console_changelog(stream: DataFrame, checkpoint: str,
                       query_name: str = "node_info_changelog", trigger=None):
     """Q5: print the (append-only) stream; an opt-in debug sink."""

@@ -5,7 +5,9 @@ runs inside `mapInPandas`, one request at a time per task, so the work is
 spread over the cluster and nothing passes through the driver. Each row
 comes back with the HTTP status (0 when the request failed): an I/O error is
 logged and the stream goes on, and the status is otherwise ignored, as in the
-reference. The sender is injectable so tests need no network.
+reference. The sender is injectable so tests need no network. With a ledger
+(sinks.ledger) each send is written down as it happens, and a repeated task or
+batch sends only the rest.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from pyspark.sql import functions as F
 from packetflow.fixed import HTTP_TIMEOUT_S
 from packetflow.operators.messages import notification_json
 from packetflow.session import ship_package
+from packetflow.sinks.batch import DEFAULT_RUN
+from packetflow.sinks.ledger import Ledger, TaskRecords, not_sent
 
 log = logging.getLogger(__name__)
 
@@ -85,7 +89,8 @@ class HttpSender:
 
 
 def send_notifications(notes: DataFrame, sender: Sender, tasks: int | None = None,
-                       ordered: bool = False) -> DataFrame:
+                       ordered: bool = False, ledger: Ledger | None = None,
+                       batch_id: int = 0, run_id: str = DEFAULT_RUN) -> DataFrame:
     """(title, message, priority) rows -> (body, status) after sending each.
 
     Requests go one at a time per task. `tasks` spreads the bodies
@@ -94,35 +99,57 @@ def send_notifications(notes: DataFrame, sender: Sender, tasks: int | None = Non
     send them all in turn. `ordered` sends one sender's messages in the order
     of their record times instead (`notes` then has ORDER_COLUMNS too): its
     messages meet in one task, so a busy sender waits for itself.
+
+    What `ledger` has of this batch isn't sent again, and isn't in the result.
+    Messages are known by their body and, if ordered, by sender and record time.
     """
+    order = ORDER_COLUMNS if ordered else ()
+    bodies = notification_json(notes, order)
+    bodies = bodies.withColumn("key", F.sha2(F.concat_ws(
+        "\n", *(F.col(c).cast("string") for c in order), "body"), 256))
+    folder, every = None, 1
+    if ledger is not None:
+        bodies = not_sent(bodies, ledger.sent(notes.sparkSession, batch_id, run_id))
+        folder, every = ledger.attempt(batch_id, run_id), ledger.record_every
     if ordered:
-        keyed = notification_json(notes, ORDER_COLUMNS)
-        keyed = keyed.repartition(*([int(tasks)] if tasks else []), "from_node")
-        bodies = keyed.sortWithinPartitions("record_time", "from_node").select("body")
-    else:
-        bodies = notification_json(notes)
-        if tasks:
-            bodies = bodies.repartition(int(tasks))
+        bodies = bodies.repartition(*([int(tasks)] if tasks else []), "from_node")
+        bodies = bodies.sortWithinPartitions("record_time", "from_node")
+    elif tasks:
+        # By key: an attempt of a task finds what an earlier attempt of the same task has sent.
+        bodies = bodies.repartition(int(tasks), *(["key"] if ledger else []))
     ship_package(notes.sparkSession)
 
-    def deliver(batches):
-        for pdf in batches:
-            statuses = []
-            for body in pdf["body"]:
-                try:
-                    statuses.append(int(sender(body)))
-                except (OSError, http.client.HTTPException) as exc:
-                    log.error("webhook message not delivered: %s", exc)
-                    statuses.append(0)
-            yield pd.DataFrame({"body": pdf["body"], "status": pd.Series(statuses, dtype="int32")})
+    def post(body: str) -> int:
+        try:
+            return int(sender(body))
+        except (OSError, http.client.HTTPException) as exc:
+            log.error("webhook message not delivered: %s", exc)
+            return 0
 
-    return bodies.mapInPandas(deliver, "body string, status int")
+    def deliver(batches):
+        records = TaskRecords(folder, every) if folder else None
+        try:
+            for pdf in batches:
+                sent = []
+                for key, body in zip(pdf["key"], pdf["body"]):
+                    if records and records.sent_before(key):
+                        continue
+                    sent.append((body, post(body)))
+                    if records:
+                        records.add(key, sent[-1][1])
+                yield pd.DataFrame(sent, columns=["body", "status"]).astype({"status": "int32"})
+        finally:
+            if records:
+                records.flush()
+
+    return bodies.select("key", "body").mapInPandas(deliver, "body string, status int")
 
 
 def deliver_batch(notes: DataFrame, sender: Sender, tasks: int | None = None,
-                  ordered: bool = False) -> tuple[int, int]:
+                  ordered: bool = False, ledger: Ledger | None = None, batch_id: int = 0,
+                  run_id: str = DEFAULT_RUN) -> tuple[int, int]:
     """Send a micro-batch; returns (messages, failed) counted on the executors."""
-    row = (send_notifications(notes, sender, tasks, ordered)
+    row = (send_notifications(notes, sender, tasks, ordered, ledger, batch_id, run_id)
            .agg(F.count(F.lit(1)).alias("n"),
                 F.coalesce(F.sum((F.col("status") == 0).cast("int")), F.lit(0)).alias("failed"))
            .first())

@@ -1 +1 @@
-"""Packet sources: Kafka (S1-S5), parquet files, and fixtures derived from the test tables."""
+"""Packet sources: Kafka (S1-S5) and parquet files."""

@@ -1,11 +1,14 @@
-"""Encode decoded packets back to protobuf bytes (test and replay helper).
+"""Encode decoded packets to protobuf bytes: the test topics' producer.
 
 The inverse of operators.decode, by field name, inside `mapInArrow`.
 """
 
 from __future__ import annotations
 
+import sys
+
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
 from packetflow import schema as S
@@ -13,6 +16,9 @@ from packetflow.fixed import UINT32_MASK as MASK
 from packetflow.operators.protobuf import enum_numbers, message_class
 from packetflow.session import ship_package
 
+# Python workers get these functions with the task; this package isn't installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _children(batch: pa.RecordBatch, name: str, fields) -> dict[str, list]:
     col = batch.column(batch.schema.get_field_index(name))

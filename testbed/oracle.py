@@ -5,7 +5,7 @@ Each string is a CTE list body over the driver's pre-registered views.
 
 from __future__ import annotations
 
-from packetflow.sources.fixtures import BASE_EPOCH, ZERO_PORT, ZERO_ROLE
+from testbed.packets import BASE_EPOCH, ZERO_PORT, ZERO_ROLE
 
 EVENTS = f"""
 ev AS (

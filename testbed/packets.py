@@ -3,8 +3,9 @@
 `/root/testdata` holds no packets, so each source is a fixed expression over
 one table, easy to repeat in SQL. Each is a plain projection of a parquet
 scan: Catalyst prunes the scan to the columns used, and the work grows with
-the table. Output layout: schema.PACKETS (the decoded form). `raw_packets`
-encodes them to protobuf bytes (schema.PACKETS_RAW) for the decoder.
+the table. Output layout: schema.PACKETS (the decoded form). `topic` is the
+folder of one of them as protobuf bytes (schema.PACKETS_RAW), encoded once for
+an application and read by all its queries, as a producer's topic would be.
 """
 
 from __future__ import annotations
@@ -13,6 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packetflow import schema as S
+from packetflow.session import run_folder
+from testbed.descriptors import ENVELOPE, fixture_descriptor_set
+from testbed.encode import encode_packets
 
 # Fixture constants (FIXTURES.md §3).
 BASE_EPOCH = 1704067200  # 2024-01-01T00:00:00Z
@@ -44,7 +48,8 @@ def _node(num, user_id, short_name, long_name, role, last_heard, hops, snr) -> C
         snr.cast("float").alias("snr"))
 
 
-def events_packets(spark: SparkSession, sf_dir: str, payload: bool = True) -> DataFrame:
+def events_packets(spark: SparkSession, sf_dir: str, payload: bool = True,
+                   extra: tuple[Column, ...] = ()) -> DataFrame:
     """Traffic: one packet per event; signups are node-info envelopes.
 
     The event's `props` are the payload of decoded packets. Plans that start
@@ -70,7 +75,7 @@ def events_packets(spark: SparkSession, sf_dir: str, payload: bool = True) -> Da
         ts.alias("timestamp"),
         F.when(is_node, F.lit("node_info")).otherwise(F.lit("packet")).alias("variant"),
         F.when(~is_node, packet).otherwise(_null(S.PACKET)).alias("packet"),
-        F.when(is_node, node).otherwise(_null(S.NODE_INFO_MSG)).alias("node_info"))
+        F.when(is_node, node).otherwise(_null(S.NODE_INFO_MSG)).alias("node_info"), *extra)
 
 
 def customer_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,9 +120,35 @@ def all_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
             .unionByName(conversation_packets(spark, sf_dir)))
 
 
-def raw_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`all_packets` encoded with the fixture descriptor (value, timestamp)."""
-    from packetflow.sources.descriptors import ENVELOPE, fixture_descriptor_set
-    from packetflow.sources.encode import encode_packets
+TOPICS = {"events": events_packets, "customer": customer_packets,
+          "conversations": conversation_packets, "all": all_packets}
 
-    return encode_packets(all_packets(spark, sf_dir), fixture_descriptor_set(), ENVELOPE)
+_STAGED: dict[tuple[str, str, str], str] = {}
+
+
+def topic(spark: SparkSession, sf_dir: str, name: str = "all") -> str:
+    """The folder of a topic of the test tables, in the shared checkpoint folder."""
+    key = spark.sparkContext.applicationId, sf_dir, name
+    if key not in _STAGED:
+        folder = run_folder(spark, f"topic-{name}")
+        encode_packets(TOPICS[name](spark, sf_dir), fixture_descriptor_set(), ENVELOPE).write.parquet(folder)
+        _STAGED[key] = folder
+    return _STAGED[key]
+
+
+def raw_packets(spark: SparkSession, sf_dir: str, name: str = "all") -> DataFrame:
+    """The topic's packets (value, timestamp)."""
+    return spark.read.schema(S.PACKETS_RAW).parquet(topic(spark, sf_dir, name))
+
+
+def offset_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events with partition and offset, as a log has them.
+
+    A partition takes every fourth user; its offsets follow the event ids,
+    but errors reach the log some 300 events late, so that record times don't
+    rise with the offsets.
+    """
+    late = F.when(F.col("event_type") == "error", F.lit(601)).otherwise(F.lit(0))
+    return events_packets(spark, sf_dir, payload=False, extra=(
+        (F.col("user_id") % 4).cast("int").alias("partition"),
+        (F.col("event_id") * 2 + late).cast("long").alias("offset")))

@@ -18,11 +18,13 @@ from packetflow.operators.decode import decode_packets
 from packetflow.operators.filters import keep_node_info, keep_packets, keep_text_messages
 from packetflow.operators.nodes import node_info
 from packetflow.operators.traffic import node_context, packet_traffic, payload_kind
-from packetflow.plans import oracle as O
-from packetflow.sources import fixtures as X
-from packetflow.sources.descriptors import ENVELOPE, fixture_descriptor_set
-from packetflow.sources.files import replay_range
-from packetflow.sources.fixtures import BASE_EPOCH
+from testbed import oracle as O
+from testbed import packets as X
+from testbed.descriptors import ENVELOPE, fixture_descriptor_set
+from packetflow.sinks.webhook import ORDER_COLUMNS, send_notifications
+from packetflow.sources.files import replay_offsets, replay_range
+from testbed.packets import BASE_EPOCH
+from testbed.senders import Places, answered
 
 # Parameters of the registered queries (our choice; not values of the reference).
 REPLAY_FROM = "2024-01-05T00:00:00+02:00"
@@ -79,6 +81,12 @@ def q_replay_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packet_traffic(packets, REPLAY_WINDOW_MINUTES, job_id("replay_range"))
 
 
+def q_replay_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3/S4 by offsets, over a log whose record times don't rise with the offsets."""
+    packets = replay_offsets(X.offset_packets(spark, sf_dir), REPLAY_FROM, REPLAY_TO)
+    return packet_traffic(packets, REPLAY_WINDOW_MINUTES, job_id("replay_offsets"))
+
+
 # ----------------------------------------------------------------- filters
 
 def q_variant_packet(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,52 +202,93 @@ def q_text_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- streaming
 
 def q_stream_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from packetflow.plans.streams import stream_traffic
+    from testbed.streams import stream_traffic
     return stream_traffic(spark, sf_dir, job_id("stream_traffic"))
 
 
+def q_stream_traffic_flushed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from testbed.streams import stream_traffic_flushed
+    return stream_traffic_flushed(spark, sf_dir, job_id("stream_traffic_flushed"))
+
+
+def q_node_info_sink_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4 into a table that keeps run and batch: a repeated batch replaces its rows."""
+    from testbed.streams import node_info_sink
+    return node_info_sink(spark, sf_dir, by_batch=True)
+
+
+def q_webhook_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: each body with its place among its sender's messages, as a sender met them."""
+    texts = M.text_messages(X.conversation_packets(spark, sf_dir), zone="UTC",
+                            job_id=job_id("webhook_in_order"), record_time=True)
+    return send_notifications(M.notifications(texts, ORDER_COLUMNS), Places(), ordered=True)
+
+
+def q_webhook_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each body with the status of its answer, 0 where there was none."""
+    return send_notifications(M.notifications(_texts(spark, sf_dir, "webhook_statuses")), answered)
+
+
+def q_text_unknown_charset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: rows and characters by charset; one that the JVM doesn't know drops rows, not the job."""
+    packets = X.conversation_packets(spark, sf_dir)
+
+    def counted(charset):
+        rows = M.text_messages(packets, charset, "UTC", job_id("text_unknown_charset"))
+        return rows.agg(F.count("*").alias("n_rows"), F.coalesce(
+            F.sum(F.length("text")), F.lit(0)).alias("n_chars")).withColumn("charset", F.lit(charset))
+
+    return counted("utf-8").unionByName(counted("x-no-such-charset"))
+
+
+def q_text_latin1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same payloads read in a charset of one byte a character."""
+    return M.text_messages(X.conversation_packets(spark, sf_dir), "ISO-8859-1", "UTC",
+                           job_id("text_latin1"))
+
+
 def q_stream_traffic_restarts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from packetflow.plans.streams import stream_traffic_restarts
+    from testbed.streams import stream_traffic_restarts
     return stream_traffic_restarts(spark, sf_dir, job_id("stream_traffic_restarts"))
 
 
 def q_stream_traffic_late(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from packetflow.plans.streams import stream_traffic_late
+    from testbed.streams import stream_traffic_late
     return stream_traffic_late(spark, sf_dir, job_id("stream_traffic_late"))
 
 
 def q_traffic_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from packetflow.plans.streams import traffic_sink
+    from testbed.streams import traffic_sink
     return traffic_sink(spark, sf_dir, job_id("traffic_sink"))
 
 
 def q_traffic_replay_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from packetflow.plans.streams import traffic_replay_twice
+    from testbed.streams import traffic_replay_twice
     return traffic_replay_twice(spark, sf_dir, job_id("traffic_replay_twice"))
 
 
 def q_text_replay_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from packetflow.plans.streams import text_replay_twice
+    from testbed.streams import text_replay_twice
     return text_replay_twice(spark, sf_dir, job_id("text_replay_twice"))
 
 
 def q_text_sink_zoned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from packetflow.plans.streams import text_sink_zoned
+    from testbed.streams import text_sink_zoned
     return text_sink_zoned(spark, sf_dir, job_id("text_sink_zoned"), ZONE_WEST)
 
 
 def q_audit_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from packetflow.plans.streams import audit_sink
+    from testbed.streams import audit_sink
     return audit_sink(spark, sf_dir, job_id("audit_sink"))
 
 
 def q_node_info_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from packetflow.plans.streams import node_info_sink
+    from testbed.streams import node_info_sink
     return node_info_sink(spark, sf_dir)
 
 
 def q_text_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from packetflow.plans.streams import text_sink
+    from testbed.streams import text_sink
     return text_sink(spark, sf_dir, job_id("text_sink"))
 
 
@@ -280,6 +329,14 @@ tm AS (
                 "t AS (" + _traffic_sql(10, job_id("stream_traffic_late"), "kept") + ")"
                 "\nSELECT * FROM t WHERE window_end <= (SELECT max(timestamp) FROM ev) "
                 "- INTERVAL 5 SECOND")
+    log_columns = ("AS timestamp, CAST(user_id % 4 AS INTEGER) AS part, "
+                   "event_id * 2 + CASE WHEN event_type = 'error' THEN 601 ELSE 0 END AS off,")
+    bodies = texts.replace("payload_text AS text,", "payload_text AS text, p_rx_time,") + (
+        ", nt AS (SELECT from_node, p_rx_time, format('Message from node: ({{}}) on channel: ({{}})', "
+        f"from_node, channel) AS title, 'Time: ' || {O.iso_local_text('time')} || chr(10) || 'Text: ' "
+        "|| text AS message FROM tm),\nbd AS (SELECT from_node, p_rx_time, '{{' || chr(10) || "
+        "'  \"title\" : ' || to_json(title) || ',' || chr(10) || '  \"message\" : ' || "
+        "to_json(message) || ',' || chr(10) || '  \"priority\" : 2' || chr(10) || '}}' AS body FROM nt)\n")
     replay_lo = "TIMESTAMP '2024-01-04 22:00:00'"   # REPLAY_FROM in UTC
     replay_hi = "TIMESTAMP '2024-01-12 11:30:00'"   # REPLAY_TO in UTC
     return {
@@ -292,6 +349,29 @@ tm AS (
             "WHERE variant = 'packet'",
             f"WHERE variant = 'packet' AND timestamp >= {replay_lo} AND timestamp < {replay_hi}")
         + _traffic_sql(REPLAY_WINDOW_MINUTES, job_id("replay_range")),
+        "replay_offsets": f"WITH {O.EVENTS.replace('AS timestamp,', log_columns, 1)},\n"
+        f"bd AS (SELECT part, min(off) FILTER (WHERE timestamp >= {replay_lo}) AS lo, "
+        f"min(off) FILTER (WHERE timestamp >= {replay_hi}) AS hi FROM ev GROUP BY part),\n"
+        f"ctx AS (SELECT timestamp, {O.unsigned('p_from')} AS from_node, "
+        f"{O.unsigned('p_to')} AS to_node, {O.KIND} AS kind FROM ev JOIN bd USING (part) "
+        "WHERE variant = 'packet' AND off >= lo AND (hi IS NULL OR off < hi))"
+        + _traffic_sql(REPLAY_WINDOW_MINUTES, job_id("replay_offsets")),
+        "stream_traffic_flushed": _EVENTS_CTX + _traffic_sql(10, job_id("stream_traffic_flushed")),
+        "node_info_sink_by_batch": f"WITH one AS ({node_sql})\nSELECT *, unnest(['first', 'second']) "
+                                   "AS run_id FROM one",
+        "webhook_in_order": bodies.format(jid=job_id("webhook_in_order"))
+        + "SELECT body, CAST(row_number() OVER (PARTITION BY from_node ORDER BY p_rx_time) AS INTEGER) "
+          "AS status FROM bd",
+        "webhook_statuses": bodies.format(jid=job_id("webhook_statuses"))
+        + "SELECT body, CASE WHEN md5(body) < '1' THEN 0 WHEN md5(body) < '8' THEN 503 ELSE 200 END "
+          "AS status FROM bd",
+        "text_unknown_charset": texts.format(jid=job_id("text_unknown_charset"))
+        + "\nSELECT count(*) AS n_rows, CAST(sum(length(text)) AS BIGINT) AS n_chars, 'utf-8' AS charset "
+          "FROM tm UNION ALL SELECT 0, 0, 'x-no-such-charset'",
+        "text_latin1": texts.format(jid=job_id("text_latin1"))
+        + "\nSELECT * REPLACE (array_to_string(list_transform(range(octet_length(encode(text))), "
+          "lambda i: chr(CAST('0x' || substr(hex(encode(text)), 2 * i + 1, 2) AS INTEGER))), '') AS text) "
+          "FROM tm",
         "variant_packet": f"WITH {O.ALL}\nSELECT timestamp, variant, p_from AS packet_from, "
                           "p_to AS packet_to, p_channel AS channel, encrypted, decoded, portnum "
                           "FROM allp WHERE variant = 'packet'",
@@ -371,6 +451,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "node_context": q_node_context,
     "payload_kind": q_payload_kind,
     "replay_range": q_replay_range,
+    "replay_offsets": q_replay_offsets,
     "variant_packet": q_variant_packet,
     "variant_node_info": q_variant_node_info,
     "variant_text": q_variant_text,
@@ -396,6 +477,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "text_sink_zoned": q_text_sink_zoned,
     "node_info_sink": q_node_info_sink,
     "text_sink": q_text_sink,
+    "stream_traffic_flushed": q_stream_traffic_flushed,
+    "node_info_sink_by_batch": q_node_info_sink_by_batch,
+    "webhook_in_order": q_webhook_in_order,
+    "webhook_statuses": q_webhook_statuses,
+    "text_unknown_charset": q_text_unknown_charset,
+    "text_latin1": q_text_latin1,
 }
 
 

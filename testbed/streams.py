@@ -1,9 +1,9 @@
 """Registered streaming queries: each runs a real Structured Streaming job.
 
-Raw packets derived from a test table are encoded by Spark and written once
-to a run folder inside the shared checkpoint folder; a file-source stream
-reads them (available-now trigger), runs the job and writes its sink; the
-query returns the sink's contents as a batch DataFrame.
+A file-source stream reads a topic of the test tables (`packets.topic`,
+available-now trigger), runs the job and writes its sink into a run folder
+inside the shared checkpoint folder; the query returns the sink's contents as a
+batch DataFrame.
 
 All input files are read in one micro-batch, so the result does not depend
 on file listing order: the watermark then stands at max(event time) - 5 s,
@@ -18,13 +18,14 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetflow.plans.jobs import run_node_info_job, run_text_job, run_traffic_job, traffic_plan
+from packetflow.plans.jobs import drain_traffic, flush_traffic, run_node_info_job, run_text_job, \
+    run_traffic_job, traffic_plan
 from packetflow.session import run_folder
 from packetflow.sinks.batch import TableTarget
-from packetflow.sources import fixtures as X
-from packetflow.sources.fixtures import BASE_EPOCH
-from packetflow.sources.descriptors import ENVELOPE, fixture_descriptor_set
-from packetflow.sources.encode import encode_packets
+from testbed import packets as X
+from testbed.packets import BASE_EPOCH
+from testbed.descriptors import ENVELOPE, fixture_descriptor_set
+from testbed.encode import encode_packets
 from packetflow.sources.files import parquet_packet_stream, parquet_packets
 from packetflow.streaming.runner import run_to_end, start_stream
 
@@ -37,17 +38,15 @@ NODE_INFO_COLUMNS = ("node_id BIGINT, user_id STRING, user_name STRING, "
                      "hops_away INT, snr FLOAT")
 
 
-def _stage(spark: SparkSession, packets: DataFrame, folder: str) -> DataFrame:
-    """Encode packets, write them as the stream's input, return the stream."""
-    encode_packets(packets, fixture_descriptor_set(), ENVELOPE).write.parquet(f"{folder}/input")
-    return parquet_packet_stream(spark, f"{folder}/input")
+def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return parquet_packet_stream(spark, X.topic(spark, sf_dir, name))
 
 
 def stream_traffic(spark: SparkSession, sf_dir: str, job_id: str,
                    window_minutes: int = 10) -> DataFrame:
     """W1-W6 + J1 on a stream, into the exactly-once parquet file sink."""
     folder = run_folder(spark, "stream_traffic")
-    raw = _stage(spark, X.events_packets(spark, sf_dir), folder)
+    raw = _stream(spark, sf_dir, "events")
     traffic = traffic_plan(raw, fixture_descriptor_set(), ENVELOPE, window_minutes, job_id)
     run_to_end(start_stream(traffic, f"{folder}/checkpoint", "stream_traffic",
                             path=f"{folder}/out"), STREAM_TIMEOUT_S)
@@ -115,7 +114,7 @@ def stream_traffic_late(spark: SparkSession, sf_dir: str, job_id: str,
 def traffic_sink(spark: SparkSession, sf_dir: str, job_id: str) -> DataFrame:
     """J1 + N1/N3: traffic rows through the idempotent foreachBatch writer."""
     folder = run_folder(spark, "traffic_sink")
-    raw = _stage(spark, X.events_packets(spark, sf_dir), folder)
+    raw = _stream(spark, sf_dir, "events")
     target = TableTarget(f"{folder}/traffic")
     query = run_traffic_job(raw, target, f"{folder}/checkpoint", fixture_descriptor_set(),
                             ENVELOPE, job_id=job_id, trigger=AVAILABLE_NOW,
@@ -129,18 +128,27 @@ TRAFFIC_SPLIT = "2024-01-12T00:00:00Z"
 TEXT_SPLIT = "2024-01-01T00:40:00Z"
 
 
-def _replay_halves(spark: SparkSession, packets: DataFrame, folder: str, split: str):
-    """Two disjoint bounded replays of one topic, written once."""
-    encode_packets(packets, fixture_descriptor_set(), ENVELOPE).write.parquet(f"{folder}/input")
-    yield parquet_packets(spark, f"{folder}/input", end=split)
-    yield parquet_packets(spark, f"{folder}/input", start=split)
+def _replay_halves(spark: SparkSession, sf_dir: str, name: str, split: str):
+    """Two disjoint bounded replays of one topic."""
+    yield parquet_packets(spark, X.topic(spark, sf_dir, name), end=split)
+    yield parquet_packets(spark, X.topic(spark, sf_dir, name), start=split)
+
+
+def stream_traffic_flushed(spark: SparkSession, sf_dir: str, job_id: str) -> DataFrame:
+    """J1 + W5/W6: a bounded stream whose last windows are flushed when it has ended, twice."""
+    folder = run_folder(spark, "stream_traffic_flushed")
+    target = TableTarget(f"{folder}/traffic")
+    drain_traffic(_stream(spark, sf_dir, "events"), target, f"{folder}/checkpoint",
+                  fixture_descriptor_set(), ENVELOPE, job_id=job_id, timeout_s=STREAM_TIMEOUT_S)
+    flush_traffic(spark, target, f"{folder}/checkpoint", job_id)
+    return target.read(spark)
 
 
 def traffic_replay_twice(spark: SparkSession, sf_dir: str, job_id: str) -> DataFrame:
     """J1 + N1 + W6: a second bounded replay adds to the first one's output."""
     folder = run_folder(spark, "traffic_replay_twice")
     target = TableTarget(f"{folder}/traffic")
-    for raw in _replay_halves(spark, X.events_packets(spark, sf_dir), folder, TRAFFIC_SPLIT):
+    for raw in _replay_halves(spark, sf_dir, "events", TRAFFIC_SPLIT):
         run_traffic_job(raw, target, f"{folder}/checkpoint", fixture_descriptor_set(), ENVELOPE,
                         job_id=job_id)
     return target.read(spark)
@@ -150,36 +158,49 @@ def text_replay_twice(spark: SparkSession, sf_dir: str, job_id: str) -> DataFram
     """J3 + N2 + N6: as `traffic_replay_twice`, and the first half is replayed again by its run id."""
     folder = run_folder(spark, "text_replay_twice")
     target = TableTarget(f"{folder}/text")
-    first, second = _replay_halves(spark, X.conversation_packets(spark, sf_dir), folder, TEXT_SPLIT)
+    first, second = _replay_halves(spark, sf_dir, "conversations", TEXT_SPLIT)
     for raw, run in ((first, "first"), (second, None), (first, "first")):
         run_text_job(raw, target, f"{folder}/checkpoint", fixture_descriptor_set(), ENVELOPE,
                      zone="UTC", job_id=job_id, run_id=run)
     return target.read(spark)
 
 
-def node_info_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J2 + Q1-Q4: user DDL creates the sink table; each batch is inserted by SQL."""
+def node_info_sink(spark: SparkSession, sf_dir: str, by_batch: bool = False) -> DataFrame:
+    """J2 + Q1-Q4: user DDL creates the sink table; each batch is inserted by SQL.
+
+    `by_batch`: the table keeps run and batch, and the topic is inserted three
+    times as bounded runs, the last time by the run id of the second.
+    """
     folder = run_folder(spark, "node_info_sink")
-    raw = _stage(spark, X.customer_packets(spark, sf_dir), folder)
+    raw = _stream(spark, sf_dir, "customer")
     # The sink table's name is a fixed value; in a database of this run's own it meets no other.
     database, before = f"packetflow_{uuid.uuid4().hex}", spark.catalog.currentDatabase()
     spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/database'")
     spark.catalog.setCurrentDatabase(database)
-    ddl = (f"CREATE TABLE node_info_sink ({NODE_INFO_COLUMNS}) USING parquet "
+    columns = NODE_INFO_COLUMNS + (", run_id STRING, batch_id BIGINT" if by_batch else "")
+    partitions = "PARTITIONED BY (run_id, batch_id) " if by_batch else ""
+    ddl = (f"CREATE TABLE node_info_sink ({columns}) USING parquet {partitions}"
            f"LOCATION '{folder}/table'")
     try:
-        query = run_node_info_job(raw, f"{folder}/checkpoint", fixture_descriptor_set(), ENVELOPE,
-                                  ddl, zone="UTC", trigger=AVAILABLE_NOW, query_name="node_info_sink")
-        run_to_end(query, STREAM_TIMEOUT_S)
+        job = (f"{folder}/checkpoint", fixture_descriptor_set(), ENVELOPE)
+        if by_batch:
+            packets = X.raw_packets(spark, sf_dir, "customer")
+            for k, run in enumerate(("first", "second", "second")):
+                run_node_info_job(packets, *job, ddl if k == 0 else "SELECT 1", zone="UTC", run_id=run)
+        else:
+            query = run_node_info_job(raw, *job, ddl, zone="UTC", trigger=AVAILABLE_NOW,
+                                      query_name="node_info_sink")
+            run_to_end(query, STREAM_TIMEOUT_S)
     finally:
         spark.catalog.setCurrentDatabase(before)
-    return spark.read.parquet(f"{folder}/table")
+        spark.sql(f"DROP DATABASE {database} CASCADE")        # the table's files are elsewhere and stay
+    return spark.read.parquet(f"{folder}/table").drop("batch_id")
 
 
 def _text_tables(spark: SparkSession, sf_dir: str, job_id: str, name: str,
                  zone: str = "UTC") -> tuple:
     folder = run_folder(spark, name)
-    raw = _stage(spark, X.conversation_packets(spark, sf_dir), folder)
+    raw = _stream(spark, sf_dir, "conversations")
     target, audit = TableTarget(f"{folder}/text"), TableTarget(f"{folder}/audit")
     query = run_text_job(raw, target, f"{folder}/checkpoint", fixture_descriptor_set(), ENVELOPE,
                          zone=zone, job_id=job_id, audit_target=audit,

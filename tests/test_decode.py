@@ -9,8 +9,8 @@ from packetflow import schema as S
 from packetflow.operators.decode import decode_packets
 from packetflow.operators.protobuf import message_class
 from packetflow.operators.traffic import node_context
-from packetflow.sources.descriptors import ENVELOPE, fixture_descriptor_set
-from packetflow.sources.encode import encode_packets
+from testbed.descriptors import ENVELOPE, fixture_descriptor_set
+from testbed.encode import encode_packets
 
 T0 = dt.datetime(2024, 1, 1, 0, 0, 0)
 

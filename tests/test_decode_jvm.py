@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from packetflow import schema as S
 from packetflow.operators.decode import decode_packets
 from packetflow.operators.decode_jvm import envelope_facts, jvm_protobuf_available, to_packets
-from packetflow.sources.descriptors import ENVELOPE, fixture_descriptor_set
-from packetflow.sources.encode import encode_packets
+from testbed.descriptors import ENVELOPE, fixture_descriptor_set
+from testbed.encode import encode_packets
 from tests.test_decode import ROWS
 
 T0 = dt.datetime(2024, 1, 1)

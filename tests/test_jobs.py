@@ -8,9 +8,9 @@ from packetflow.plans.jobs import (JOB_KINDS, node_info_plan, run_node_info_job,
                                    run_traffic_job)
 from packetflow.sinks.batch import TableTarget
 from packetflow.sinks.sql import console_changelog
-from packetflow.sources import fixtures as X
-from packetflow.sources.descriptors import ENVELOPE, fixture_descriptor_set
-from packetflow.sources.encode import encode_packets
+from testbed import packets as X
+from testbed.descriptors import ENVELOPE, fixture_descriptor_set
+from testbed.encode import encode_packets
 from packetflow.sources.files import parquet_packet_stream, parquet_packets
 from packetflow.streaming.runner import observed, run_to_end
 from tests.conftest import SF_SMALL

@@ -308,10 +308,10 @@ def test_listener_counts_each_batch_once_and_keeps_one_id():
 
 
 def test_two_replays_notify_each_message_once(spark, folder):
-    from packetflow.plans.streams import TEXT_SPLIT, _replay_halves
+    from testbed.streams import TEXT_SPLIT, _replay_halves
     from packetflow.plans.jobs import run_text_job
-    from packetflow.sources import fixtures as X
-    from packetflow.sources.descriptors import ENVELOPE, fixture_descriptor_set
+    from testbed import packets as X
+    from testbed.descriptors import ENVELOPE, fixture_descriptor_set
     from tests.conftest import SF_SMALL
 
     sent, target = f"{folder}-sent", TableTarget(f"{folder}/text")

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from packetflow.plans import queries as plans
+from testbed import queries as plans
 from scripts.check_oracle import TABLES, digest, duck_rows, spark_rows
 from tests.conftest import SF_SMALL
 

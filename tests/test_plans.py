@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from packetflow import schema as S
 from packetflow.operators.traffic import packet_traffic
 from packetflow.plans.jobs import node_info_plan, text_plan, traffic_plan
-from packetflow.sources import fixtures as X
-from packetflow.sources.descriptors import ENVELOPE, fixture_descriptor_set
+from testbed import packets as X
+from testbed.descriptors import ENVELOPE, fixture_descriptor_set
 from packetflow.sources.files import parquet_packets
 from tests.conftest import SF_SMALL
 from tests.test_traffic import plan_text

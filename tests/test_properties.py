@@ -8,8 +8,8 @@ from hypothesis import strategies as st
 from packetflow import schema as S
 from packetflow.operators.decode import decode_packets
 from packetflow.operators.traffic import packet_traffic
-from packetflow.sources.descriptors import ENVELOPE, PORT_NUMS, ROLES, fixture_descriptor_set
-from packetflow.sources.encode import encode_packets
+from testbed.descriptors import ENVELOPE, PORT_NUMS, ROLES, fixture_descriptor_set
+from testbed.encode import encode_packets
 from tests.test_decode import node, packet
 
 INT32 = st.integers(min_value=-(2 ** 31), max_value=2 ** 31 - 1)

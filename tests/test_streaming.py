@@ -3,7 +3,7 @@
 from packetflow import schema as S
 from packetflow.operators.traffic import packet_traffic
 from packetflow.sinks.batch import TableTarget
-from packetflow.sources import fixtures as X
+from testbed import packets as X
 from packetflow.streaming.runner import late_rows_dropped, run_to_end, start_stream
 from packetflow.streaming.watermark import with_event_time
 from tests.conftest import SF_SMALL

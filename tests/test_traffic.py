@@ -5,8 +5,8 @@ import datetime as dt
 from packetflow import schema as S
 from packetflow.operators.traffic import packet_traffic
 from packetflow.plans.jobs import traffic_plan
-from packetflow.sources import fixtures as X
-from packetflow.sources.descriptors import ENVELOPE, fixture_descriptor_set
+from testbed import packets as X
+from testbed.descriptors import ENVELOPE, fixture_descriptor_set
 from tests.conftest import SF_SMALL
 from tests.test_decode import packet
 

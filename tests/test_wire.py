@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from packetflow.operators import decode as D
 from packetflow.operators import wire
 from packetflow.operators.protobuf import message_class
-from packetflow.sources.descriptors import ENVELOPE, fixture_descriptor_set
+from testbed.descriptors import ENVELOPE, fixture_descriptor_set
 
 FDP = descriptor_pb2.FieldDescriptorProto
 
