@@ -25,7 +25,8 @@ from packetflow.llm.common import (documents_input, pieces, read_table, run_fold
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 SHARD_TOKENS = 1 << 18       # a shard is closed once it holds as many ids
-CACHE_PIECES = 160_000       # of a generation of tokenised pieces that a Python worker keeps
+CHUNK_CHARS = 1 << 20        # texts that are split together
+CACHE_PIECES = 120_000       # of a generation of tokenised units that a Python worker keeps
 
 SHARD_SCHEMA = ("part int, seq int, part_start long, doc_ids array<long>, doc_tokens array<long>, "
                 "wavelet binary")
@@ -187,8 +188,9 @@ class PieceEncoder:
     goes through the whole tokenizer. `tests/llm` holds this against whole-text
     encoding.
 
-    Pieces are remembered in two generations: a full one replaces the older,
-    and a piece found in the older moves to the newer.
+    Such parts and pieces, units for short, are remembered in two generations:
+    a full one replaces the older, and a unit found in the older moves to the
+    newer.
     """
 
     def __init__(self, name: str = TOKENIZER):
@@ -206,11 +208,10 @@ class PieceEncoder:
                     for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in
-                self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+                self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
     def _encode_word(self, word: str) -> bytes:
         """A word of lower-case letters below U+0250, by the tokenizer's model."""
@@ -219,50 +220,114 @@ class PieceEncoder:
         raw = self.raw
         return b"".join([raw[t.id] for t in self.model.tokenize(word)])
 
-    def _learn(self, missing: set[str]) -> None:
-        parts, cache = self.parts, self.cache
-        if len(parts) > CACHE_PIECES:
-            parts.clear()
-        split, others = [], set()
-        for piece in missing:
-            word = piece.rstrip(_SIGNS)
-            signs = piece[len(word):]
-            if not word.isalpha():
-                word, signs = piece, ""
-                if piece not in parts:
-                    others.add(piece)
-            elif word not in parts:
-                if word.islower() and (word.isascii() or not _ODD.search(word)):
-                    parts[word] = self._encode_word(word)
-                else:
-                    others.add(word)
-            if signs and signs not in parts:
-                others.add(signs)
-            split.append((piece, word, signs))
-        if others:
-            parts.update(zip(others, self._encode(list(others)), strict=True))
-        for piece, word, signs in split:
-            cache[piece] = parts[word] + parts[signs] if signs else parts[word]
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        pieces_, ends = [], []
-        for text in texts:
-            text = text or ""
-            pieces_ += text.replace("\n", " ").split(" ") if _is_odd(text) else text.lower().split()
-            ends.append(len(pieces_))
+    def _known(self, units: list[str]) -> list[bytes]:
+        """The ids of each word, run of signs or other piece; new ones are learned."""
         if len(self.cache) > CACHE_PIECES:
             self.cache, self.older = {}, self.cache
-        ids = list(map(self.cache.get, pieces_))
-        lacking = [i for i, x in enumerate(ids) if x is None]
-        if lacking:
-            missing = {pieces_[i] for i in lacking}
-            known = missing & self.older.keys()
-            self.cache.update(zip(known, map(self.older.get, known), strict=True))
-            self._learn(missing - known)
-            for i in lacking:
-                ids[i] = self.cache[pieces_[i]]
-        return [np.frombuffer(b"".join(ids[s:e]), self.dtype)
-                for s, e in zip([0, *ends], ends, strict=False)]
+        ids = list(map(self.cache.get, units))
+        older, others = self.older, []
+        for i, found in enumerate(ids):
+            if found is None:
+                unit = units[i]
+                found = older.get(unit)
+                if found is None:
+                    if unit.islower() and unit.isalpha() and (unit.isascii() or not _ODD.search(unit)):
+                        found = self._encode_word(unit)
+                    else:
+                        others.append(i)
+                        continue
+                ids[i] = self.cache[unit] = found
+        for i, found in zip(others, self._encode([units[i] for i in others]), strict=True):
+            ids[i] = self.cache[units[i]] = found
+        return ids
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text. Ordinary texts are split, and their units numbered, all together:
+        only the distinct ones are looked up one by one."""
+        out: list[np.ndarray] = [np.zeros(0, self.dtype)] * len(texts)
+        plain, data = [], []
+        for i, text in enumerate(texts):
+            if text and _is_odd(text):
+                units = text.replace("\n", " ").split(" ")
+                out[i] = np.frombuffer(b"".join(self._known(units)), self.dtype)
+            elif text:
+                text = text.lower()
+                if not text.isascii():                # white space beyond ASCII
+                    text = text.replace("\x85", " ").replace("\xa0", " ")
+                plain.append(i)
+                data.append(text.encode())
+        if not plain:
+            return out
+        units, counts = _split(data)
+        coded = units.dictionary_encode()
+        raw = self._known(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        step = self.dtype.itemsize
+        size = np.fromiter(map(len, raw), np.int32, len(raw)) // np.int32(step)
+        begin, at = np.cumsum(size, dtype=np.int32) - size, coded.indices.to_numpy()
+        each = size[at]
+        ends = np.cumsum(each, dtype=np.int32)
+        flat = np.frombuffer(b"".join(raw), self.dtype)
+        place = np.repeat(begin[at] - (ends - each), each)
+        place += np.arange(len(place), dtype=np.int32)
+        ids = flat[place]
+        last = np.concatenate(([0], ends))[np.cumsum(counts)]
+        for i, s, e in zip(plain, [0, *last.tolist()], last.tolist(), strict=False):
+            out[i] = ids[s:e]
+        return out
+
+
+# Kinds of bytes: white space, signs, letters (a to z, and U+00C0 to U+024F in UTF-8), others.
+_WHITE, _SIGN, _LETTER = 1, 2, 3
+_KIND = np.zeros(256, np.uint8)
+_KIND[[32, *range(9, 14)]] = _WHITE
+_KIND[list(_SIGNS.encode())] = _SIGN
+_KIND[ord("a"):ord("z") + 1] = _KIND[0x80:0xC2] = _KIND[0xC3:0xCA] = _LETTER
+
+
+def _split(texts: list[bytes]) -> tuple[pa.StringArray, np.ndarray]:
+    """The units of all texts, one after another, and the number in each.
+
+    A piece between ASCII white space that is letters followed by signs is two
+    units; any other is one.
+    """
+    raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    kind = _KIND[raw]
+    product = np.flatnonzero(raw[:-1] == 0xC3)
+    kind[product[(raw[product + 1] == 0x97) | (raw[product + 1] == 0xB7)]] = 0       # no letters
+    white = kind == _WHITE
+    blanks = np.flatnonzero(white)
+    before = np.concatenate(([-1], blanks[:-1]))
+    ends = np.flatnonzero(blanks - before > 1)          # blanks that end a piece
+    begin, end = before[ends] + 1, blanks[ends]
+    # Runs of signs that end a piece, with letters alone before them in it.
+    signs = np.flatnonzero(kind == _SIGN)
+    fresh = np.diff(signs, prepend=-2) > 1
+    first, stop = signs[fresh], signs[np.concatenate((fresh[1:], [True]))[:len(signs)]] + 1
+    piece = np.minimum(np.searchsorted(end, stop), len(end) - 1)
+    closes = (end[piece] == stop) & (first > begin[piece]) if len(end) else np.zeros(0, bool)
+    first, piece = first[closes], piece[closes]
+    strange = np.flatnonzero(~white & (kind != _LETTER))
+    plain = np.searchsorted(strange, first) == np.searchsorted(strange, begin[piece])
+    first, piece = first[plain], piece[plain]
+    offsets = np.sort(np.concatenate(([0], end - ends, first - ends[piece]))).astype(np.int32)
+    units = pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(raw[~white]))
+    last = np.sort(np.concatenate((end, first)))
+    return units, np.diff(np.searchsorted(last, np.cumsum([len(t) + 1 for t in texts])), prepend=0)
+
+
+def _by_size(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
+    """Ids and texts, some CHUNK_CHARS at a time."""
+    docs, texts, held = [], [], 0
+    for batch in pieces(batches, 64):
+        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            docs.append(doc)
+            texts.append(text)
+            held += len(text or "")
+            if held >= CHUNK_CHARS:
+                yield docs, texts
+                docs, texts, held = [], [], 0
+    if docs:
+        yield docs, texts
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -289,9 +354,8 @@ def _shard_batches(tokenizer: str, end_id: int, shard_tokens: int):
                 "wavelet": pa.array([WaveletMatrix.build(np.concatenate(ids)).to_bytes()],
                                     pa.binary())})
 
-        for batch in pieces(batches, 64):
-            for doc, found in zip(batch.column("doc_id").to_pylist(),
-                                  encoder.encode(batch.column("text").to_pylist()), strict=True):
+        for ids_, texts in _by_size(batches):
+            for doc, found in zip(ids_, encoder.encode(texts), strict=True):
                 ids += [found, end]
                 docs.append(doc)
                 counts.append(len(found) + 1)
