@@ -27,7 +27,8 @@ LENGTH = 200               # bytes of a window
 GRAM = 64                  # bytes whose hashes choose the minimizer
 SHALLOW = 32               # depth of the multikey sort
 HOT_RUNS = 4_096           # different runs of one minimizer that are sorted in one task
-CHUNK_BYTES = 8 << 20      # run texts sorted at a time
+CHUNK_BYTES = 1 << 20      # run texts sorted at a time; some fifty bytes are held for each
+COMPARED = 4_096           # windows that are compared at a time
 
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
@@ -154,10 +155,11 @@ def repeated_windows(buffer: np.ndarray, starts: np.ndarray, length: int = LENGT
     out = np.zeros(len(starts), bool)
     if len(starts) < 2:
         return out
-    padded = np.concatenate((buffer, np.zeros(8, np.uint8))).astype(np.uint64)
+    padded = np.concatenate((buffer, np.zeros(8, np.uint8)))
     word = np.zeros(len(buffer), np.uint64)
     for i in range(8):
-        word = word << np.uint64(8) | padded[i:len(buffer) + i]
+        word <<= np.uint64(8)
+        word |= padded[i:len(buffer) + i]
     # Shallow: each level splits every group by its next character of eight bytes.
     alive, group = np.arange(len(starts)), np.zeros(len(starts), np.int64)
     for depth in range(0, min(shallow, length // 8 * 8), 8):
@@ -175,8 +177,8 @@ def repeated_windows(buffer: np.ndarray, starts: np.ndarray, length: int = LENGT
     heads = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
     same = np.ones(len(alive), bool)
     offsets = np.arange(length)
-    for at in range(0, len(alive), 100_000):
-        part = slice(at, at + 100_000)
+    for at in range(0, len(alive), COMPARED):
+        part = slice(at, at + COMPARED)
         same[part] = (buffer[starts[alive[part]][:, None] + offsets]
                       == buffer[starts[alive[heads[group[part]]]][:, None] + offsets]).all(axis=1)
     whole = np.logical_and.reduceat(same, heads)
