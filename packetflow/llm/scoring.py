@@ -36,6 +36,7 @@ HOT_WORDS = 1022           # words in the dense tables; there 0 is the text's ed
 SMOOTHING = 50.0           # weight of the unigram model in a bigram context
 HELD_WORDS = 400_000       # distinct words that a task counts before it passes them on
 CHUNK = 2048               # texts whose bigrams are passed on together
+SMALL_IDS = 1 << 20        # target ids that are broadcast to the texts, at most
 COLD, AFTER = 65535, 2048  # kinds of a bigram's other word: not hot; hot, and the second of the two
 
 _LOW = 1 << 62             # hashes are from here up
@@ -304,6 +305,16 @@ def _sum_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             schema=_FOUND_SCHEMA)
 
 
+def _flagged(spark: SparkSession, rows: DataFrame, target_ids: DataFrame) -> DataFrame:
+    """(doc_id, text, target): few target ids go to the texts; else both meet in a shuffle, once."""
+    wanted = written(spark, target_ids.select(F.col("doc_id").cast("long").alias("t"))
+                     .where("t IS NOT NULL").distinct(), "lm-targets")
+    small = wanted.count() <= SMALL_IDS
+    found = rows.join(F.broadcast(wanted) if small else wanted, rows["doc_id"] == wanted["t"], "left") \
+        .select("doc_id", "text", F.col("t").isNotNull().alias("target"))
+    return found if small else written(spark, found, "lm")
+
+
 def cross_entropy_difference(spark: SparkSession, docs: DataFrame, target_ids: DataFrame, *,
                              id_col: str = "doc_id", text_col: str = "text",
                              size: int | None = None) -> DataFrame:
@@ -318,18 +329,16 @@ def cross_entropy_difference(spark: SparkSession, docs: DataFrame, target_ids: D
     Every word has an entry of its own, unless `size` asks for the most
     frequent ones only, with one entry for all others.
 
-    What is shuffled: the documents, to meet the target ids; words with their
-    counts in each task; and each bigram that isn't of hot words alone, about
-    ten bytes a use, then its losses, summed by document and partition. Only the
-    hot words' dense tables are broadcast. A partition of bigrams is held by its
+    What is shuffled: the documents, if the target ids are more than SMALL_IDS
+    (fewer are broadcast, eight bytes each); words with their counts in each task; and each bigram that isn't of hot words alone, about
+    ten bytes a use, then its losses, summed by document and partition. Besides
+    such ids, only the hot words' dense tables are broadcast. A partition of bigrams is held by its
     task, so `spark.sql.shuffle.partitions` has to grow with the corpus.
     """
     ship_package(spark)
     rows = documents_input(docs, id_col, text_col)
     chosen = None if size is None else vocabulary(rows, size)
-    wanted = target_ids.select(F.col("doc_id").cast("long").alias("t")).distinct()
-    flagged = written(spark, rows.join(wanted, rows["doc_id"] == wanted["t"], "left")
-                      .select("doc_id", "text", F.col("t").isNotNull().alias("target")), "lm")
+    flagged = _flagged(spark, rows, target_ids)
     counts = flagged.select("text").mapInArrow(_word_batches(chosen), "word long, n long")
     words = written(spark, counts.groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
     entries = (words.count() if chosen is None else len(chosen)) + 2

@@ -34,7 +34,7 @@ def test_query_equals_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in read_table(spark, SF_SMALL, "documents").collect()]
     target = {r.doc_id for r in read_table(spark, SF_SMALL, "labels").collect()
               if r.quality == 1 and r.toxic == 0}
-    want = sorted(plain(rows, target, 1022))
+    want = sorted(score_all(rows, target))
     got = sorted((r.doc_id, r.n_tokens, r.difference) for r in op5_lm_scoring(spark, SF_SMALL).collect())
     assert [g[:2] for g in got] == [w[:2] for w in want]
     assert [g[2] for g in got] == pytest.approx([w[2] for w in want], abs=1e-4)
@@ -106,3 +106,13 @@ def test_given_vocabulary_size_equals_brute_force(spark):
                  for r in cross_entropy_difference(spark, docs, labels, size=1022).collect())
     assert [g[:2] for g in got] == [w[:2] for w in want]
     assert [g[2] for g in got] == pytest.approx([w[2] for w in want], abs=1e-4)
+
+
+def test_many_target_ids_meet_the_texts_in_a_shuffle(spark, monkeypatch):
+    docs = read_table(spark, SF_SMALL, "documents")
+    target = read_table(spark, SF_SMALL, "labels").where("quality = 1 AND toxic = 0")
+    few = sorted(map(tuple, cross_entropy_difference(spark, docs, target).collect()))
+    monkeypatch.setattr("packetflow.llm.scoring.SMALL_IDS", 3)
+    many = sorted(map(tuple, cross_entropy_difference(spark, docs, target).collect()))
+    assert [r[:2] for r in few] == [r[:2] for r in many]
+    assert [r[4] for r in few] == pytest.approx([r[4] for r in many], abs=1e-5)
