@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -34,6 +35,7 @@ MAX_CELLS = 4_096          # the upper tree that is broadcast has no more leaves
 SAMPLE_ROWS = 20_000       # vectors that the upper tree is fitted on
 GROUP_QUERIES = 8_192      # queries that visit a cell together
 LEAF_ROWS = 64
+PAIRS = 16_384             # pairs that are scored at a time
 SEED = 5
 
 
@@ -143,7 +145,9 @@ def search_group(queries: np.ndarray, query_ids: np.ndarray, bounds: np.ndarray,
 
     best = np.full((len(q), k), -np.inf)
     rows = np.full((len(q), k), -1)
-    kth = np.round(bounds.astype(np.float64), 12) - 2e-12
+    kth = bounds.astype(np.float64).copy()
+    # The products below are summed in another order than the scores; this is more than they differ.
+    margin = 1e-12 * np.sqrt(norms * squared_length)
     active = np.arange(len(q))
     for rank in range(leaves):
         # A point nearer than the k-th would be this far in projection with probability 1 - TAU.
@@ -158,11 +162,16 @@ def search_group(queries: np.ndarray, query_ids: np.ndarray, bounds: np.ndarray,
             who, which = active[one], by_leaf[starts[visited[one[0]]]:ends[visited[one[0]]]]
             if not len(which):
                 continue
-            score = np.round(q[who] @ v[which].T, 12)
-            score[vec_ids[which][None, :] == query_ids[who][:, None]] = -np.inf
-            score[score < kth[who, None]] = -np.inf
-            if np.isinf(score).all():
+            near = q[who] @ v[which].T >= (kth - margin)[who, None]
+            near &= vec_ids[which][None, :] != query_ids[who][:, None]
+            if not near.any():
                 continue
+            score = np.full(near.shape, -np.inf)
+            x, y = np.nonzero(near)
+            for i in range(0, len(x), PAIRS):
+                a, b = x[i:i + PAIRS], y[i:i + PAIRS]
+                score[a, b] = inner(q[who[a]], v[which[b]])
+            score[score < kth[who, None]] = -np.inf
             both = np.concatenate((best[who], score), axis=1)
             index = np.concatenate((rows[who], np.broadcast_to(which, score.shape)), axis=1)
             ids = np.where(index >= 0, vec_ids[index], np.iinfo(np.int64).max)
@@ -202,9 +211,10 @@ def nearest(spark: SparkSession, vectors: DataFrame, is_query: Column, *, id_col
 
     `is_query` is a condition on `vec_id`. A query is no neighbour of its own
     id. Rows with a null id, or a vector that is null, zero or holds null or
-    non-finite components, take no part, nor do vectors of another length than
-    most have; a query with fewer than k candidates gets all; rows that repeat
-    an id are one vector (any one of them). An empty table gives no rows.
+    non-finite components, take no part. Vectors with different numbers of
+    components are searched apart; a query with fewer than k candidates gets
+    all; rows that repeat an id are one vector (the least of them). An empty
+    table gives no rows.
 
     Cells with too many vectors (equal ones cannot be cut apart) or visited by
     too many queries are split by a hash of either side, so no group outgrows
@@ -215,15 +225,20 @@ def nearest(spark: SparkSession, vectors: DataFrame, is_query: Column, *, id_col
     rows = (vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"),
                            F.col(f"`{vector_col}`").cast("array<double>").alias("v"))
             .where(F.col("vec_id").isNotNull() & usable(F.col("v"))))
-    rows = rows.groupBy("vec_id").agg(F.first("v").alias("v"))
+    rows = rows.groupBy("vec_id").agg(F.min("v").alias("v"))
     shapes = rows.groupBy(F.size("v").alias("dims")).agg(
         F.count("*").alias("n"), F.max(F.expr("aggregate(v, 0D, (a, x) -> a + x * x)")).alias("most"))
-    most = shapes.orderBy(F.col("n").desc(), "dims").limit(1).collect()
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if not most:
-        return empty
-    dims, total, squared = most[0].dims, most[0].n, float(most[0].most)
-    rows = rows.where(F.size("v") == dims)
+    found = [_nearest_of(spark, rows.where(F.size("v") == s.dims), is_query, s.dims, s.n,
+                         float(s.most), k, tau)
+             for s in sorted(shapes.collect())]
+    if not found:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.unionByName, found)
+
+
+def _nearest_of(spark: SparkSession, rows: DataFrame, is_query: Column, dims: int, total: int,
+                squared: float, k: int, tau: float) -> DataFrame:
+    """`nearest` among `total` rows (vec_id, v) of `dims` components; the longest's square is `squared`."""
     matrix = projection(dims)
     sample = rows.orderBy(F.xxhash64("vec_id", F.lit(SEED)), "vec_id").limit(SAMPLE_ROWS).select("v")
     fitted = np.array([r.v for r in sample.collect()]).reshape(-1, dims)

@@ -81,7 +81,7 @@ def test_many_cells_copies_and_clusters(spark, monkeypatch):
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0], 1), (1, [0.5, 0.5], 1), (2, None, 1), (3, [0.0, 0.0], 1), (4, [nan, 1.0], 1),
-            (5, [inf, 1.0], 1), (6, [None, 1.0], 1), (7, [1.0, 2.0, 3.0], 1), (8, [], 1),
+            (5, [inf, 1.0], 1), (6, [None, 1.0], 1), (7, [1.0, 2.0, 3.0], 1), (8, [], 1),   # alone in its length
             (None, [9.0, 9.0], 1), (10, [1.0, 0.0], 1), (10, [1.0, 0.0], 1), (20, [0.0, 1.0], 1)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, cell int")
     got = result(nearest(spark, frame, F.col("vec_id") % 10 == 0))
@@ -90,3 +90,25 @@ def test_odd_rows(spark):
     assert result(nearest(spark, frame, F.col("vec_id") == 0, k=1)) == {0: [(10, 1.0)]}
     assert nearest(spark, frame.limit(0), F.lit(True)).collect() == []
     assert nearest(spark, frame.where("vec_id = 0"), F.lit(True)).collect() == []
+
+
+@pytest.mark.parametrize("length", [1e-6, 1.0, 1e6])
+def test_recall_at_any_length_of_vectors(spark, monkeypatch, length):
+    monkeypatch.setattr(neighbours, "CELL_ROWS", 100)
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((400, 16)) * length
+    x[7] *= 20                                # one vector far longer than the rest
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = plain(rows, range(0, 400, 20), 20)
+    got = result(nearest(spark, frame, F.col("vec_id") % 20 == 0))
+    assert recall(got, want) >= 0.9
+    exact = {(q, i): s for q, found in want.items() for i, s in found}
+    assert all(s == exact[q, i] for q, found in got.items() for i, s in found if (q, i) in exact)
+
+
+def test_lengths_are_searched_apart_and_the_least_of_repeated_ids_counts(spark):
+    rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [3.0]), (20, [1.0]), (5, [4.0, 0.0]), (5, [0.5, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = result(nearest(spark, frame, F.col("vec_id") % 20 == 0))
+    assert got == {0: [(1, 2.0), (5, 0.5)], 20: [(2, 3.0)]}
