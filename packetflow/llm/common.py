@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packetflow.session import run_folder, ship_package
@@ -43,17 +43,37 @@ def crc32_of_id(column: str = "doc_id"):
 
 
 def labelled_sample(labels: DataFrame, label: str, held_out, rows: int) -> DataFrame:
-    """At most `rows` labelled rows that may be learned from: (doc_id, y).
+    """At most `rows` labelled ids that may be learned from, each once: (doc_id, y).
 
     The choice goes by a hash of the id, so that it is the same in every run
-    and independent of the table's order.
+    and independent of the table's order. An id with both labels has label 0.
     """
     usable = (labels.select("doc_id", F.col(label).cast("int").alias("y"))
               .where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1))
-              .where(~held_out))
+              .where(~held_out).groupBy("doc_id").agg(F.min("y").alias("y")))
     order = F.xxhash64(F.col("doc_id"), F.lit(f"{label}-sample"))
-    return usable.orderBy(order, "doc_id", "y").limit(rows)
+    return usable.orderBy(order, "doc_id").limit(rows)
 
 
-__all__ = ["DOCUMENT_COLUMNS", "crc32_of_id", "documents_input", "labelled_sample", "pieces",
-           "read_table", "run_folder", "ship_package", "written"]
+def labelled_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """(doc_id, text, y): one text for each id of `sample`, the least of those that repeat it.
+
+    So the learner's rows are as many as the sample's, however often an id
+    occurs; within a task only the least is kept before the shuffle.
+    """
+    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
+
+
+NULL_IDS = 1 << 62         # keys of rows without an id are from here up
+
+
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """The id, or for rows without one a hash of the text: a key that keeps such rows apart."""
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    return F.coalesce(F.col(f"`{id_col}`").cast("long"),
+                      F.xxhash64(text).bitwiseAND(F.lit(NULL_IDS - 1)).bitwiseOR(F.lit(NULL_IDS)))
+
+
+__all__ = ["DOCUMENT_COLUMNS", "crc32_of_id", "documents_input", "labelled_sample",
+           "labelled_texts", "pieces", "read_table", "row_key", "run_folder", "ship_package", "written"]

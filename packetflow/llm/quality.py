@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetflow.llm.common import (crc32_of_id, documents_input, labelled_sample, pieces,
-                                   read_table, ship_package)
+from packetflow.llm.common import (crc32_of_id, documents_input, labelled_sample, labelled_texts,
+                                   pieces, read_table, ship_package)
 
 SAMPLE_ROWS = 5_000        # labelled rows learned from, at most (by one task)
 EMBED, FILTERS, HIDDEN = 8, 16, 16
@@ -154,15 +154,14 @@ def _train_rows(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def fit(spark: SparkSession, docs: DataFrame, sample: DataFrame) -> Weights:
-    """Learn from the texts of `sample` (doc_id, y), at most SAMPLE_ROWS rows, in one task.
+    """Learn from the texts of `sample` (doc_id, y), at most SAMPLE_ROWS ids, in one task.
 
-    Without a labelled row every score is 0.5.
+    An id that repeats gives one text and one label (the least of each). Without a labelled row every score is 0.5.
     """
     ship_package(spark)
-    rows = (docs.join(F.broadcast(sample.dropDuplicates(["doc_id"])), "doc_id")
-            .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y",
-                    F.xxhash64(F.col("doc_id"), F.lit("quality-order")).alias("order"),
-                    F.lit(0).alias("learner")))
+    rows = labelled_texts(docs, sample).select(
+        "doc_id", "text", "y", F.xxhash64(F.col("doc_id"), F.lit("quality-order")).alias("order"),
+        F.lit(0).alias("learner"))
     learned = rows.groupBy("learner").applyInPandas(_train_rows, "name string, value array<float>")
     shapes = {k: v.shape for k, v in initial().items()}
     found = {r.name: np.array(r.value, np.float32).reshape(shapes[r.name]) for r in learned.collect()}
@@ -171,7 +170,13 @@ def fit(spark: SparkSession, docs: DataFrame, sample: DataFrame) -> Weights:
 
 def score(spark: SparkSession, docs: DataFrame, weights: Weights, *, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
-    """(doc_id, score) of every row; null texts count as empty ones, which are one chunk of zeros."""
+    """(doc_id, score) of every row; null texts count as empty ones, which are one chunk of zeros.
+
+    Each row is scored by itself: repeated rows get equal scores, null ids stay,
+    an empty table gives no rows, and columns besides id and text are left
+    behind, whatever their names. A text is scored whole, some chunks at a
+    time; a task holds one number a filter for each chunk of 64 texts.
+    """
     ship_package(spark)
     sent = spark.sparkContext.broadcast(weights)
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])

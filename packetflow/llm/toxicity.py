@@ -12,8 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetflow.llm.common import (crc32_of_id, documents_input, labelled_sample, pieces,
-                                   read_table, ship_package)
+from packetflow.llm.common import (crc32_of_id, documents_input, labelled_sample, labelled_texts,
+                                   pieces, read_table, ship_package)
 
 SAMPLE_ROWS = 16_000       # labelled rows learned from, at most (by one task)
 BITS = 20                  # of the feature space: bounds the model at 2**20 weights
@@ -93,18 +93,18 @@ class Model:
 
 
 def fit(spark: SparkSession, docs: DataFrame, sample: DataFrame) -> Model:
-    """Learn from the texts of `sample` (doc_id, y), a frame of at most SAMPLE_ROWS rows.
+    """Learn from the texts of `sample` (doc_id, y), a frame of at most SAMPLE_ROWS ids.
 
     The sample is learned from in one task, in the order of a hash of the id;
-    its size is bounded. Labelled ids without a document, and documents without
+    its size is bounded, as an id that repeats gives one text and one label
+    (the least of each). Labelled ids without a document, and documents without
     a label, play no part; with no labelled row at all the model is empty and
     every score is 0.5.
     """
     ship_package(spark)
     order = F.xxhash64(F.col("doc_id"), F.lit("toxic-order"))
-    rows = (docs.join(F.broadcast(sample.dropDuplicates(["doc_id"])), "doc_id")
-            .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y",
-                    order.alias("order"), F.lit(0).alias("learner")))
+    rows = labelled_texts(docs, sample).select(
+        "doc_id", "text", "y", order.alias("order"), F.lit(0).alias("learner"))
     model = rows.groupBy("learner").applyInPandas(
         _learn_rows, "feature long, weight double").toPandas()
     bias = model[model["feature"] < 0]
@@ -128,7 +128,13 @@ def scores_of(texts: list[str | None], dense: np.ndarray, bias: float) -> np.nda
 
 def score(spark: SparkSession, docs: DataFrame, model: Model, *, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
-    """(doc_id, score) of every row; null and empty texts get the intercept's score."""
+    """(doc_id, score) of every row; null and empty texts get the intercept's score.
+
+    Each row is scored by itself: repeated rows get equal scores, null ids stay,
+    an empty table gives no rows, and columns besides id and text are left
+    behind, whatever their names. A text is scored whole; a task holds some
+    forty bytes for each word of 256 texts.
+    """
     ship_package(spark)
     sent = spark.sparkContext.broadcast(model)
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])

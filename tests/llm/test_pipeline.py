@@ -95,3 +95,34 @@ def test_empty(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = written(spark, stage(spark, docs, SF_SMALL), "empty")
         assert docs.collect() == []
+
+
+def test_rows_without_an_id_are_documents_of_their_own(spark):
+    """Copies and leaks among them go one by one; clean ones stay."""
+    item = next(r.text for r in read_table(spark, SF_SMALL, "benchmark").collect() if len(r.text.split()) > 30)
+    with_id = "The ferry left at nine and nobody on the pier had thought to bring the blue umbrella along"
+    alone = "Seven lamps burned behind the bakery window while the old clock kept its own idea of time"
+    clean = [f"{w} " + " ".join(f"{w}{i}" for i in range(30)) for w in ("oak", "fern", "moss")]
+    rows = [(5, with_id), (None, with_id), (None, with_id), (None, alone), (None, alone), (None, item),
+            *((None, c) for c in clean)]
+    docs = spark.createDataFrame([(d, t, "en", "a", len(t)) for d, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    stages = dict(corpus_pipeline.STAGES)
+    one_each = written(spark, stages["near_dedup"](spark, docs, SF_SMALL), "null-ids")
+    assert Counter((r.doc_id, r.text) for r in one_each.collect()) == Counter(
+        [(5, with_id), (None, alone), (None, item), *((None, c) for c in clean)])
+    kept = stages["decontaminate"](spark, docs, SF_SMALL).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter(r for r in rows if r[1] != item)
+
+
+def test_an_id_that_repeats_is_one_labelled_row(spark):
+    from packetflow.llm.common import labelled_sample, labelled_texts
+    from pyspark.sql import functions as F
+    docs = spark.range(50_000).select(F.lit(3).cast("long").alias("doc_id"), F.concat(
+        F.lit("text "), F.col("id").cast("string")).alias("text")).union(
+        spark.createDataFrame([(4, None), (None, "x")], "doc_id long, text string"))
+    labels = spark.createDataFrame([(3, 1), (3, 0), (3, 1), (4, 1), (9, 0), (None, 1), (4, None)],
+                                   "doc_id long, toxic int")
+    sample = labelled_sample(labels, "toxic", F.lit(False), 10)
+    assert sorted(map(tuple, sample.collect())) == [(3, 0), (4, 1), (9, 0)]
+    assert sorted(map(tuple, labelled_texts(docs, sample).collect())) == [(3, "text 0", 0), (4, "", 1)]
