@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packetflow.llm import toxicity
-from packetflow.llm.common import DOCUMENT_COLUMNS, labelled_sample, read_table, written
+from packetflow.llm.common import DOCUMENT_COLUMNS, labelled_sample, read_table, row_key, written
 from packetflow.llm.decontaminate import find_leaks
 from packetflow.llm.mixing import mix, word_count
 from packetflow.llm.simhash import near_duplicates
@@ -30,24 +30,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document stays of each SimHash component: the one with the least id.
 
-    Rows that repeat both id and text are one document. Rows that share an id
-    but not the text stay or go together; null ids stay if any of them has no
-    near-duplicate with an id.
+    Rows that repeat both id and text are one document, and rows that share an
+    id but not the text stay or go together. Rows without an id are documents of
+    their own, one for each text; they stay only where their component has no id.
     """
-    docs = docs.select(*DOCUMENT_COLUMNS)
-    found = near_duplicates(spark, docs)
-    least = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    docs = docs.select(*DOCUMENT_COLUMNS).withColumn("key", row_key())
+    found = near_duplicates(spark, docs, id_col="key")
+    least = (found.where(F.col("doc_id") == F.col("component_id"))
              .select(F.col("doc_id").alias("kept")).distinct())
-    stay = docs.join(least, docs["doc_id"].eqNullSafe(least["kept"]), "left_semi")
-    return stay.dropDuplicates(["doc_id", "text"]).select(*DOCUMENT_COLUMNS)
+    stay = docs.join(least, docs["key"] == least["kept"], "left_semi")
+    return stay.dropDuplicates(["key", "text"]).select(*DOCUMENT_COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item stay; rows of one id stay or go together."""
-    docs = docs.select(*DOCUMENT_COLUMNS)
-    found = find_leaks(spark, docs, read_table(spark, sf_dir, "benchmark"))
+    """Documents that hold no benchmark item stay; rows of one id, or of one text without an id,
+    stay or go together."""
+    docs = docs.select(*DOCUMENT_COLUMNS).withColumn("key", row_key())
+    found = find_leaks(spark, docs, read_table(spark, sf_dir, "benchmark"), id_col="key")
     leaks = written(spark, found.select(F.col("doc_id").alias("leak")).distinct(), "leaks")
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["leak"]), "left_anti")
+    return docs.join(leaks, docs["key"] == leaks["leak"], "left_anti").select(*DOCUMENT_COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
