@@ -19,6 +19,7 @@ log = logging.getLogger(__name__)
 
 EPOCH_NTZ = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 # Charset names that need no setting of the session.
+UTF8_NAMES = {"utf-8", "utf8"}
 LATIN1_NAMES = {"iso-8859-1", "iso8859-1", "latin1", "latin-1"}
 
 
@@ -130,14 +131,19 @@ def jvm_charsets(spark: SparkSession):
                 spark.conf.set(k, v)
 
 
-def bytes_to_text(c, charset: str = DEFAULT_CHARSET) -> Column:
+def bytes_to_text(c, charset: str = DEFAULT_CHARSET, jvm: bool = False) -> Column:
     """Payload bytes -> text in a named charset of the JVM.
 
-    Malformed input becomes U+FFFD as the JVM places it, never an error, if the
-    frame is built inside `jvm_charsets` (ISO-8859-1 needs no setting). Raises
+    Malformed input becomes U+FFFD, never an error, if the frame is built
+    inside `jvm_charsets` (UTF-8 and ISO-8859-1 need no setting). With `jvm`,
+    which needs it for UTF-8 too, as many of them as the JVM puts: one for an
+    encoded surrogate, where Spark's own repair of UTF-8 puts three. Raises
     LookupError for an unknown charset (see `operators.messages`).
     """
-    if charset.lower() in LATIN1_NAMES:
+    name = charset.lower()
+    if name in UTF8_NAMES and not jvm:
+        return F.make_valid_utf8(_col(c).cast("string"))
+    if name in LATIN1_NAMES:
         return F.decode(_col(c), "ISO-8859-1")
     if not is_known_charset(charset):
         raise LookupError(f"unknown charset: {charset}")

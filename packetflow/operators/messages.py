@@ -60,7 +60,7 @@ def text_messages(packets: DataFrame, charset: str = DEFAULT_CHARSET, zone: str
             unsigned32(p["to"]).alias("to_node"),
             epoch_seconds_to_local(p["rx_time"], zone).alias("time"),
             p["channel"].alias("channel"),
-            bytes_to_text(p["payload"], charset).alias("text"),
+            bytes_to_text(p["payload"], charset, jvm=True).alias("text"),
             F.lit(job_id).alias("job_id"),
             *([F.col("timestamp").alias("record_time")] if record_time else []))
     if record_time:

@@ -48,6 +48,18 @@ def test_utf8_replaces_malformed_bytes(spark):
     assert one(spark, C.bytes_to_text("b"), "b binary", (bytearray(b"\xffA"),)) == "�A"
 
 
+@pytest.mark.parametrize("raw, text", [
+    (b"\xffA", "\ufffdA"), (b"A\xc4\x85", "A\u0105"),
+    (b"\xed\xa0\x80B", "\ufffdB"),             # an encoded surrogate: one, as the JVM
+    (b"\xf0\x9f\x92C", "\ufffdC"),             # cut short
+    (b"\xf0\x9f\x92\xa9", "\U0001f4a9"), (b"\xc0\x80", "\ufffd\ufffd"), (b"", "")])
+def test_utf8_as_the_jvm_reads_it(spark, raw, text):
+    jvm = spark.sparkContext._jvm
+    with C.jvm_charsets(spark):
+        got = one(spark, C.bytes_to_text("b", "utf-8", jvm=True), "b binary", (bytearray(raw),))
+    assert got == text == jvm.java.lang.String(raw, "UTF-8")
+
+
 def test_windows_1250(spark):
     with C.jvm_charsets(spark):
         assert one(spark, C.bytes_to_text("b", "windows-1250"), "b binary",

@@ -310,12 +310,11 @@ def test_listener_counts_each_batch_once_and_keeps_one_id():
 def test_two_replays_notify_each_message_once(spark, folder):
     from testbed.streams import TEXT_SPLIT, _replay_halves
     from packetflow.plans.jobs import run_text_job
-    from testbed import packets as X
     from testbed.descriptors import ENVELOPE, fixture_descriptor_set
     from tests.conftest import SF_SMALL
 
     sent, target = f"{folder}-sent", TableTarget(f"{folder}/text")
-    halves = list(_replay_halves(spark, X.conversation_packets(spark, SF_SMALL), folder, TEXT_SPLIT))
+    halves = list(_replay_halves(spark, SF_SMALL, "conversations", TEXT_SPLIT))
     for raw, run in ((halves[0], "one"), (halves[1], None), (halves[0], "one")):
         run_text_job(raw, target, f"{folder}/ck", fixture_descriptor_set(), ENVELOPE,
                      sender=FakeSender(sent), run_id=run)
