@@ -31,41 +31,56 @@ CACHE_PIECES = 120_000       # of a generation of tokenised units that a Python
 SHARD_SCHEMA = ("part int, seq int, part_start long, doc_ids array<long>, doc_tokens array<long>, "
                 "wavelet binary")
 _HEADER = struct.Struct("<4sBxxxQ")
-_MAGIC = b"WMX1"
+_MAGIC = b"WMX2"
 _BLOCK = 512                 # bits between two rank samples
+_RANK = np.dtype("<u4")      # of a rank sample: a text of 2 GB, Arrow's limit, has fewer ids
 
 
 class WaveletMatrix:
-    """Bit-planes of a sequence, most significant first, each stably sorted by the plane above."""
+    """Bit-planes of a sequence, most significant first, each stably sorted by the plane above.
 
-    def __init__(self, planes: list[np.ndarray], length: int):
-        self.planes, self.length = planes, length      # planes: packed, little bit order
-        self._ranks: list[np.ndarray] | None = None
-        self._zeros: list[int] | None = None
+    The file form is a header, the rank samples of every plane (the set bits
+    before every 512th bit, and in all) and the planes. Reading it copies
+    nothing: an access or a rank touches one sample and at most 64 bytes of
+    each plane.
+    """
+
+    def __init__(self, planes: list[np.ndarray], ranks: list[np.ndarray], length: int):
+        self.planes, self.ranks, self.length = planes, ranks, length      # packed, little bit order
+        self.zeros = [length - int(r[-1]) for r in ranks]
 
     @classmethod
     def build(cls, ids: np.ndarray) -> WaveletMatrix:
         ids = np.ascontiguousarray(ids)
         bits = max(int(ids.max()).bit_length(), 1) if len(ids) else 1
-        planes = []
+        planes, ranks = [], []
         for bit in range(bits - 1, -1, -1):
             one = ids & ids.dtype.type(1 << bit) != 0
+            ones = np.flatnonzero(one)
             planes.append(np.packbits(one, bitorder="little"))
-            ids = np.concatenate((ids.take(np.flatnonzero(~one)), ids.take(np.flatnonzero(one))))
-        return cls(planes, len(ids))
+            ranks.append(np.searchsorted(ones, cls._sampled(len(ids))).astype(_RANK))
+            ids = np.concatenate((ids.take(np.flatnonzero(~one)), ids.take(ones)))
+        return cls(planes, ranks, len(ids))
+
+    @staticmethod
+    def _sampled(length: int) -> np.ndarray:
+        """The positions before which set bits are counted: each block's start, and the end."""
+        return np.append(np.arange(0, length, _BLOCK), length)
 
     def to_bytes(self) -> bytes:
         return b"".join([_HEADER.pack(_MAGIC, len(self.planes), self.length),
-                         *(p.tobytes() for p in self.planes)])
+                         *(r.tobytes() for r in self.ranks), *(p.tobytes() for p in self.planes)])
 
     @classmethod
     def from_bytes(cls, data: bytes) -> WaveletMatrix:
         magic, bits, length = _HEADER.unpack_from(data)
-        if magic != _MAGIC or len(data) != _HEADER.size + bits * ((length + 7) // 8):
+        step, samples = (length + 7) // 8, -(-length // _BLOCK) + 1
+        start = _HEADER.size + bits * samples * _RANK.itemsize
+        if magic != _MAGIC or len(data) != start + bits * step:
             raise ValueError("not a wavelet matrix")
-        step = (length + 7) // 8
-        raw = np.frombuffer(data, np.uint8, offset=_HEADER.size)
-        return cls([raw[i * step:(i + 1) * step] for i in range(bits)], length)
+        ranks = np.frombuffer(data, _RANK, bits * samples, _HEADER.size).reshape(bits, samples)
+        planes = np.frombuffer(data, np.uint8, bits * step, start).reshape(bits, step)
+        return cls(list(planes), list(ranks), length)
 
     def decode(self) -> np.ndarray:
         """The whole sequence, rebuilt from the last plane up."""
@@ -81,22 +96,11 @@ class WaveletMatrix:
             values = above
         return values
 
-    # Rank samples are made when first needed: they follow from the planes.
-    def _index(self) -> None:
-        if self._ranks is None:
-            self._ranks, self._zeros = [], []
-            for plane in self.planes:
-                ones = np.bitwise_count(plane).astype(np.int64)
-                ones = np.add.reduceat(ones, np.arange(0, len(ones), _BLOCK // 8)) \
-                    if len(ones) else ones
-                self._ranks.append(np.concatenate(([0], np.cumsum(ones))))
-                self._zeros.append(self.length - int(self._ranks[-1][-1]))
-
     def _rank1(self, level: int, at: int) -> int:
         """Set bits of a plane before position `at`."""
         block = at // _BLOCK
         start, whole = block * _BLOCK // 8, at // 8
-        count = int(self._ranks[level][block])
+        count = int(self.ranks[level][block])
         count += int(np.bitwise_count(self.planes[level][start:whole]).sum())
         if at % 8:
             count += (int(self.planes[level][whole]) & ((1 << at % 8) - 1)).bit_count()
@@ -118,13 +122,12 @@ class WaveletMatrix:
         """The id at a position."""
         if not 0 <= at < self.length:
             raise IndexError(at)
-        self._index()
         value = 0
         for level, plane in enumerate(self.planes):
             one = int(plane[at // 8]) >> (at % 8) & 1
             value = value << 1 | one
             ones = self._rank1(level, at)
-            at = self._zeros[level] + ones if one else at - ones
+            at = self.zeros[level] + ones if one else at - ones
         return value
 
     def _range(self, value: int, end: int) -> tuple[int, int]:
@@ -133,14 +136,13 @@ class WaveletMatrix:
         for level in range(len(self.planes)):
             a, b = self._rank1(level, low), self._rank1(level, high)
             if value >> (len(self.planes) - 1 - level) & 1:
-                low, high = self._zeros[level] + a, self._zeros[level] + b
+                low, high = self.zeros[level] + a, self.zeros[level] + b
             else:
                 low, high = low - a, high - b
         return low, high
 
     def count(self, value: int, end: int | None = None) -> int:
         """Occurrences of an id before a position (rank)."""
-        self._index()
         if value < 0 or value >> len(self.planes):
             return 0
         low, high = self._range(value, self.length if end is None else end)
@@ -153,7 +155,7 @@ class WaveletMatrix:
         at = self._range(value, self.length)[0] + nth
         for level in range(len(self.planes) - 1, -1, -1):
             if value >> (len(self.planes) - 1 - level) & 1:
-                at = self._select(level, 1, at - self._zeros[level])
+                at = self._select(level, 1, at - self.zeros[level])
             else:
                 at = self._select(level, 0, at)
         return at
