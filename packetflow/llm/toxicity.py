@@ -119,10 +119,12 @@ def scores_of(texts: list[str | None], dense: np.ndarray, bias: float) -> np.nda
     owner = np.repeat(np.arange(len(texts)), [len(h) for h in hashes])
     total = np.full(len(texts), bias)
     flat = np.concatenate([*hashes, np.zeros(0, np.uint64)])
+    keys = []
     for found, of in grams(flat, owner):
         at = np.flatnonzero(dense[found])
-        key = np.unique((of[at].astype(np.int64) << BITS) | found[at].astype(np.int64))
-        np.add.at(total, key >> BITS, dense[key & ((1 << BITS) - 1)])
+        keys.append((of[at].astype(np.int64) << BITS) | found[at].astype(np.int64))
+    key = np.unique(np.concatenate(keys))      # also where grams of different kinds share a feature
+    np.add.at(total, key >> BITS, dense[key & ((1 << BITS) - 1)])
     return 1 / (1 + np.exp(-np.clip(total, -35, 35)))
 
 

@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pytest
@@ -34,6 +35,32 @@ def plain_leaks(docs, items):
     return out
 
 
+def plain_words(text):
+    return re.findall(r"[0-9a-z\x80-\U0010ffff]+", (text or "").lower())
+
+
+def plain_found(item, words):
+    """Whether a stretch of 1.5 item lengths, at any word, holds the item and its answer."""
+    n, here = len(item), set(words)
+    if sum(w in here for w in item) < 0.75 * n:
+        return False
+    length, answer = max(int(1.5 * n), n + 4), item[-8:]
+    for at in range(max(len(words) - length, 0) + 1):
+        part = words[at:at + length]
+        if sum(w in part for w in item) >= 0.75 * n and plain_subsequence(item, part) >= 0.75 * n \
+                and plain_subsequence(answer, part) >= 0.5 * len(answer):
+            return True
+    return False
+
+
+def test_query_equals_every_stretch_of_every_text(spark, tables):
+    docs, items = tables
+    words = {d: plain_words(t) for d, t in docs}
+    want = {(d, i) for i, t in items for d in words if plain_found(plain_words(t), words[d])}
+    got = {(r.doc_id, r.item_id) for r in op10_decontaminate(spark, SF_SMALL).collect()}
+    assert got == want and len(want) >= 3
+
+
 def test_common_subsequence():
     rng = np.random.default_rng(2)
     for _ in range(200):

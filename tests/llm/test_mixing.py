@@ -1,7 +1,10 @@
+import math
 import re
 from collections import defaultdict
 
 import pytest
+import regex
+import xxhash
 
 from packetflow.llm.common import read_table
 from packetflow.llm.mixing import SHARE, WEIGHTS, mix, op9_mix_sources
@@ -54,6 +57,37 @@ def test_targets_and_budgets(spark, bins):
     assert sorted(map(tuple, first)) == sorted(map(tuple, mix(spark, docs, bins=bins).collect()))
 
 
+def plain_copies(docs):
+    """(doc_id, size, copies): every source sorted as a whole by its exponential keys."""
+    sources, out = defaultdict(list), []
+    for d in docs:
+        text = d.text or ""
+        h = 42 if d.doc_id is None else xxhash.xxh64_intdigest(d.doc_id.to_bytes(8, "little", signed=True), 42)
+        h = h if d.text is None else xxhash.xxh64_intdigest(text.encode(), h)
+        h = xxhash.xxh64_intdigest((42).to_bytes(4, "little"), h)
+        u = ((h & (1 << 53) - 1) + 0.5) / (1 << 53)
+        plain = len(regex.sub(r"[^\p{L} \t\n\x0b\f\r]+", "", text))
+        weight = max((plain / max(len(text), 1)) ** 2, 0.05)
+        sources[d.source].append((-math.log(u) / weight, d.doc_id, len(re.findall(r"[^\x20\x09-\x0D]+", text))))
+    want = plain_targets({s: sum(n for *_, n in rows) for s, rows in sources.items()})
+    for source, rows in sources.items():
+        total = sum(n for *_, n in rows)
+        epochs = int(want[source] // total) if total else 0
+        budget, end = want[source] - epochs * total, 0
+        for _, doc, n in sorted(rows):
+            end += n
+            out.append((doc, n, epochs + (end - n / 2 <= budget)))
+    return sorted(out)
+
+
+def test_documents_chosen_equal_a_plain_sort(spark):
+    docs = read_table(spark, SF_ORACLE, "documents")
+    for bins in (4096, 3):
+        got = sorted((r.doc_id, r["size"], r.copies) for r in mix(spark, docs, bins=bins).collect())
+        want = plain_copies(docs.collect())
+        assert [(d, n, c * n) for d, n, c in got] == [(d, n, c * n) for d, n, c in want]
+
+
 def test_query_columns(spark):
     assert op9_mix_sources(spark, SF_ORACLE).dtypes[:5] == [
         ("doc_id", "bigint"), ("size", "bigint"), ("source_size", "bigint"),

@@ -25,6 +25,36 @@ def test_gradients_are_the_slopes_of_the_loss():
             assert (loss(up) - loss(down)) / 2e-4 == pytest.approx(found[k][at], abs=2e-3)
 
 
+def plain_probability(text, w):
+    """The network over one text, filter by filter and place by place."""
+    raw = (text or "").encode()
+    values = []                                    # of each chunk: every filter's largest output
+    for start in range(0, max(len(raw), 1), 512):
+        chunk = raw[start:start + 516].ljust(516, b"\0")
+        best = [0.0] * 16
+        for at in range(0, 512, 4):
+            seen = [float(v) for b in chunk[at:at + 8] for v in w["embed"][b]]
+            for f in range(16):
+                out = float(w["bias"][f])
+                out += sum(x * float(k) for x, k in zip(seen[:32], w["first"][:, f], strict=True))
+                out += sum(x * float(k) for x, k in zip(seen[32:], w["second"][:, f], strict=True))
+                best[f] = max(best[f], out)
+        values.append(best)
+    by_filter = list(zip(*values, strict=True))
+    found = [sum(v) / len(v) for v in by_filter] + [max(v) for v in by_filter] + [min(v) for v in by_filter]
+    hidden = [max(sum(x * float(k) for x, k in zip(found, w["dense"][:, i], strict=True))
+                  + float(w["dense_bias"][i]), 0.0) for i in range(16)]
+    logit = sum(h * float(k) for h, k in zip(hidden, w["out"], strict=True)) + float(w["out_bias"][0])
+    return 1 / (1 + np.exp(-logit))
+
+
+def test_forward_pass_equals_plain_loops():
+    rng = np.random.default_rng(9)
+    w = {k: v + rng.normal(0, 0.1, v.shape).astype(np.float32) for k, v in initial().items()}
+    texts = [None, "", "short", "x" * 512, "y" * 513, "Plain words of prose, some é and ñ. " * 40, "#!% " * 300]
+    assert probabilities(texts, w) == pytest.approx([plain_probability(t, w) for t in texts], abs=1e-5)
+
+
 def test_whole_texts_count():
     w = train(["fine words here. " * 9, "##!!##!! " * 9] * 40, [1, 0] * 40)
     good, bad, late = probabilities(["calm words flow. " * 20, "##!!##!! " * 20,
