@@ -1,7 +1,10 @@
 """Approximate nearest neighbours by inner product: stable projections in a kd-tree.
 
 Largest inner product becomes least distance by one more coordinate that gives
-all vectors the same length (and queries zero there). A few Gaussian (2-stable)
+vectors the same length (and queries zero there). Vectors are parted in shells
+of nearly equal length first, each with a tree of its own, so that few long
+vectors don't flatten the distances of all others; a query is scaled to the
+length of each shell, which changes no order. A few Gaussian (2-stable)
 projections of a vector keep its distances in this sense: for points at
 distance d, the squared projected distance over d**2 follows a chi-square law
 with as many degrees of freedom as projections. A kd-tree over the projected
@@ -9,9 +12,10 @@ points hands out leaves in order of their distance from the query; their
 vectors are verified by true inner products, until a point nearer than the
 k-th found so far would have shown up by then with probability `TAU`.
 
-On Spark the upper levels of the tree (fitted on a bounded sample) deal the
-vectors to cells. A query first visits its own cell, which bounds its k-th
-distance; then it visits just the cells for which the test still doesn't hold.
+On Spark the upper levels of the trees (fitted on a bounded sample) deal the
+vectors to cells. A query first visits its own cell and the nearest one of the
+largest shell, which bound its k-th distance; then it visits just the cells for
+which the test still doesn't hold.
 """
 
 from __future__ import annotations
@@ -29,9 +33,10 @@ from pyspark.sql import functions as F
 from packetflow.llm.common import pieces, read_table, ship_package, written
 
 PROJECTIONS = 8
-TAU = 0.98                 # probability at which the search stops
+TAU = 0.3                  # probability at which the search stops (README: recall and share visited)
 CELL_ROWS = 4_096          # vectors of a cell, about
-MAX_CELLS = 4_096          # the upper tree that is broadcast has no more leaves
+MAX_CELLS = 4_096          # the upper trees that are broadcast have no more leaves, and one a shell
+SHELLS = 2                 # shells of length each time that the squared length doubles
 SAMPLE_ROWS = 20_000       # vectors that the upper tree is fitted on
 GROUP_QUERIES = 8_192      # queries that visit a cell together
 LEAF_ROWS = 64
@@ -116,11 +121,95 @@ def lifted(vectors: np.ndarray, squared_length: float) -> np.ndarray:
     return np.concatenate((v, np.sqrt(rest)), axis=1)
 
 
+def shell_of(vectors: np.ndarray) -> np.ndarray:
+    """Numbers of the shells of length that vectors belong to; those without a finite one are in the last."""
+    squared = np.square(vectors.astype(np.float64)).sum(axis=1)
+    return shell_number(squared)
+
+
+def shell_number(squared: np.ndarray) -> np.ndarray:
+    mantissa, exponent = np.frexp(squared * 1.3)        # unit vectors lie inside a shell, not on its edge
+    part = np.floor((mantissa - 0.5) * 2 * SHELLS)
+    return np.where((squared > 0) & np.isfinite(squared), exponent * SHELLS + part, 1 << 20).astype(np.int64)
+
+
 def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Row by row, in double precision, the same for equal rows wherever they stand."""
     return (a.astype(np.float64) * b.astype(np.float64)).sum(axis=-1)
 
 
+def scaled(queries: np.ndarray, squared_length: float) -> tuple[np.ndarray, np.ndarray]:
+    """The factors that bring queries to this squared length, and the queries in that length.
+
+    Queries and vectors whose squared length is zero or infinite have the factor zero.
+    """
+    norms = np.square(queries).sum(axis=1)
+    factor = np.sqrt(np.divide(squared_length, norms, out=np.zeros(len(norms)), where=norms > 0))
+    factor[~np.isfinite(factor)] = 0
+    return factor, queries * factor[:, None]
+
+
+def reach(factor: np.ndarray, squared_length: float, kth: np.ndarray) -> np.ndarray:
+    """Squared distance, after scaling, of a vector whose inner product with the query is `kth`.
+
+    Without a k-th, or where the squares of lengths have no finite value, no distance is too far.
+    """
+    known = (kth > -np.inf) & (factor > 0)
+    away = 2 * (squared_length - np.where(known, kth, 0) * factor)
+    return np.where(known, np.maximum(away, 0), np.inf)
+
+
+class Forest:
+    """A tree for each shell of length; cells are numbered through all of them."""
+
+    def __init__(self, shells: list[tuple[int, int, float]], sample: np.ndarray, dims: int):
+        """`shells`: number, rows and largest squared length of each; `sample`: vectors of any shell."""
+        self.matrix = projection(dims)
+        self.numbers = np.array([s for s, _, _ in shells])
+        self.squared = [float(most) if math.isfinite(most) else 0.0 for _, _, most in shells]
+        self.main = int(np.argmax([n for _, n, _ in shells]))
+        total = sum(n for _, n, _ in shells)
+        at = shell_of(sample)
+        self.trees, self.offsets = [], [0]
+        for (number, n, _), squared in zip(shells, self.squared, strict=True):
+            wanted = min(n / CELL_ROWS, MAX_CELLS * n / total / 2)
+            cells = 1 << max(0, math.ceil(math.log2(max(wanted, 1))))
+            self.trees.append(Tree(lifted(sample[at == number], squared) @ self.matrix, cells))
+            self.offsets.append(self.offsets[-1] + cells)
+        self.cell_squared = np.repeat(self.squared, np.diff(self.offsets))
+
+    def cell_of(self, vectors: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(vectors), np.int64)
+        place = np.minimum(np.searchsorted(self.numbers, shell_of(vectors)), len(self.numbers) - 1)
+        for i in np.unique(place):
+            rows = np.flatnonzero(place == i)
+            points = lifted(vectors[rows], self.squared[i]) @ self.matrix
+            out[rows] = self.offsets[i] + self.trees[i].leaf_of(points)
+        return out
+
+    def first(self, queries: np.ndarray, home: np.ndarray) -> np.ndarray:
+        """Which cells each query visits first: its own, and the nearest of the largest shell."""
+        out = np.zeros((len(queries), self.offsets[-1]), bool)
+        rows = np.arange(len(queries))
+        out[rows, home] = True
+        _, q = scaled(queries, self.squared[self.main])
+        far = self.trees[self.main].distances(q @ self.matrix[:-1])
+        out[rows, self.offsets[self.main] + far.argmin(axis=1)] = True
+        return out
+
+    def open(self, queries: np.ndarray, kth: np.ndarray, stop: float) -> np.ndarray:
+        """Cells where a better vector than the k-th would lie near enough for the test to go on."""
+        out = []
+        lengths = np.sqrt(np.square(queries).sum(axis=1))
+        for tree, squared in zip(self.trees, self.squared, strict=True):
+            factor, q = scaled(queries, squared)
+            # No inner product exceeds the product of the lengths; the margin is for rounding.
+            beyond = (factor > 0) & (kth > lengths * math.sqrt(squared) * (1 + 1e-9))
+            far = tree.distances(q @ self.matrix[:-1])
+            out.append((far <= stop * reach(factor, squared, kth)[:, None]) & ~beyond[:, None])
+        return np.concatenate(out, axis=1)
+
+
 def search_group(queries: np.ndarray, query_ids: np.ndarray, bounds: np.ndarray,
                  vectors: np.ndarray, vec_ids: np.ndarray, squared_length: float,
                  k: int, stop: float) -> tuple[np.ndarray, np.ndarray]:
@@ -131,7 +220,8 @@ def search_group(queries: np.ndarray, query_ids: np.ndarray, bounds: np.ndarray,
     matrix = projection(queries.shape[1])
     points = lifted(vectors, squared_length) @ matrix
     q = queries.astype(np.float64)
-    at = q @ matrix[:-1]
+    factor, near_q = scaled(q, squared_length)
+    at = near_q @ matrix[:-1]
     leaves = 1 << max(0, math.ceil(math.log2(max(len(vectors) / LEAF_ROWS, 1))))
     tree = Tree(points, leaves)
     leaf = tree.leaf_of(points)
@@ -147,13 +237,12 @@ def search_group(queries: np.ndarray, query_ids: np.ndarray, bounds: np.ndarray,
     rows = np.full((len(q), k), -1)
     kth = bounds.astype(np.float64).copy()
     # The products below are summed in another order than the scores; this is more than they differ.
-    margin = 1e-12 * np.sqrt(norms * squared_length)
+    margin = np.where(factor > 0, 1e-12 * np.sqrt(norms) * math.sqrt(squared_length), np.inf)
     active = np.arange(len(q))
     for rank in range(leaves):
         # A point nearer than the k-th would be this far in projection with probability 1 - TAU.
-        radius = np.maximum(squared_length + norms[active] - 2 * kth[active], 0)
-        goes = far[active, order[active, rank]] <= stop * radius
-        active = active[goes | np.isinf(kth[active])]
+        radius = reach(factor[active], squared_length, kth[active])
+        active = active[far[active, order[active, rank]] <= stop * radius]
         if not len(active):
             break
         visited = order[active, rank]
@@ -186,7 +275,7 @@ def search_group(queries: np.ndarray, query_ids: np.ndarray, bounds: np.ndarray,
 RESULT = "query_id long, vec_id long, score double"
 
 
-def _search(squared_length: float, k: int, stop: float):
+def _search(k: int, stop: float):
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(
@@ -194,7 +283,8 @@ def _search(squared_length: float, k: int, stop: float):
         left = left.sort_values("query_id")
         q, v = np.stack(left["v"].to_numpy()), np.stack(right["v"].to_numpy())
         query_ids, vec_ids = left["query_id"].to_numpy(), right["vec_id"].to_numpy()
-        a, b = search_group(q, query_ids, left["bound"].to_numpy(), v, vec_ids, squared_length, k, stop)
+        a, b = search_group(q, query_ids, left["bound"].to_numpy(), v, vec_ids,
+                            float(right["squared"].iloc[0]), k, stop)
         return pd.DataFrame({"query_id": query_ids[a], "vec_id": vec_ids[b],
                              "score": inner(q[a], v[b])})
     return run
@@ -214,41 +304,55 @@ def nearest(spark: SparkSession, vectors: DataFrame, is_query: Column, *, id_col
     non-finite components, take no part. Vectors with different numbers of
     components are searched apart; a query with fewer than k candidates gets
     all; rows that repeat an id are one vector (the least of them). An empty
-    table gives no rows.
+    table gives no rows. Vectors whose squared length is no positive finite
+    double are verified without the test. Other columns are not read.
 
     Cells with too many vectors (equal ones cannot be cut apart) or visited by
     too many queries are split by a hash of either side, so no group outgrows
     CELL_ROWS vectors and GROUP_QUERIES queries by much. The driver sees the
-    sample, and one count a cell.
+    sample, and one count a shell and a cell.
     """
     ship_package(spark)
     rows = (vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"),
                            F.col(f"`{vector_col}`").cast("array<double>").alias("v"))
             .where(F.col("vec_id").isNotNull() & usable(F.col("v"))))
     rows = rows.groupBy("vec_id").agg(F.min("v").alias("v"))
-    shapes = rows.groupBy(F.size("v").alias("dims")).agg(
-        F.count("*").alias("n"), F.max(F.expr("aggregate(v, 0D, (a, x) -> a + x * x)")).alias("most"))
-    found = [_nearest_of(spark, rows.where(F.size("v") == s.dims), is_query, s.dims, s.n,
-                         float(s.most), k, tau)
-             for s in sorted(shapes.collect())]
+    shapes = sorted(r.dims for r in rows.select(F.size("v").alias("dims")).distinct().collect())
+    found = [_nearest_of(spark, rows.where(F.size("v") == dims), is_query, dims, k, tau) for dims in shapes]
     if not found:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     return reduce(DataFrame.unionByName, found)
 
 
-def _nearest_of(spark: SparkSession, rows: DataFrame, is_query: Column, dims: int, total: int,
-                squared: float, k: int, tau: float) -> DataFrame:
-    """`nearest` among `total` rows (vec_id, v) of `dims` components; the longest's square is `squared`."""
-    matrix = projection(dims)
+def _shells(rows: DataFrame, dims: int) -> list[tuple[int, int, float]]:
+    """Number, rows and largest squared length of each shell (as many as lengths of doubles allow, at most)."""
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            squared = np.square(_matrix(batch.column("v"), dims)).sum(axis=1)
+            shell = shell_number(squared)
+            numbers, place = np.unique(shell, return_inverse=True)
+            most = np.zeros(len(numbers))
+            np.maximum.at(most, place, squared)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(numbers), pa.array(np.bincount(place, minlength=len(numbers)).astype(np.int64)),
+                 pa.array(most)], names=["shell", "n", "most"])
+
+    found = rows.select("v").mapInArrow(measure, "shell long, n long, most double")
+    return [tuple(r) for r in found.groupBy("shell").agg(
+        F.sum("n").alias("n"), F.max("most").alias("most")).orderBy("shell").collect()]
+
+
+def _nearest_of(spark: SparkSession, rows: DataFrame, is_query: Column, dims: int, k: int,
+                tau: float) -> DataFrame:
+    """`nearest` among rows (vec_id, v) of `dims` components."""
     sample = rows.orderBy(F.xxhash64("vec_id", F.lit(SEED)), "vec_id").limit(SAMPLE_ROWS).select("v")
     fitted = np.array([r.v for r in sample.collect()]).reshape(-1, dims)
-    cells = min(MAX_CELLS, 1 << max(0, math.ceil(math.log2(max(total / CELL_ROWS, 1)))))
-    tree = Tree(lifted(fitted, squared) @ matrix, cells)
-    sent = spark.sparkContext.broadcast(tree)
+    forest = Forest(_shells(rows, dims), fitted, dims)
+    sent = spark.sparkContext.broadcast(forest)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 4096):
-            cell = sent.value.leaf_of(lifted(_matrix(batch.column("v"), dims), squared) @ matrix)
+            cell = sent.value.cell_of(_matrix(batch.column("v"), dims))
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("v"),
                                               pa.array(cell, pa.int32())], names=["vec_id", "v", "cell"])
 
@@ -263,15 +367,10 @@ def _nearest_of(spark: SparkSession, rows: DataFrame, is_query: Column, dims: in
                 if not batch.num_rows:
                     continue
                 q = _matrix(batch.column("v"), dims)
-                bound = batch.column("bound").to_numpy(zero_copy_only=False)
-                home = batch.column("cell").to_numpy(zero_copy_only=False)
-                far = sent.value.distances(q @ matrix[:-1])
-                radius = np.maximum(squared + np.square(q).sum(axis=1) - 2 * bound, 0)
-                goes = far <= stop * radius[:, None]
-                goes[np.arange(len(q)), home] = first
-                if first:
-                    goes[:] = False
-                    goes[np.arange(len(q)), home] = True
+                goes = sent.value.first(q, batch.column("cell").to_numpy(zero_copy_only=False))
+                if not first:
+                    bound = batch.column("bound").to_numpy(zero_copy_only=False)
+                    goes = sent.value.open(q, bound, stop) & ~goes
                 who, cell = np.nonzero(goes)
                 at = pa.array(who)
                 yield pa.RecordBatch.from_arrays(
@@ -283,11 +382,11 @@ def _nearest_of(spark: SparkSession, rows: DataFrame, is_query: Column, dims: in
     def searched(asking: DataFrame, first: bool, name: str) -> DataFrame:
         going = written(spark, asking.mapInArrow(visits(first), schema), f"{name}-visits")
         waiting = {r.cell: r["count"] for r in going.groupBy("cell").count().collect()}
-        plan = [(c, -(-n // CELL_ROWS), -(-waiting[c] // GROUP_QUERIES))
+        plan = [(c, -(-n // CELL_ROWS), -(-waiting[c] // GROUP_QUERIES), float(forest.cell_squared[c]))
                 for c, n in sizes.items() if c in waiting]
         if not plan:
             return spark.createDataFrame([], RESULT)
-        parts = F.broadcast(spark.createDataFrame(plan, "cell int, vector_parts int, query_parts int"))
+        parts = F.broadcast(spark.createDataFrame(plan, "cell int, vector_parts int, query_parts int, squared double"))
         left = (going.join(parts, "cell")
                 .withColumn("q", F.pmod(F.xxhash64("query_id"), F.col("query_parts")))
                 .withColumn("p", F.explode(F.expr("sequence(0L, vector_parts - 1L)")))
@@ -295,9 +394,9 @@ def _nearest_of(spark: SparkSession, rows: DataFrame, is_query: Column, dims: in
         right = (dealt.join(parts, "cell")
                  .withColumn("p", F.pmod(F.xxhash64("vec_id"), F.col("vector_parts")))
                  .withColumn("q", F.explode(F.expr("sequence(0L, query_parts - 1L)")))
-                 .select("cell", "p", "q", "vec_id", "v"))
+                 .select("cell", "p", "q", "vec_id", "v", "squared"))
         found = (left.groupBy("cell", "p", "q").cogroup(right.groupBy("cell", "p", "q"))
-                 .applyInPandas(_search(squared, k, stop), RESULT))
+                 .applyInPandas(_search(k, stop), RESULT))
         return written(spark, found, name)
 
     asking = dealt.where(is_query).select(F.col("vec_id").alias("query_id"), "v",

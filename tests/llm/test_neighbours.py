@@ -112,3 +112,46 @@ def test_lengths_are_searched_apart_and_the_least_of_repeated_ids_counts(spark):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = result(nearest(spark, frame, F.col("vec_id") % 20 == 0))
     assert got == {0: [(1, 2.0), (5, 0.5)], 20: [(2, 3.0)]}
+
+
+def visited(x, tau, k=20):
+    """Share of the cells that queries visit, by the operator's own forest."""
+    sh, squared = neighbours.shell_of(x), np.square(x).sum(axis=1)
+    shells = [(int(s), int((sh == s).sum()), float(squared[sh == s].max())) for s in np.unique(sh)]
+    forest = neighbours.Forest(shells, x, x.shape[1])
+    cell, q = forest.cell_of(x), x[::20]
+    first = forest.first(q, cell[::20])
+    score = np.where(first[:, cell], q @ x.T, -np.inf)
+    kth = np.sort(score, axis=1)[:, -k - 1]
+    return (forest.open(q, kth, chi_square_quantile(tau, neighbours.PROJECTIONS)) | first).mean()
+
+
+def test_the_stop_leaves_cells_out_of_clustered_vectors_also_with_an_outlier(monkeypatch):
+    monkeypatch.setattr(neighbours, "CELL_ROWS", 100)
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((50, 32))[rng.integers(0, 50, 4000)] + rng.standard_normal((4000, 32)) * 0.2
+    share = visited(x, neighbours.TAU)
+    assert share < 0.7
+    x[5] *= 20
+    assert visited(x, neighbours.TAU) < share + 0.05
+
+
+def test_shells_hold_vectors_of_nearly_equal_length():
+    lengths = np.exp(np.random.default_rng(2).uniform(-600, 600, 2000))
+    shells = neighbours.shell_number(np.square(lengths))
+    odd = shells == 1 << 20
+    assert (odd == ~((np.square(lengths) > 0) & np.isfinite(np.square(lengths)))).all() and odd.any()
+    for s in np.unique(shells[~odd]):
+        assert np.ptp(np.log(lengths[shells == s])) <= math.log(1.5) / 2 + 1e-9
+    assert len(set(neighbours.shell_number(np.array([1 - 1e-7, 1.0, 1 + 1e-7])))) == 1
+
+
+def test_lengths_without_finite_squares_are_searched_whole(spark):
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((60, 4))
+    x[20:40] *= 1e-170                       # squares vanish
+    x[40:] *= 1e160                          # squares overflow
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = result(nearest(spark, frame, F.col("vec_id").isin(0, 20), k=5))
+    assert got == plain(rows, [0, 20], 5)
