@@ -65,6 +65,25 @@ def labelled_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
     return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
 
 
+HOT_ROWS = 256             # a key with fewer rows is never hot
+HOT_SHARE = 1 << 15        # nor one with a lesser part of all rows than this
+
+
+def join_counted(rows: DataFrame, table: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
+    """`rows` joined with `table` on `keys`, where a key with very many rows doesn't meet in one task.
+
+    `table` has one row a key, and in its column `count` how many of the `total`
+    rows have that key. Keys with over a 2^15th of all rows, of which there can
+    be 2^15 at most, are broadcast; the others are shuffled. `count` is dropped;
+    null keys join nothing. `table`'s rows should be small, since they are sent.
+    """
+    least = max(HOT_ROWS, total // HOT_SHARE)
+    hot = F.broadcast(table.where(F.col(count) > least).drop(count))
+    cold = table.where(F.col(count) <= least).drop(count)
+    dealt = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys)
+    return rows.join(hot, keys).unionByName(dealt)
+
+
 NULL_IDS = 1 << 62         # keys of rows without an id are from here up
 
 
@@ -75,5 +94,5 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
                       F.xxhash64(text).bitwiseAND(F.lit(NULL_IDS - 1)).bitwiseOR(F.lit(NULL_IDS)))
 
 
-__all__ = ["DOCUMENT_COLUMNS", "crc32_of_id", "documents_input", "labelled_sample",
+__all__ = ["DOCUMENT_COLUMNS", "crc32_of_id", "documents_input", "join_counted", "labelled_sample",
            "labelled_texts", "pieces", "read_table", "row_key", "run_folder", "ship_package", "written"]

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetflow.llm.common import documents_input, pieces, read_table, ship_package, written
+from packetflow.llm.common import documents_input, join_counted, pieces, read_table, ship_package, written
 from packetflow.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -163,18 +163,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_
     zero and are linked like any other. Repeated rows each get their row. Null
     ids get the component of their fingerprint; an empty table gives no rows.
     Only distinct fingerprints are replicated and compared, so a group of
-    copies costs one row, and every cell gives star links, not all pairs.
+    copies costs one row, and every cell gives star links, not all pairs. The
+    components of frequent fingerprints are broadcast to their rows.
     """
     ship_package(spark)
     prints = written(spark, documents_input(docs, id_col, text_col).mapInArrow(
         _fingerprint_batches(words), "doc_id long, fp long"), "simhash")
-    distinct = written(spark, prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-fps")
+    distinct = written(spark, prints.groupBy("fp").agg(
+        F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "simhash-fps")
     least = components(spark, fingerprint_links(distinct, max_bits))
-    classes = (distinct.join(least, distinct["fp"] == least["node"], "left")
-               .select("fp", "rep", F.coalesce("least", "fp").alias("least")))
-    ids = classes.groupBy("least").agg(F.min("rep").alias("component_id"))
-    members = classes.select("fp", "least").join(ids, "least").select("fp", "component_id")
-    return prints.join(members, "fp").select("doc_id", "fp", "component_id")
+    classes = written(spark, distinct.join(least, distinct["fp"] == least["node"], "left")
+                      .select("fp", "rep", "copies", F.coalesce("least", "fp").alias("least")),
+                      "simhash-classes")
+    ids = classes.groupBy("least").agg(F.min("rep").alias("component_id"), F.count("*").alias("kinds"))
+    members = written(spark, join_counted(classes.select("fp", "copies", "least"), ids, ["least"], "kinds",
+                                          classes.count())
+                      .select("fp", "copies", "component_id"), "simhash-components")
+    return join_counted(prints, members, ["fp"], "copies", prints.count()).select(
+        "doc_id", "fp", "component_id")
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
