@@ -21,13 +21,15 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetflow.llm.common import documents_input, pieces, read_table, ship_package, written
+from packetflow.llm import common
+from packetflow.llm.common import documents_input, join_counted, pieces, read_table, ship_package, written
 
 LENGTH = 200               # bytes of a window
 GRAM = 64                  # bytes whose hashes choose the minimizer
 SHALLOW = 32               # depth of the multikey sort
 HOT_RUNS = 4_096           # different runs of one minimizer that are sorted in one task
 CHUNK_BYTES = 1 << 20      # run texts sorted at a time; some fifty bytes are held for each
+PARTS = 32                 # tasks that the copies of a frequent text are dealt to
 COMPARED = 4_096           # windows that are compared at a time
 
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
@@ -314,7 +316,8 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_i
     of one id don't mix.
 
     Equal runs are counted before the shuffle, and only one text of each is
-    ever fetched, so a passage in a third of all documents is one row. A
+    ever fetched. What is found out about a passage in very many documents is
+    broadcast to its runs, and copies of one text are dealt to PARTS tasks. A
     minimizer with very many different runs is not sorted in one task: its
     windows are dealt singly, by their own 128-bit hashes.
     """
@@ -328,8 +331,8 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_i
     per_v = (runs.groupBy("v").agg(F.count("*").alias("many"), F.min("r").alias("r1"),
                                    F.max("r").alias("r2"), F.max("own").alias("within"))
              .where("many > 1 OR within > 0")
-             .select("v", ((F.col("r1") != F.col("r2")) | (F.col("within") > 0)).alias("mixed")))
-    shared = written(spark, runs.join(per_v, "v"), "shared-runs")
+             .select("v", "many", ((F.col("r1") != F.col("r2")) | (F.col("within") > 0)).alias("mixed")))
+    shared = written(spark, join_counted(runs, per_v, ["v"], "many", runs.count()), "shared-runs")
     kinds = written(spark, shared.groupBy("v", "r").agg(
         F.count("*").alias("copies"), F.max("mixed").alias("mixed"),
         F.min(F.struct("doc_id", "t", "n", "a", "b")).alias("one")), "run-kinds")
@@ -354,14 +357,25 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_i
     dealt = windows.join(again, "w").select("v", "r", "low", F.col("low").alias("high"))
     # Runs that occur more than once are repeated as a whole; the others where the sorting says so.
     whole = kinds.where("copies > 1").select(
-        "v", "r", F.lit(0).cast("long").alias("low"), (F.col("one.b") - F.col("one.a")).alias("high"))
+        "v", "r", F.lit(0).cast("long").alias("low"), (F.col("one.b") - F.col("one.a")).alias("high"), "copies")
     once = kinds.where("copies = 1 AND mixed").select("v", "r")
-    partly = sort.unionByName(dealt).join(once, ["v", "r"], "left_semi")
-    stretches = (shared.join(whole.unionByName(partly), ["v", "r"])
+    partly = (sort.unionByName(dealt).join(once, ["v", "r"], "left_semi")
+              .withColumn("copies", F.lit(1).cast("long")))
+    stretches = (join_counted(shared, whole.unionByName(partly), ["v", "r"], "copies", shared.count())
                  .select("t", "n", (F.col("a") + F.col("low")).alias("low"),
                          (F.col("a") + F.col("high")).alias("high")).distinct())
     gone = stretches.groupBy("t", "n").agg(F.collect_list(F.struct("low", "high")).alias("gone"))
-    return texts.join(gone, ["t", "n"], "left").select("doc_id", "z", "gone").mapInArrow(
+    # Frequent texts are dealt by input partition too, and their stretches copied to each part.
+    counts = rows.groupBy("t").agg(F.count("*").alias("same"))
+    many = F.broadcast(written(spark, counts.where(
+        F.col("same") > max(common.HOT_ROWS, rows.count() // common.HOT_SHARE)).select(
+        "t", F.lit(PARTS - 1).alias("parts")), "frequent-texts"))
+    split = F.coalesce("parts", F.lit(0))
+    texts = (texts.join(many, "t", "left")
+             .withColumn("part", F.pmod(F.spark_partition_id(), split + 1)).drop("parts"))
+    gone = (gone.join(many, "t", "left")
+            .withColumn("part", F.explode(F.sequence(F.lit(0), split))).drop("parts"))
+    return texts.join(gone, ["t", "n", "part"], "left").select("doc_id", "z", "gone").mapInArrow(
         _remove_batches(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 

@@ -5,7 +5,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from packetflow.llm import suffixes
+from packetflow.llm import common, suffixes
 from packetflow.llm.common import read_table
 from packetflow.llm.suffixes import BlindTrie, op2_suffix_dedup, remove_repeats, repeated_windows, runs_of
 from tests.conftest import SF_ORACLE
@@ -89,3 +89,11 @@ def test_hot_minimizers_are_dealt_by_window(spark, monkeypatch):
     rows = [(i, t) for i, t in enumerate(edge_texts())]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert result(remove_repeats(spark, docs, length=40, gram=12)) == plain(rows, 40)
+
+
+def test_where_every_passage_and_text_is_hot(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 0)
+    texts = edge_texts() + [edge_texts()[0]] * 40
+    rows = [(i, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    assert result(remove_repeats(spark, docs, length=40, gram=12)) == plain(rows, 40)
