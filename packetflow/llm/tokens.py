@@ -13,6 +13,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,8 @@ from packetflow.llm.common import (documents_input, pieces, read_table, run_fold
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 SHARD_TOKENS = 1 << 18       # a shard is closed once it holds as many ids
-CHUNK_CHARS = 1 << 20        # texts that are split together
+CHUNK_CHARS = 1 << 22        # texts whose units are numbered together
+SPLIT_BYTES = 1 << 20        # texts that are split together
 CACHE_PIECES = 120_000       # of a generation of tokenised units that a Python worker keeps
 
 SHARD_SCHEMA = ("part int, seq int, part_start long, doc_ids array<long>, doc_tokens array<long>, "
@@ -205,7 +207,10 @@ class PieceEncoder:
         self.wide = self.tokenizer.get_vocab_size() > 65536
         self.dtype = np.dtype("<u4" if self.wide else "<u2")
         level = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.alphabet = {at: level.pre_tokenize_str(chr(at))[0][0] for at in range(0x80, 0x250)}
+        self.alphabet = np.zeros((256, 2), np.uint8)      # of bytes from 0x80: their letter, in UTF-8
+        for c in map(chr, range(0x80, 0x250)):
+            for byte, letter in zip(c.encode(), level.pre_tokenize_str(c)[0][0], strict=True):
+                self.alphabet[byte] = list(letter.encode())
         self.raw = [i.to_bytes(self.dtype.itemsize, "little")
                     for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
         self.cache: dict[str, bytes] = {}
@@ -215,32 +220,44 @@ class PieceEncoder:
         return [np.array(e.ids, self.dtype).tobytes() for e in
                 self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
-    def _encode_word(self, word: str) -> bytes:
-        """A word of lower-case letters below U+0250, by the tokenizer's model."""
-        if not word.isascii():
-            word = word.translate(self.alphabet)
-        raw = self.raw
-        return b"".join([raw[t.id] for t in self.model.tokenize(word)])
+    def _in_alphabet(self, words: list[str]) -> list[str]:
+        """Words in the model's byte alphabet, all of them mapped together."""
+        joined = " ".join(words)
+        if joined.isascii():
+            return words
+        raw = np.frombuffer(joined.encode(), np.uint8)
+        high = np.flatnonzero(raw >= 0x80)
+        mapped = np.empty(len(raw) + len(high), np.uint8)
+        size = (raw >= 0x80).astype(np.int64) + 1
+        at = np.cumsum(size) - size
+        mapped[at] = raw
+        mapped[at[high]], mapped[at[high] + 1] = self.alphabet[raw[high]].T
+        return mapped.tobytes().decode().split(" ")
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Words of lower-case letters below U+0250, by the tokenizer's model."""
+        raw, tokenize = self.raw, self.model.tokenize
+        return [b"".join([raw[t.id] for t in tokenize(word)]) for word in self._in_alphabet(words)]
 
     def _known(self, units: list[str]) -> list[bytes]:
         """The ids of each word, run of signs or other piece; new ones are learned."""
         if len(self.cache) > CACHE_PIECES:
             self.cache, self.older = {}, self.cache
-        ids = list(map(self.cache.get, units))
-        older, others = self.older, []
-        for i, found in enumerate(ids):
-            if found is None:
-                unit = units[i]
-                found = older.get(unit)
-                if found is None:
-                    if unit.islower() and unit.isalpha() and (unit.isascii() or not _ODD.search(unit)):
-                        found = self._encode_word(unit)
-                    else:
-                        others.append(i)
-                        continue
-                ids[i] = self.cache[unit] = found
-        for i, found in zip(others, self._encode([units[i] for i in others]), strict=True):
-            ids[i] = self.cache[units[i]] = found
+        cache, older = self.cache, self.older
+        ids = list(map(cache.get, units))
+        words, others = {}, {}
+        for i in [i for i, found in enumerate(ids) if found is None]:
+            unit = units[i]
+            found = older.get(unit)
+            if found is not None:
+                ids[i] = cache[unit] = found
+            elif unit.islower() and unit.isalpha() and (unit.isascii() or not _ODD.search(unit)):
+                words[i] = unit
+            else:
+                others[i] = unit
+        for new, encode in ((words, self._encode_words), (others, self._encode)):
+            for (i, unit), found in zip(new.items(), encode(list(new.values())), strict=True):
+                ids[i] = cache[unit] = found
         return ids
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
@@ -258,23 +275,26 @@ class PieceEncoder:
                     text = text.replace("\x85", " ").replace("\xa0", " ")
                 plain.append(i)
                 data.append(text.encode())
-        if not plain:
+        group = np.cumsum([len(d) for d in data], dtype=np.int64) // SPLIT_BYTES
+        bounds = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(data)] if data else []
+        split = [(s, *_split(data[s:e])) for s, e in pairwise(bounds)]
+        split = [x for x in split if len(x[1])]           # texts of white space alone have no ids
+        if not split:
             return out
-        units, counts = _split(data)
-        coded = units.dictionary_encode()
-        raw = self._known(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
-        step = self.dtype.itemsize
-        size = np.fromiter(map(len, raw), np.int32, len(raw)) // np.int32(step)
-        begin, at = np.cumsum(size, dtype=np.int32) - size, coded.indices.to_numpy()
-        each = size[at]
-        ends = np.cumsum(each, dtype=np.int32)
-        flat = np.frombuffer(b"".join(raw), self.dtype)
-        place = np.repeat(begin[at] - (ends - each), each)
-        place += np.arange(len(place), dtype=np.int32)
-        ids = flat[place]
-        last = np.concatenate(([0], ends))[np.cumsum(counts)]
-        for i, s, e in zip(plain, [0, *last.tolist()], last.tolist(), strict=False):
-            out[i] = ids[s:e]
+        coded = pa.chunked_array([units for _, units, _ in split]).dictionary_encode()
+        raw = self._known(coded.chunk(0).dictionary.to_numpy(zero_copy_only=False).tolist())
+        size = np.fromiter(map(len, raw), np.int32, len(raw)) // np.int32(self.dtype.itemsize)
+        begin, flat = np.cumsum(size, dtype=np.int32) - size, np.frombuffer(b"".join(raw), self.dtype)
+        for (first, _, counts), numbers in zip(split, coded.chunks, strict=True):
+            at = numbers.indices.to_numpy()
+            each = size[at]
+            ends = np.cumsum(each, dtype=np.int32)
+            place = np.repeat(begin[at] - (ends - each), each)
+            place += np.arange(len(place), dtype=np.int32)
+            ids = flat[place]
+            last = np.concatenate(([0], ends))[np.cumsum(counts)].tolist()
+            for i, s, e in zip(plain[first:], [0, *last], last, strict=False):
+                out[i] = ids[s:e]
         return out
 
 
@@ -292,29 +312,33 @@ def _split(texts: list[bytes]) -> tuple[pa.StringArray, np.ndarray]:
     A piece between ASCII white space that is letters followed by signs is two
     units; any other is one.
     """
-    raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    kind = _KIND[raw]
+    joined = b"\n".join(texts) + b"\n"
+    raw = np.frombuffer(joined, np.uint8)
+    kind = np.frombuffer(bytearray(joined).translate(_KIND.tobytes()), np.uint8)
     product = np.flatnonzero(raw[:-1] == 0xC3)
     kind[product[(raw[product + 1] == 0x97) | (raw[product + 1] == 0xB7)]] = 0       # no letters
-    white = kind == _WHITE
-    blanks = np.flatnonzero(white)
-    before = np.concatenate(([-1], blanks[:-1]))
-    ends = np.flatnonzero(blanks - before > 1)          # blanks that end a piece
-    begin, end = before[ends] + 1, blanks[ends]
+    marks = np.flatnonzero(kind != _LETTER)
+    is_white, is_sign = kind[marks] == _WHITE, kind[marks] == _SIGN
+    blanks = marks.take(np.flatnonzero(is_white))
+    ending = np.flatnonzero(np.diff(blanks, prepend=-1) > 1)      # blanks that end a piece
     # Runs of signs that end a piece, with letters alone before them in it.
-    signs = np.flatnonzero(kind == _SIGN)
-    fresh = np.diff(signs, prepend=-2) > 1
-    first, stop = signs[fresh], signs[np.concatenate((fresh[1:], [True]))[:len(signs)]] + 1
-    piece = np.minimum(np.searchsorted(end, stop), len(end) - 1)
-    closes = (end[piece] == stop) & (first > begin[piece]) if len(end) else np.zeros(0, bool)
-    first, piece = first[closes], piece[closes]
-    strange = np.flatnonzero(~white & (kind != _LETTER))
-    plain = np.searchsorted(strange, first) == np.searchsorted(strange, begin[piece])
-    first, piece = first[plain], piece[plain]
-    offsets = np.sort(np.concatenate(([0], end - ends, first - ends[piece]))).astype(np.int32)
-    units = pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(raw[~white]))
-    last = np.sort(np.concatenate((end, first)))
-    return units, np.diff(np.searchsorted(last, np.cumsum([len(t) + 1 for t in texts])), prepend=0)
+    together = (np.diff(marks) == 1) & is_sign[1:] & is_sign[:-1]
+    first = np.flatnonzero(is_sign & ~np.concatenate(([False], together)))
+    final = np.flatnonzero(is_sign & ~np.concatenate((together, [False])))
+    gap = marks[first] - np.where(first, marks[first - 1], -1)
+    splits = (kind[marks[final] + 1] == _WHITE) & (gap > 1) & (is_white[first - 1] | (first == 0))
+    first = first[splits]
+    # Where units end in the bytes that are not white.
+    closes = np.zeros(len(raw) - len(blanks) + 1, bool)
+    closes[blanks[ending] - ending] = True
+    closes[marks[first] - np.cumsum(is_white)[first]] = True
+    last = np.flatnonzero(closes)
+    units = pa.StringArray.from_buffers(
+        len(last), pa.py_buffer(np.concatenate(([0], last)).astype(np.int32)),
+        pa.py_buffer(raw.take(np.flatnonzero(kind != _WHITE))))
+    stops = np.cumsum([len(t) + 1 for t in texts]) - 1
+    stops -= np.searchsorted(blanks, stops)
+    return units, np.diff(np.searchsorted(last, stops, side="right"), prepend=0)
 
 
 def _by_size(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
@@ -367,6 +391,7 @@ def _shard_batches(tokenizer: str, end_id: int, shard_tokens: int):
                     seq, start, held, ids, docs, counts = seq + 1, start + held, 0, [], [], []
         if docs:
             yield shard()
+        pa.default_memory_pool().release_unused()         # the worker stays, beside other stages
     return run
 
 

@@ -1,13 +1,15 @@
+import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from packetflow.llm.common import read_table, run_folder
-from packetflow.llm.tokens import (PieceEncoder, WaveletMatrix, occurrences, op3_token_ids,
-                                   read_documents, write_shards)
+from packetflow.llm.tokens import (PieceEncoder, WaveletMatrix, _by_size, _split, occurrences,
+                                   op3_token_ids, read_documents, write_shards)
 from tests.conftest import SF_SMALL
 
 TEXTS = [None, "", " ", "\n\n", "Hello, world!! it's 3<|endoftext|>x", "a b c\x1cd",
@@ -51,6 +53,41 @@ def test_small_cache_gives_the_same(monkeypatch):
         assert small.encode([text, text])[1].tolist() == plain_ids(small, text)
 
 
+def test_texts_split_in_groups(monkeypatch, encoder):
+    texts = [t for text in TEXTS for t in (text, "it's a*** b c!?", "\n", "x×y ÷ ñandú, é")]
+    for size in (1, 8, 100):
+        monkeypatch.setattr("packetflow.llm.tokens.SPLIT_BYTES", size)
+        found = PieceEncoder().encode(texts)
+        assert [f.tolist() for f in found] == [plain_ids(encoder, t) for t in texts]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("aé×!.'3 \n", max_size=12), min_size=1, max_size=5))
+def test_split_equals_a_pattern(texts):
+    """A piece is one unit, but letters followed by signs are two."""
+    want = []
+    for text in texts:
+        parts = [re.fullmatch(r"([aé]+)([!.]+)", piece) for piece in text.split()]
+        want.append([u for piece, m in zip(text.split(), parts, strict=True)
+                     for u in (m.groups() if m else [piece])])
+    units, counts = _split([t.encode() for t in texts])
+    assert units.to_pylist() == [u for found in want for u in found]
+    assert counts.tolist() == [len(found) for found in want]
+
+
+def test_a_unit_is_looked_up_once_in_some_megabytes(monkeypatch):
+    text = " ".join("abcdefgh"[i % 8] * (i // 8 + 1) for i in range(800))
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(90)), "text": [text] * 90})
+    assert 3 << 20 < 90 * len(text) < 4 << 20
+    encoder, looked_up = PieceEncoder(), []
+    known = encoder._known
+    monkeypatch.setattr(encoder, "_known", lambda units: looked_up.extend(units) or known(units))
+    found = [ids for _, texts in _by_size(iter([batch])) for ids in encoder.encode(texts)]
+    assert len(looked_up) == len(set(looked_up)) == 800
+    assert {f.tobytes() for f in found} == {np.array(plain_ids(encoder, text), encoder.dtype).tobytes()}
+    assert len(found) == 90
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 70_000) | st.integers(0, 3), max_size=1500))
 def test_wavelet_matrix(ids):
